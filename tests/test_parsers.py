@@ -89,7 +89,14 @@ def test_brace_spans_match_a_scan(apply):
     assert apply(texts, spans.brace_spans) == [_scan(t) for t in texts]
 
 
-def test_permissive_object(apply):
+def _objects(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = spans.with_objects(df.withColumn("o", F.array("t")), "o", "o").withColumn("o", F.get("o", F.lit(0)))
+    fields = F.from_json("o", "name string, arguments string, a variant, b variant", text.LENIENT)
+    return [(r["o"], r["j"]) for r in out.select("i", "o", F.to_json(fields).alias("j")).orderBy("i").collect()]
+
+
+def test_permissive_object(spark):
     cases = {
         '{"name": "f", "arguments": \'{"x": 1}\'}': {"name": "f", "arguments": '{"x": 1}'},
         "{'a': True, 'b': None}": {"a": True, "b": None},
@@ -97,12 +104,10 @@ def test_permissive_object(apply):
         "{'a': 'it\\'s'}": {"a": "it's"}, "{'a': '\\x41'}": {"a": "A"}, "{'a': (1, 2)}": {"a": [1, 2]},
         '{"a": null}': {"a": None},
     }
-    got = apply(list(cases), lambda c: F.to_json(F.from_json(spans.permissive_object(c), "name string, arguments string, a variant, b variant")))
-    parsed = apply(list(cases), spans.permissive_object)
-    for text_, value, out, want in zip(cases, parsed, got, cases.values()):
+    for (text_, want), (value, fields) in zip(cases.items(), _objects(spark, list(cases))):
         assert (value is None) == (want is None), text_
         if want is not None:
-            assert {k: v for k, v in json.loads(out).items()} == {k: v for k, v in want.items()}, text_
+            assert json.loads(fields) == want, text_
 
 
 def _fn(name, description="", parameters="{}"):
@@ -151,9 +156,10 @@ def test_tool_call(apply):
         assert got == want, text_
 
 
-def test_declared_tools_skip_bad_spans(apply):
-    out = apply(['x {"name":"f"} {"no":1} {bad} {"name":"g"}'], lambda c: tools.tool_names(tools.declared_tools(c)))
-    assert out == [["f", "g"]]
+def test_declared_tools_skip_bad_spans(spark):
+    df = spark.createDataFrame([('x {"name":"f"} {"no":1} {bad} {"name":"g"} {\'name\': \'h\', \'parameters\': None}',)], "system string")
+    row = tools.with_declared_tools(df).select(tools.tool_names(F.col("tools")).alias("n")).first()
+    assert row["n"] == ["f", "g", "h"]
 
 
 def _turns(apply, values):

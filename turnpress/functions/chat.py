@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnpress.functions.spans import brace_spans, permissive_objects
-from turnpress.functions.text import SPACE_CLASS, strip
+from turnpress.functions.spans import brace_spans, with_objects
+from turnpress.functions.text import SPACE_CLASS, bind, strip
 from turnpress.functions.tools import tool_calls
 from turnpress.schemas import (
     CALL_MARKER, CALLS, CHAT_ROLES, END_MARKER, MAX_USER_CHARS, MESSAGE, MIN_USER_CHARS, TURNS,
 )
+from turnpress.session import sealed
 
 _ROLE_WORDS = "|".join(CHAT_ROLES)
 # A role word with a colon at the start of a line, with the white space around it.
@@ -28,20 +29,21 @@ def role_turns(chat: Column) -> Column:
     word, roles and contents pair up one place off, as the corpus rules have it.
     """
     text = without_end_marker(chat)
-    parts = F.split(text, ROLE_HEAD, -1)
-    heads = F.regexp_extract_all(text, F.lit(ROLE_HEAD), F.lit(1))
-    n = F.size(heads)
-
-    def pair(parts, heads):
-        shifted = F.regexp_like(strip(F.get(parts, F.lit(0))), F.lit(f"^(?:{_ROLE_WORDS})"))
-        roles = F.when(shifted, F.slice(parts, F.lit(1), F.size(heads))).otherwise(heads)
-        contents = F.when(shifted, heads).otherwise(F.slice(parts, F.lit(2), F.size(heads)))
+    cut = F.struct(
+        F.split(text, ROLE_HEAD, -1).alias("parts"),
+        F.regexp_extract_all(text, F.lit(ROLE_HEAD), F.lit(1)).alias("heads"),
+    )
+
+    def pairs(c):
+        n = F.size(c["heads"])
+        shifted = F.regexp_like(strip(F.get(c["parts"], F.lit(0))), F.lit(f"^(?:{_ROLE_WORDS})"))
+        roles = F.when(shifted, F.slice(c["parts"], F.lit(1), n)).otherwise(c["heads"])
+        contents = F.when(shifted, c["heads"]).otherwise(F.slice(c["parts"], F.lit(2), n))
         return F.zip_with(
-            roles, contents, lambda r, c: F.struct(strip(r).alias("role"), strip(c).alias("content"))
+            roles, contents, lambda r, t: F.struct(strip(r).alias("role"), strip(t).alias("content"))
         )
 
-    turns = F.when(n > 0, pair(parts, heads)).otherwise(F.array().cast(TURNS))
-    return F.filter(turns, lambda t: (t["role"] != "") & (t["content"] != ""))
+    return F.filter(bind(cut, pairs), lambda t: (t["role"] != "") & (t["content"] != "")).cast(TURNS)
 
 
 def message_role(role: Column) -> Column:
@@ -104,7 +106,7 @@ def _message(turn: Column, call: Column) -> Column:
 
 
 def with_turns(df: DataFrame, chat: str = "chat") -> DataFrame:
-    return df.withColumn("turns", role_turns(F.col(chat)))
+    return sealed(df.withColumn("turns", role_turns(F.col(chat))))
 
 
 def with_calls(df: DataFrame) -> DataFrame:
@@ -112,12 +114,8 @@ def with_calls(df: DataFrame) -> DataFrame:
     texts = F.transform(
         F.col("turns"), lambda t: F.when(t["role"] == "ASSISTANT", call_text(t["content"]))
     )
-    return (
-        df.withColumn("call_texts", texts)
-        .withColumn("call_texts", permissive_objects(F.col("call_texts")))
-        .withColumn("calls", tool_calls(F.col("call_texts")))
-        .drop("call_texts")
-    )
+    parsed = with_objects(df.withColumn("_texts", texts), "_texts", "_texts")
+    return sealed(parsed.withColumn("calls", tool_calls(F.col("_texts"))).drop("_texts"))
 
 
 def with_messages(df: DataFrame, chat: str = "chat") -> DataFrame:
@@ -126,15 +124,8 @@ def with_messages(df: DataFrame, chat: str = "chat") -> DataFrame:
         F.arrays_zip(F.col("turns").alias("turn"), F.col("calls").alias("call")),
         lambda z: z["turn"]["role"].isin(*CHAT_ROLES),
     )
-    parsed = F.transform(known, lambda z: _message(z["turn"], z["call"]))
-    return (
-        with_calls(with_turns(df, chat))
-        .withColumn("messages", parsed)
-        .withColumn(
-            "messages",
-            F.when(
-                (F.size("messages") > 0) & ~F.exists("messages", lambda m: m.isNull()), F.col("messages")
-            ),
-        )
-        .drop("turns", "calls")
+    parsed = with_calls(with_turns(df, chat)).withColumn(
+        "messages", F.transform(known, lambda z: _message(z["turn"], z["call"]))
     )
+    good = (F.size("messages") > 0) & ~F.exists("messages", lambda m: m.isNull())
+    return sealed(parsed.withColumn("messages", F.when(good, F.col("messages"))).drop("turns", "calls"))

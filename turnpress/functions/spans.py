@@ -6,12 +6,13 @@ import ast
 import json
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnpress.functions.text import CORRUPT, LENIENT, STRICT
 from turnpress.schemas import SPANS, TEXTS
+from turnpress.session import sealed
 
 # A quoted string (closed or not), one brace, or a run of anything else.
 TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"?|[{}]|[^"{}]++'
@@ -91,22 +92,21 @@ def _literal_objects(texts: pd.Series) -> pd.Series:
     return texts.map(lambda row: None if row is None else [_literal_object(t) for t in row])
 
 
-def permissive_objects(texts: Column) -> Column:
-    """Array of texts -> array of object texts; NULL where a text is no object.
+def with_objects(df: DataFrame, texts: str, out: str) -> DataFrame:
+    """Array of texts -> array of object texts in ``out``; NULL where a text is no object.
 
     JSON and plain single-quoted objects stay on the JVM. Only what is left, such as
     ``{'a': True}``, crosses into Python: every other row sends a NULL.
     """
     left = F.transform(texts, lambda t: F.when(t.isNotNull() & ~_parses_natively(t), t))
-    needed = F.when(F.exists(left, lambda t: t.isNotNull()), left)
-    literal = _literal_objects(needed)
-    return F.when(literal.isNull(), texts).otherwise(
-        F.transform(
-            F.arrays_zip(texts.alias("native"), left.alias("left"), literal.alias("literal")),
-            lambda z: F.when(z["left"].isNull(), z["native"]).otherwise(z["literal"]),
-        )
+    split = sealed(df).withColumn("_left", left).withColumn(
+        "_left", F.when(F.exists("_left", lambda t: t.isNotNull()), F.col("_left"))
     )
-
-
-def permissive_object(text: Column) -> Column:
-    return F.get(permissive_objects(F.array(text)), F.lit(0))
+    literal = sealed(sealed(split).withColumn("_literal", _literal_objects(F.col("_left"))))
+    merged = F.transform(
+        F.arrays_zip(F.col(texts).alias("native"), F.col("_left").alias("left"), F.col("_literal").alias("literal")),
+        lambda z: F.when(z["left"].isNull(), z["native"]).otherwise(z["literal"]),
+    )
+    return literal.withColumn(
+        out, F.when(F.col("_literal").isNull(), F.col(texts)).otherwise(merged)
+    ).drop("_left", "_literal")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnpress.functions.spans import brace_spans, permissive_objects
+from turnpress.functions.spans import brace_spans, with_objects
 from turnpress.functions.text import LENIENT, is_falsy_json, is_json, spaced_json, variant_type
 from turnpress.schemas import CALLS, TOOLS
+from turnpress.session import sealed
 
 _SPEC = "name variant, description variant, parameters string"
 
@@ -113,9 +114,12 @@ def tool_calls(texts: Column) -> Column:
     ).cast(CALLS)
 
 
-def declared_tools(system: Column) -> Column:
+def with_declared_tools(df: DataFrame, system: str = "system", out: str = "tools") -> DataFrame:
     """Tool specs found in a prose prompt; spans that do not normalise are skipped."""
-    return F.filter(tool_specs(permissive_objects(brace_spans(system))), lambda s: s.isNotNull())
+    found = df.withColumn("_spans", brace_spans(F.coalesce(F.col(system), F.lit(""))))
+    parsed = with_objects(found, "_spans", "_spans")
+    specs = F.filter(tool_specs(F.col("_spans")), lambda s: s.isNotNull())
+    return sealed(parsed.withColumn(out, specs).drop("_spans"))
 
 
 def tool_names(tools: Column) -> Column:

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from turnpress.functions.chat import user_text_ok, with_messages
 from turnpress.functions.text import json_list, list_of_objects
-from turnpress.functions.tools import called_names, declared_tools, tool_calls, tool_names, tool_specs
+from turnpress.functions.tools import called_names, tool_calls, tool_names, tool_specs, with_declared_tools
 from turnpress.schemas import (
     CALLS, EXAMPLE, MAX_MESSAGES, MAX_TOOLS, MESSAGES, MIN_TOOLS, MULTI_TURN, SINGLE_TURN, TOOLS,
 )
-from turnpress.session import computed_once
+from turnpress.session import sealed
 
 
 def _true(c: Column) -> Column:
@@ -57,41 +57,40 @@ def valid_json_lists(tools: Column, answers: Column) -> Column:
 def flag_single_turn(df: DataFrame) -> DataFrame:
     """Raw ``(ord, query, tools, answers)`` rows to examples with ``reject_reason``.
 
-    Length is tested before any JSON is parsed, and calls only when the tools hold.
+    Length is tested before any JSON is parsed, and tools and calls are normalised only
+    where both lists hold.
     """
     cheap = user_text_ok(F.col("query"))
     lists = df.withColumn("_t", F.when(cheap, json_list(F.col("tools")))).withColumn(
         "_a", F.when(F.col("_t").isNotNull(), json_list(F.col("answers")))
     )
-    listed = valid_json_lists(F.col("_t"), F.col("_a"))
-    counted = lists.withColumn(
+    early = sealed(lists).withColumn(
         "_early",
-        F.when(~cheap, "user_chars").when(~listed, "json_lists").when(~tool_count_ok(F.col("_t")), "tool_count"),
+        F.when(~cheap, "user_chars")
+        .when(~valid_json_lists(F.col("_t"), F.col("_a")), "json_lists")
+        .when(~tool_count_ok(F.col("_t")), "tool_count"),
     )
     ok = F.col("_early").isNull()
-    specs = counted.withColumn(
-        "_specs", F.when(ok & list_of_objects(F.col("tools")), tool_specs(F.col("_t")))
-    ).withColumn(
-        "_calls", F.when(ok & list_of_objects(F.col("answers")), tool_calls(F.col("_a")))
-    )
+    normalized = sealed(early.withColumns({
+        "_specs": F.when(ok & list_of_objects(F.col("tools")), tool_specs(F.col("_t"))),
+        "_calls": F.when(ok & list_of_objects(F.col("answers")), tool_calls(F.col("_a"))),
+    }))
     messages = F.array(
         F.struct(F.lit("user").alias("role"), F.col("query").alias("content"),
                  F.lit(None).cast(CALLS).alias("tool_calls")),
         F.struct(F.lit("assistant").alias("role"), F.lit("").alias("content"),
                  F.col("_calls").alias("tool_calls")),
     ).cast(MESSAGES)
-    flagged = specs.withColumn(
-        "reject_reason",
-        F.when(~ok, F.col("_early")).when(
-            ~(all_present(F.col("_specs")) & all_present(F.col("_calls"))), "not_normalized"
-        ),
+    whole = all_present(F.col("_specs")) & all_present(F.col("_calls"))
+    flagged = normalized.withColumn(
+        "reject_reason", F.when(~ok, F.col("_early")).when(~whole, "not_normalized")
     )
     good = F.col("reject_reason").isNull()
-    return flagged.select(
+    return sealed(flagged.select(
         "ord", F.lit(SINGLE_TURN).alias("source"),
         F.when(good, F.col("_specs")).alias("tools"), F.when(good, messages).alias("messages"),
         "reject_reason",
-    )
+    ))
 
 
 def flag_multi_turn(df: DataFrame) -> DataFrame:
@@ -99,8 +98,7 @@ def flag_multi_turn(df: DataFrame) -> DataFrame:
 
     The chat is parsed only where the prompt declares an acceptable number of tools.
     """
-    prompt = F.coalesce(F.col("system"), F.lit(""))
-    tools = df.withColumn("tools", declared_tools(prompt)).withColumn(
+    tools = with_declared_tools(df).withColumn(
         "chat", F.when(tool_count_ok(F.col("tools")), F.coalesce(F.col("chat"), F.lit("")))
     )
     m = F.col("messages")
@@ -112,11 +110,11 @@ def flag_multi_turn(df: DataFrame) -> DataFrame:
         .when(~role_presence_ok(m), "role_presence")
         .when(~declared_ok(m, F.col("tools")), "undeclared_tool"),
     )
-    return flagged.select("ord", F.lit(MULTI_TURN).alias("source"), "tools", "messages", "reject_reason")
+    return sealed(flagged.select("ord", F.lit(MULTI_TURN).alias("source"), "tools", "messages", "reject_reason"))
 
 
 def valid_examples(flagged: DataFrame) -> DataFrame:
-    return computed_once(flagged, F.col("reject_reason").isNull()).select(*EXAMPLE.fieldNames())
+    return flagged.where(F.col("reject_reason").isNull()).select(*EXAMPLE.fieldNames())
 
 
 def normalize_single_turn(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnpress.session import computed_once
+from turnpress.session import sealed
 
 
 def apply_row_processor(df: DataFrame, processor: Column) -> tuple[DataFrame, DataFrame]:
@@ -16,12 +16,12 @@ def apply_row_processor(df: DataFrame, processor: Column) -> tuple[DataFrame, Da
 
     Returns the kept rows with their ``example`` and a one-row table of counters.
     """
-    processed = df.withColumn("example", processor)
+    processed = sealed(df.withColumn("example", processor))
     kept = F.col("example").isNotNull()
     counts = processed.agg(
         F.count("*").alias("total"), F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped")
     )
-    return computed_once(processed, kept), counts
+    return processed.where(kept), counts
 
 
 def batched_map(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str,

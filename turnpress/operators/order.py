@@ -135,12 +135,14 @@ def batch_plan(shards: DataFrame, global_batch: int, micro_batch: int, world: in
     })
 
 
-def schedule(n_rows: int, global_batch: int, micro_batch: int, world: int, epochs: int,
-             warmup_ratio: float = 0.03) -> dict:
-    slots = accumulation(global_batch, micro_batch, world)
-    per_epoch = n_rows // global_batch
+def schedule(counted: DataFrame, global_batch: int, micro_batch: int, world: int, epochs: int,
+             warmup_ratio: float = 0.03) -> DataFrame:
+    """Steps per epoch, total steps and warm-up steps for a one-row table with ``n_rows``."""
+    per_epoch = F.floor(F.col("n_rows") / global_batch)
     total = per_epoch * epochs
-    return {
-        "steps_per_epoch": per_epoch, "total_steps": total,
-        "warmup_steps": max(1, int(warmup_ratio * total)), "accumulation": slots,
-    }
+    return counted.select(
+        per_epoch.cast("bigint").alias("steps_per_epoch"),
+        total.cast("bigint").alias("total_steps"),
+        F.greatest(F.lit(1), F.floor(total * warmup_ratio)).cast("bigint").alias("warmup_steps"),
+        F.lit(accumulation(global_batch, micro_batch, world)).cast("bigint").alias("accumulation"),
+    )

@@ -59,12 +59,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def computed_once(df: DataFrame, condition) -> DataFrame:
-    """Filter on costly columns without evaluating them a second time.
+def sealed(df: DataFrame) -> DataFrame:
+    """A boundary for costly columns: what stands above uses their values as they are.
 
-    The optimiser moves a filter below the projection that computes its columns
-    and so repeats the computation; a partition-id column in the same projection
-    keeps the filter above it.
+    Without it the optimiser moves a later filter below the projection that computes
+    its columns, or merges projections, and the same parse runs several times per row.
+    A partition id that is both computed and tested here keeps the two sides apart; it
+    costs no shuffle and no copy.
     """
-    marked = df.withColumn("_part", F.spark_partition_id())
-    return marked.where(condition & (F.col("_part") >= 0)).drop("_part")
+    return df.withColumn("_part", F.spark_partition_id()).where(F.col("_part") >= 0).drop("_part")
