@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from turnpress.operators.clean import conversation_examples, flag_multi_turn, flag_single_turn
 from turnpress.schemas import CALLS, EXAMPLE, MAX_MESSAGES, MESSAGES, MULTI_TURN, SINGLE_TURN, TOOLS
+from turnpress.session import spread
 
 _K = "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT)"
 
@@ -104,18 +105,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _sql(spark: SparkSession, sf_dir: str, text: str, *tables: str) -> DataFrame:
-    for name in tables:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    return spark.sql(text)
-
-
 def raw_single_turn(spark, sf_dir) -> DataFrame:
-    return _sql(spark, sf_dir, SINGLE_TURN_SQL, "events")
+    spread(table(spark, sf_dir, "events")).createOrReplaceTempView("events")
+    return spark.sql(SINGLE_TURN_SQL)
 
 
 def raw_multi_turn(spark, sf_dir) -> DataFrame:
-    return _sql(spark, sf_dir, multi_turn_sql("spark"), "events", "conversations")
+    for name in ("events", "conversations"):
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    return spark.sql(multi_turn_sql("spark"))
 
 
 def flagged_single_turn(spark, sf_dir) -> DataFrame:
@@ -145,7 +143,7 @@ def text_examples(texts: DataFrame, ord_: str, text: str, answer: str, source: s
 
 def documents(spark, sf_dir, source: str = SINGLE_TURN) -> DataFrame:
     """Every document as a user turn, answered by its language."""
-    return text_examples(table(spark, sf_dir, "documents"), "doc_id", "text", "lang", source)
+    return text_examples(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")), "doc_id", "text", "lang", source)
 
 
 def repeated_conversations(spark, sf_dir) -> tuple[DataFrame, DataFrame]:

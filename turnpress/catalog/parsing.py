@@ -8,7 +8,7 @@ from turnpress.functions import chat, spans, text, tools
 from turnpress.operators.clean import normalize_multi_turn, normalize_single_turn
 from turnpress.operators.dedup import dedup_key
 from turnpress.operators.tokenize import nested_from_json, nested_to_json
-from turnpress.session import sealed
+from turnpress.session import sealed, spread
 
 
 def spec_text(t):
@@ -107,7 +107,7 @@ def extract_json_objects(spark, sf_dir):
     pages = inputs.table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("txt"))
     docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id") + 1000000000, "text")
     prompts = inputs.raw_multi_turn(spark, sf_dir).select(F.col("ord") + 2000000000, F.coalesce("system", F.lit("")))
-    texts = pages.union(docs).union(prompts)
+    texts = spread(pages.union(docs)).union(prompts)
     found = texts.select("id", "txt", F.posexplode(spans.brace_offsets(F.col("txt"))).alias("n", "s"))
     return found.select(
         "id", (F.col("n") + 1).cast("bigint").alias("position"),

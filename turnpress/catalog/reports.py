@@ -12,6 +12,7 @@ from turnpress.operators.packing import pack_ffd, supervised_tokens
 from turnpress.operators.tokenize import fits, token_lengths, tokenize
 
 SEQ_LEN = 2048
+PACK_LEN = 8192
 EVAL_SIZE = 200
 SEED = 42
 
@@ -110,26 +111,26 @@ CONV_ITEMS = f"""
 {sqltext.RENDERED_CONV},
 items AS (
   SELECT row_number() OVER (ORDER BY n_tokens DESC, {sqltext.key("'42'", "ord")}) AS i, ord, n_tokens AS len
-  FROM toks WHERE trained AND n_tokens <= {SEQ_LEN})"""
+  FROM toks WHERE trained AND n_tokens <= {PACK_LEN})"""
 
 
 def packed_conversations(spark, sf_dir):
     """Bins of all conversations by length, without token arrays."""
     keyed = with_shuffle_key(inputs.conversations(spark, sf_dir), SEED, "ord")
     lengths = token_lengths(keyed)
-    return pack_ffd(lengths.where(fits(F.col("n_tokens"), SEQ_LEN)), SEQ_LEN)
+    return pack_ffd(lengths.where(fits(F.col("n_tokens"), PACK_LEN)), PACK_LEN)
 
 
 @query("packing_density", f"""
-WITH RECURSIVE {CONV_ITEMS}, {first_fit('items', SEQ_LEN)}
+WITH RECURSIVE {CONV_ITEMS}, {first_fit('items', PACK_LEN)}
 SELECT count(DISTINCT bin) AS n_bins, count(*) AS n_docs, CAST(sum(len) AS BIGINT) AS used_tokens,
-  count(DISTINCT bin) * {SEQ_LEN} AS total_slots,
-  round(100.0 * sum(len) / (count(DISTINCT bin) * {SEQ_LEN}), 6) AS density_pct,
+  count(DISTINCT bin) * {PACK_LEN} AS total_slots,
+  round(100.0 * sum(len) / (count(DISTINCT bin) * {PACK_LEN}), 6) AS density_pct,
   round(count(*) / count(DISTINCT bin), 6) AS docs_per_bin
 FROM bins
 """)
 def packing_density(spark, sf_dir):
-    out = report.packing_density(packed_conversations(spark, sf_dir), SEQ_LEN)
+    out = report.packing_density(packed_conversations(spark, sf_dir), PACK_LEN)
     return out.withColumns({c: F.round(c, 6) for c in ("density_pct", "docs_per_bin")})
 
 

@@ -8,8 +8,8 @@ from turnpress.catalog import inputs, sqltext
 from turnpress.catalog.cleaning import _FOLDED, folded_sources
 from turnpress.catalog.parsing import flat_examples
 from turnpress.catalog.registry import query
-from turnpress.catalog.reports import _COUNTS, _LOSSES, SEQ_LEN, flagged
-from turnpress.catalog.tokens import _EVAL, _PACKED, eval_records, joined, packed_records
+from turnpress.catalog.reports import _COUNTS, _LOSSES, PACK_LEN, flagged
+from turnpress.catalog.tokens import _PACKED, eval_records, eval_sql, joined, packed_records
 from turnpress.operators import report
 from turnpress.operators.clean import normalize_single_turn
 from turnpress.operators.dedup import dedup_first, select_sources, union_sources, with_dedup_key
@@ -113,14 +113,14 @@ def write_stats(spark, sf_dir):
 
 def _written_packed(spark, sf_dir) -> str:
     path = new_path(spark, "packed")
-    records = eval_records(spark, sf_dir).drop("ord")
-    io.write_packed(packed_records(spark, sf_dir), records, path, SEQ_LEN)
+    records = eval_records(spark, sf_dir, PACK_LEN).drop("ord")
+    io.write_packed(packed_records(spark, sf_dir), records, path, PACK_LEN)
     return path
 
 
 @query("write_packed", f"""
 WITH train AS ({_PACKED} SELECT count(*) AS n_rows, CAST(sum(list_sum(input_ids)) AS BIGINT) AS id_sum FROM packed),
-held AS ({_EVAL} SELECT count(*) AS n_rows, CAST(sum(list_sum(input_ids)) AS BIGINT) AS id_sum FROM evals)
+held AS ({eval_sql(PACK_LEN)} SELECT count(*) AS n_rows, CAST(sum(list_sum(input_ids)) AS BIGINT) AS id_sum FROM evals)
 SELECT 'train' AS split, * FROM train UNION ALL SELECT 'eval', * FROM held
 """)
 def write_packed(spark, sf_dir):

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from turnpress.catalog import inputs, sqltext
 from turnpress.catalog.registry import query
-from turnpress.catalog.reports import CONV_ITEMS, EVAL_SIZE, SEED, SEQ_LEN, first_fit, packed_conversations
+from turnpress.catalog.reports import CONV_ITEMS, EVAL_SIZE, PACK_LEN, SEED, SEQ_LEN, first_fit, packed_conversations
 from turnpress.functions.tokens import TOOLS_FOOT, TOOLS_HEAD, ByteTokenizer, resolve_pad
 from turnpress.operators import packing
 from turnpress.operators.clean import normalize_single_turn
@@ -93,7 +93,7 @@ def mask_labels(spark, sf_dir):
 
 
 @query("pack_ffd", f"""
-WITH RECURSIVE {CONV_ITEMS}, {first_fit('items', SEQ_LEN)}
+WITH RECURSIVE {CONV_ITEMS}, {first_fit('items', PACK_LEN)}
 SELECT b.ord, b.len AS n_tokens, b.bin, row_number() OVER (PARTITION BY b.bin ORDER BY t.i) - 1 AS slot
 FROM bins b JOIN items t USING (ord)
 """)
@@ -105,19 +105,19 @@ def pack_ffd(spark, sf_dir):
 def packed_records(spark, sf_dir):
     """Packed records of all conversations: ids are built once the bins are known."""
     keyed = with_shuffle_key(inputs.conversations(spark, sf_dir), SEED, "ord")
-    coded = tokenize(keyed).where(fits(F.col("n_tokens"), SEQ_LEN))
-    placed = packing.pack_ffd(coded, SEQ_LEN)
-    return packing.build_packed(placed, SEQ_LEN, PAD)
+    coded = tokenize(keyed).where(fits(F.col("n_tokens"), PACK_LEN))
+    placed = packing.pack_ffd(coded, PACK_LEN)
+    return packing.build_packed(placed, PACK_LEN, PAD)
 
 
 _PACKED = f"""
 WITH RECURSIVE {_CONV_IDS},
 items AS (
   SELECT row_number() OVER (ORDER BY n_tokens DESC, {sqltext.key("'42'", "ord")}) AS i, ord, n_tokens AS len
-  FROM toks WHERE trained AND n_tokens <= {SEQ_LEN}), {first_fit('items', SEQ_LEN)},
+  FROM toks WHERE trained AND n_tokens <= {PACK_LEN}), {first_fit('items', PACK_LEN)},
 docs AS (SELECT b.bin, t.i, t.len, r.input_ids, r.labels FROM bins b JOIN items t USING (ord) JOIN rows2 r USING (ord)),
 packs AS (
-  SELECT bin, CAST({SEQ_LEN} - sum(len) AS BIGINT) AS pad, flatten(list(input_ids ORDER BY i)) AS ids, flatten(list(labels ORDER BY i)) AS labels,
+  SELECT bin, CAST({PACK_LEN} - sum(len) AS BIGINT) AS pad, flatten(list(input_ids ORDER BY i)) AS ids, flatten(list(labels ORDER BY i)) AS labels,
     flatten(list(range(len) ORDER BY i)) AS positions, list(len ORDER BY i) AS lens
   FROM docs GROUP BY bin),
 packed AS (
@@ -139,7 +139,9 @@ def build_packed(spark, sf_dir):
     )
 
 
-_EVAL = f"""
+def eval_sql(seq_len: int) -> str:
+    """CTEs ending in ``evals``: padded records of the held-out documents."""
+    return f"""
 WITH {_with_ids("coded", sqltext.RENDERED_DOC)},
 ranked AS (SELECT doc_id AS ord, row_number() OVER (ORDER BY {sqltext.key("'42'", "doc_id")}) AS r FROM documents),
 rows2 AS (
@@ -147,17 +149,20 @@ rows2 AS (
     flatten(list(CASE WHEN role = 'assistant' THEN ids ELSE list_transform(ids, lambda x: -100) END ORDER BY i)) AS labels
   FROM coded JOIN ranked USING (ord) WHERE r <= {EVAL_SIZE} GROUP BY ord),
 evals AS (
-  SELECT ord, list_concat(input_ids, list_transform(range({SEQ_LEN} - len(input_ids)), lambda x: {PAD})) AS input_ids,
-    list_concat(labels, list_transform(range({SEQ_LEN} - len(labels)), lambda x: -100)) AS labels,
-    list_concat(list_transform(input_ids, lambda x: 1), list_transform(range({SEQ_LEN} - len(input_ids)), lambda x: 0)) AS attention_mask
-  FROM rows2 WHERE len(input_ids) <= {SEQ_LEN})"""
+  SELECT ord, list_concat(input_ids, list_transform(range({seq_len} - len(input_ids)), lambda x: {PAD})) AS input_ids,
+    list_concat(labels, list_transform(range({seq_len} - len(labels)), lambda x: -100)) AS labels,
+    list_concat(list_transform(input_ids, lambda x: 1), list_transform(range({seq_len} - len(input_ids)), lambda x: 0)) AS attention_mask
+  FROM rows2 WHERE len(input_ids) <= {seq_len})"""
 
 
-def eval_records(spark, sf_dir):
+_EVAL = eval_sql(SEQ_LEN)
+
+
+def eval_records(spark, sf_dir, seq_len: int = SEQ_LEN):
     """Held-out documents, one padded record each."""
     docs = holdout_split(with_shuffle_key(inputs.documents(spark, sf_dir), SEED, "ord"), EVAL_SIZE)
-    coded = tokenize(docs.where(F.col("split") == "eval")).where(fits(F.col("n_tokens"), SEQ_LEN))
-    return packing.build_eval(coded.select("ord", "input_ids", "labels"), SEQ_LEN, PAD)
+    coded = tokenize(docs.where(F.col("split") == "eval")).where(fits(F.col("n_tokens"), seq_len))
+    return packing.build_eval(coded.select("ord", "input_ids", "labels"), seq_len, PAD)
 
 
 @query("build_eval", f"""

@@ -72,24 +72,29 @@ def _parses_natively(text: Column) -> Column:
     return _parses(text, STRICT) | F.coalesce(lenient, F.lit(False))
 
 
-def _literal_object(text):
-    """JSON text of a Python-literal dict, or None."""
-    if text is None:
-        return None
-    for parse in (json.loads, ast.literal_eval):
-        try:
-            value = parse(text)
-        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-            continue
-        if not isinstance(value, dict):
+def _literal_objects(texts: Column) -> Column:
+    """JSON texts of Python-literal dicts; NULL for anything else.
+
+    The functions live inside this one so that they travel to the executors by value.
+    """
+
+    def convert(text):
+        if text is None:
             return None
-        return json.dumps(value, ensure_ascii=False, skipkeys=True, default=lambda v: [repr(v)])
-    return None
+        for parse in (json.loads, ast.literal_eval):
+            try:
+                value = parse(text)
+            except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+                continue
+            if not isinstance(value, dict):
+                return None
+            return json.dumps(value, ensure_ascii=False, skipkeys=True, default=lambda v: [repr(v)])
+        return None
 
+    def run(rows: pd.Series) -> pd.Series:
+        return rows.map(lambda row: None if row is None else [convert(t) for t in row])
 
-@F.pandas_udf(TEXTS)
-def _literal_objects(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda row: None if row is None else [_literal_object(t) for t in row])
+    return F.pandas_udf(run, TEXTS)(texts)
 
 
 def with_objects(df: DataFrame, texts: str, out: str) -> DataFrame:

@@ -64,11 +64,19 @@ def is_json(c: Column) -> Column:
 
 
 def json_list(c: Column) -> Column:
-    """Elements of a text that is exactly one JSON list, as texts; else NULL."""
+    """Elements of a text that is exactly one JSON list, as texts; else NULL.
+
+    Inside an array only a stray ``]`` behind the list can hide from the parser, so the
+    second form is tried just for texts with two closing brackets in a row.
+    """
     array = F.from_json(_in_array(c), "array<array<string>>", STRICT)
-    obj = F.from_json(_in_object(c), f"v array<string>, {CORRUPT} string", STRICT)
-    whole = F.startswith(F.ltrim(F.translate(c, "\t\n\r", "   ")), F.lit("["))
-    return F.when(whole & (F.size(array) == 1) & obj[CORRUPT].isNull(), obj["v"])
+
+    def single(parsed):
+        obj = F.from_json(_in_object(c), f"v array<string>, {CORRUPT} string", STRICT)
+        whole = F.when(F.regexp_like(c, F.lit(r"\]\s*\]")), obj[CORRUPT].isNull()).otherwise(F.lit(True))
+        return F.when((F.size(parsed) == 1) & whole, F.get(parsed, F.lit(0)))
+
+    return bind(array, single)
 
 
 def list_of_objects(c: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -144,33 +145,25 @@ class FileTokenizer:
     """A ``tokenizer.json`` vocabulary, applied to Arrow batches of segments.
 
     The file must be readable under the same path on every executor (``--files`` or a
-    shared folder); each Python worker loads it once.
+    shared folder); each task loads it once.
     """
 
-    _loaded: dict = {}
-
     def __init__(self, path: str, pad_id: int | None = None, eos_id: int | None = None):
         self.path, self.pad_id, self.eos_id = path, pad_id, eos_id
 
-    @classmethod
-    def _load(cls, path: str):
-        if path not in cls._loaded:
-            from tokenizers import Tokenizer
-
-            cls._loaded[path] = Tokenizer.from_file(path)
-        return cls._loaded[path]
-
     def segment_ids(self, segments: Column) -> Column:
         path = self.path
 
-        @F.pandas_udf(T.ArrayType(INTS))
-        def encode(rows: pd.Series) -> pd.Series:
-            tokenizer = FileTokenizer._load(path)
-            flat = [t for row in rows if row is not None for t in row]
-            coded = iter(tokenizer.encode_batch(flat, add_special_tokens=False))
-            return rows.map(lambda row: None if row is None else [next(coded).ids for _ in row])
+        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+            for rows in batches:
+                flat = [t for row in rows if row is not None for t in row]
+                coded = iter(tokenizer.encode_batch(flat, add_special_tokens=False))
+                yield rows.map(lambda row: None if row is None else [next(coded).ids for _ in row])
 
-        return encode(F.transform(segments, lambda s: s["text"]))
+        return F.pandas_udf(encode, T.ArrayType(INTS))(F.transform(segments, lambda s: s["text"]))
 
     def n_tokens(self, segments: Column) -> Column:
         return F.aggregate(self.segment_ids(segments), F.lit(0), lambda n, ids: n + F.size(ids))

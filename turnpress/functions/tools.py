@@ -10,7 +10,20 @@ from turnpress.functions.text import LENIENT, is_falsy_json, is_json, spaced_jso
 from turnpress.schemas import CALLS, TOOLS
 from turnpress.session import sealed
 
-_SPEC = "name variant, description variant, parameters string"
+_FIELDS = "name variant, description variant, parameters string"
+_HEAD = f"type string, function string, {_FIELDS}"
+
+
+def _may_be_text(text: Column, field: str) -> Column:
+    """True where ``field`` could hold a JSON string; without a quote behind it, it cannot."""
+    return F.regexp_like(text, F.lit(rf"""{field}["']\s*:\s*["']|\\u"""))
+
+
+def _holds_object(text: Column, value: Column, field: str) -> Column:
+    """Whether the value of ``field`` (as text) is a JSON object and not a string like one."""
+    exact = F.from_json(text, f"{field} map<string,string>", LENIENT)[field].isNotNull()
+    looks = F.coalesce(F.startswith(value, F.lit("{")), F.lit(False))
+    return looks & (~_may_be_text(text, field) | exact)
 
 
 def _text_of(v: Column) -> Column:
@@ -20,7 +33,12 @@ def _text_of(v: Column) -> Column:
 
 def _description(v: Column) -> Column:
     text = F.to_json(v)
-    return F.when(v.isNull() | is_falsy_json(text), F.lit("")).otherwise(_text_of(v))
+    return (
+        F.when(v.isNull(), F.lit(""))
+        .when(variant_type(v) == "STRING", F.variant_get(v, "$", "string"))
+        .when(is_falsy_json(text), F.lit(""))
+        .otherwise(text)
+    )
 
 
 def _other_parameters(text: Column) -> Column:
@@ -30,10 +48,9 @@ def _other_parameters(text: Column) -> Column:
 
 
 def _parameters(text: Column, compact: Column) -> Column:
-    is_object = F.from_json(text, "parameters map<string,string>", LENIENT)["parameters"].isNotNull()
     return (
         F.when(compact.isNull(), F.lit("{}"))
-        .when(is_object, spaced_json(compact))
+        .when(_holds_object(text, compact, "parameters"), spaced_json(compact))
         .otherwise(_other_parameters(text))
     )
 
@@ -41,25 +58,20 @@ def _parameters(text: Column, compact: Column) -> Column:
 def tool_specs(texts: Column) -> Column:
     """Object texts -> tool specs in wrapped form; NULL where the name is no string."""
     outer = F.transform(
-        texts,
-        lambda t: F.struct(
-            t.alias("text"),
-            F.from_json(t, "type variant, function map<string,string>", LENIENT).alias("wrap"),
-        ),
-    )
-    body = F.transform(
-        outer,
-        lambda o: F.when(
-            o["wrap"]["function"].isNotNull()
-            & F.coalesce(F.to_json(o["wrap"]["type"]) == '"function"', F.lit(False)),
-            F.from_json(o["text"], "function string", LENIENT)["function"],
-        ).otherwise(o["text"]),
-    )
-    parsed = F.transform(
-        body, lambda t: F.struct(t.alias("text"), F.from_json(t, _SPEC, LENIENT).alias("spec"))
+        texts, lambda t: F.struct(t.alias("text"), F.from_json(t, _HEAD, LENIENT).alias("head"))
     )
+
+    def unwrap(o):
+        head = o["head"]
+        fields = F.struct(*[head[c].alias(c) for c in ("name", "description", "parameters")])
+        wrapped = (head["type"] == "function") & _holds_object(o["text"], head["function"], "function")
+        inner = F.struct(
+            head["function"].alias("text"), F.from_json(head["function"], _FIELDS, LENIENT).alias("spec")
+        )
+        return F.when(wrapped, inner).otherwise(F.struct(o["text"].alias("text"), fields.alias("spec")))
+
     return F.transform(
-        parsed,
+        F.transform(outer, unwrap),
         lambda p: F.when(
             variant_type(p["spec"]["name"]) == "STRING",
             F.struct(
@@ -85,7 +97,6 @@ def tool_calls(texts: Column) -> Column:
         lambda t: F.struct(
             t.alias("text"),
             F.from_json(t, "name variant, arguments string", LENIENT).alias("call"),
-            F.from_json(t, "arguments map<string,string>", LENIENT)["arguments"].isNotNull().alias("is_object"),
         ),
     )
 
@@ -96,7 +107,7 @@ def tool_calls(texts: Column) -> Column:
         parsed,
         lambda p: F.struct(
             p["call"]["name"].alias("name"),
-            F.when(p["is_object"], spaced_json(p["call"]["arguments"]))
+            F.when(_holds_object(p["text"], p["call"]["arguments"], "arguments"), spaced_json(p["call"]["arguments"]))
             .when(kind(p).isNull(), F.lit("{}"))
             .when((kind(p) == "STRING") & is_json(p["call"]["arguments"]), p["call"]["arguments"])
             .alias("arguments"),

@@ -59,6 +59,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with at least one partition per core, for row-wise work that is CPU-bound.
+
+    A few small files would otherwise keep most cores idle. A scan that already has the
+    partitions, as any large table has, is left alone and not shuffled.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def sealed(df: DataFrame) -> DataFrame:
     """A boundary for costly columns: what stands above uses their values as they are.
 

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnpress.schemas import EVAL, EXAMPLE, INTS, METRICS, PACKED, RAW_MULTI_TURN, RAW_SINGLE_TURN, STATS
+from turnpress.session import spread
 
 
 def _scan(spark: SparkSession, path: str, schema: T.StructType, fmt: str, has_ord: bool) -> DataFrame:
     if has_ord:
-        return spark.read.schema(schema).format(fmt).load(path)
+        return spread(spark.read.schema(schema).format(fmt).load(path))
     body = T.StructType([f for f in schema if f.name != "ord"])
     return with_file_order(spark.read.schema(body).parquet(path)).select(*schema.fieldNames())
 
@@ -56,7 +57,7 @@ def write_jsonl(examples: DataFrame, path: str) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EXAMPLE).json(path)
+    return spread(spark.read.schema(EXAMPLE).json(path))
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
