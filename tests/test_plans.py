@@ -38,6 +38,7 @@ def test_prepare(spark, prepared):
     assert len(lines) == n
     assert all(set(x) == set(EXAMPLE.fieldNames()) for x in lines)
     assert any("tool_calls" not in m for x in lines for m in x["messages"])
+    assert all(isinstance(t["function"]["parameters"], dict) for x in lines for t in x["tools"])
     metrics = [json.loads(line)["metric"] for p in sorted(pathlib.Path(out, "stats").glob("*.json")) for line in p.read_text().splitlines()]
     assert metrics == sorted(metrics)
 

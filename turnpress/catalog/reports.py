@@ -10,6 +10,7 @@ from turnpress.operators.dedup import dedup_first, with_dedup_key
 from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.packing import pack_ffd, supervised_tokens
 from turnpress.operators.tokenize import fits, token_lengths, tokenize
+from turnpress.session import stored
 
 SEQ_LEN = 2048
 PACK_LEN = 8192
@@ -117,7 +118,7 @@ items AS (
 def packed_conversations(spark, sf_dir):
     """Bins of all conversations by length, without token arrays."""
     keyed = with_shuffle_key(inputs.conversations(spark, sf_dir), SEED, "ord")
-    lengths = token_lengths(keyed)
+    lengths = stored(token_lengths(keyed).select("ord", "shuffle_key", "n_tokens"), "lengths")
     return pack_ffd(lengths.where(fits(F.col("n_tokens"), PACK_LEN)), PACK_LEN)
 
 

@@ -10,6 +10,7 @@ from turnpress.operators import packing
 from turnpress.operators.clean import normalize_single_turn
 from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.tokenize import fits, tokenize, with_segments
+from turnpress.session import stored
 
 PAD = resolve_pad(ByteTokenizer())
 
@@ -103,10 +104,10 @@ def pack_ffd(spark, sf_dir):
 
 
 def packed_records(spark, sf_dir):
-    """Packed records of all conversations: ids are built once the bins are known."""
+    """Packed records of all conversations; tokens are stored, bins found on lengths."""
     keyed = with_shuffle_key(inputs.conversations(spark, sf_dir), SEED, "ord")
-    coded = tokenize(keyed).where(fits(F.col("n_tokens"), PACK_LEN))
-    placed = packing.pack_ffd(coded, PACK_LEN)
+    tokens = stored(tokenize(keyed), "tokens").where(fits(F.col("n_tokens"), PACK_LEN))
+    _, placed = packing.place(tokens, PACK_LEN)
     return packing.build_packed(placed, PACK_LEN, PAD)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from turnpress.functions.tokens import n_supervised
 from turnpress.operators.order import with_position
 from turnpress.schemas import IGNORE_INDEX
+from turnpress.session import stored
 
 PLAN_SCHEMA = "n_tokens int, rank_from bigint, rank_to bigint, first_bin bigint, per_bin int"
 # Largest plan sent to every executor (about 40 bytes a row); beyond it rows are shuffled.
@@ -93,6 +94,16 @@ def pack_ffd(lengths: DataFrame, capacity: int, key: str = "shuffle_key") -> Dat
     ).drop("position", "_bucket")
 
 
+def place(tokens: DataFrame, seq_len: int, key: str = "shuffle_key") -> tuple[DataFrame, DataFrame]:
+    """Bins of a stored token table, found on keys and lengths alone, and the placed tokens.
+
+    Token arrays are shuffled once to join their bin; ``build_packed`` gathers them.
+    """
+    bins = stored(pack_ffd(tokens.select(key, "n_tokens"), seq_len, key), "bins")
+    placed = tokens.select(key, "input_ids", "labels").join(bins.select(key, "bin", "slot"), key)
+    return bins, placed
+
+
 def _padded(values: Column, fill: Column | int, seq_len: int) -> Column:
     fill = fill if isinstance(fill, Column) else F.lit(fill)
     return F.concat(values, F.array_repeat(fill, F.lit(seq_len) - F.size(values)))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from turnpress.functions.tokens import ByteTokenizer, ChatTemplate, mask_labels, render_chat, trainable
 from turnpress.schemas import MESSAGES, TOOLS
+from turnpress.session import sealed
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:
@@ -36,7 +37,7 @@ def tokenize(examples: DataFrame, tokenizer=None, template: ChatTemplate = ChatT
     train on.
     """
     tokenizer = tokenizer or ByteTokenizer()
-    coded = with_segments(examples, template).withColumn("_ids", tokenizer.segment_ids(F.col("segments")))
+    coded = sealed(with_segments(examples, template).withColumn("_ids", tokenizer.segment_ids(F.col("segments"))))
     good = F.exists("segments", lambda s: s["trained"] & (F.length(s["text"]) > 0))
     return coded.select(
         *[c for c in examples.columns if c not in ("messages", "tools")],
@@ -51,9 +52,8 @@ def token_lengths(examples: DataFrame, tokenizer=None, template: ChatTemplate =
     tokenizer = tokenizer or ByteTokenizer()
     coded = with_segments(examples, template)
     good = F.exists("segments", lambda s: s["trained"])
-    return coded.withColumn("n_tokens", F.when(good, tokenizer.n_tokens(F.col("segments")))).drop(
-        "segments", "messages", "tools"
-    )
+    counted = coded.withColumn("n_tokens", F.when(good, tokenizer.n_tokens(F.col("segments"))))
+    return sealed(counted.drop("segments", "messages", "tools"))
 
 
 def rendered_ok(ids: Column) -> Column:

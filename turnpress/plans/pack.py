@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnpress.functions.tokens import ByteTokenizer, ChatTemplate, resolve_pad
 from turnpress.operators.order import holdout_split, with_shuffle_key
-from turnpress.operators.packing import build_eval, build_packed, pack_ffd
+from turnpress.operators.packing import build_eval, build_packed, place
 from turnpress.operators.report import drop_reasons, packing_density, token_length_profile
 from turnpress.operators.tokenize import fits, tokenize
 from turnpress.session import stored
@@ -36,16 +36,12 @@ def pack(
     tokens = stored(tokenize(keyed, tokenizer, template), "tokens")
     usable = tokens.where(fits(F.col("n_tokens"), seq_len))
     train = usable.where(F.col("split") == "train")
-    lengths = train.select("shuffle_key", "n_tokens")
-    bins = stored(pack_ffd(lengths, seq_len), "bins")
-    placed = train.select("shuffle_key", "input_ids", "labels").join(
-        bins.select("shuffle_key", "bin", "slot"), "shuffle_key"
-    )
+    bins, placed = place(train, seq_len)
     held = usable.where(F.col("split") == "eval").select("input_ids", "labels")
     write_packed(build_packed(placed, seq_len, pad), build_eval(held, seq_len, pad), output, seq_len)
     packed, records = read_packed(spark, output)
     return {
         "train": packed, "eval": records,
-        "drops": drop_reasons(tokens, seq_len), "lengths": token_length_profile(lengths),
+        "drops": drop_reasons(tokens, seq_len), "lengths": token_length_profile(train),
         "density": packing_density(bins, seq_len),
     }

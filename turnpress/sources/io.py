@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnpress.schemas import EVAL, EXAMPLE, INTS, METRICS, PACKED, RAW_MULTI_TURN, RAW_SINGLE_TURN, STATS
+from turnpress.functions.text import spaced_json
+from turnpress.functions.tokens import tool_json
+from turnpress.schemas import EVAL, EXAMPLE, INTS, METRICS, PACKED, RAW_MULTI_TURN, RAW_SINGLE_TURN, STATS, TOOLS
 from turnpress.session import spread
 
 
@@ -51,13 +53,34 @@ def cap_rows(df: DataFrame, max_rows: int | None, order: str = "ord") -> DataFra
     return df if max_rows is None else df.orderBy(order).limit(max_rows)
 
 
+def example_line(tools: Column) -> Column:
+    """An example as one JSON object: tool parameters nested, absent ``tool_calls`` left out."""
+    specs = F.array_join(F.transform(tools, tool_json), ", ")
+    head = F.substring_index(F.to_json(F.struct("ord", "source")), "}", 1)
+    return F.concat(head, F.lit(',"tools":['), specs, F.lit('],"messages":'), F.to_json("messages"), F.lit("}"))
+
+
 def write_jsonl(examples: DataFrame, path: str) -> None:
-    """One object per line; absent ``tool_calls`` are left out."""
-    examples.select(*EXAMPLE.fieldNames()).write.mode("errorifexists").json(path)
+    """One object per line; text is not escaped beyond what JSON asks for."""
+    examples.select(example_line(F.col("tools")).alias("value")).write.mode("errorifexists").text(path)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    return spread(spark.read.schema(EXAMPLE).json(path))
+    """Prepared examples; nested tool parameters come back as JSON text."""
+    rows = spread(spark.read.schema(EXAMPLE).json(path))
+
+    def respaced(tool):
+        fn = tool["function"]
+        nested = F.when(F.startswith(fn["parameters"], F.lit("{")), spaced_json(fn["parameters"]))
+        return F.struct(
+            tool["type"].alias("type"),
+            F.struct(
+                fn["name"].alias("name"), fn["description"].alias("description"),
+                F.coalesce(nested, fn["parameters"]).alias("parameters"),
+            ).alias("function"),
+        )
+
+    return rows.withColumn("tools", F.transform("tools", respaced).cast(TOOLS))
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
