@@ -34,7 +34,7 @@ def test_prepare(spark, prepared):
     kept = stats["single_turn_kept"] + stats["multi_turn_kept"]
     assert kept - stats["duplicates_dropped"] == n and n > 0
     assert stats["single_turn_kept"] + stats["single_turn_dropped"] == stats["single_turn_total"]
-    lines = [json.loads(line) for p in pathlib.Path(out, "examples").glob("*.json") for line in p.read_text().splitlines()]
+    lines = [json.loads(line) for p in pathlib.Path(out, "examples").glob("part-*") for line in p.read_text().splitlines()]
     assert len(lines) == n
     assert all(set(x) == set(EXAMPLE.fieldNames()) for x in lines)
     assert any("tool_calls" not in m for x in lines for m in x["messages"])
