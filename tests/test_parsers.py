@@ -19,7 +19,8 @@ def test_whitespace_set_is_complete():
 def test_spaced_json(apply):
     objects = [{"a": {"x": 1, "y": 'p,q:r"s\\'}, "b": [1, 2.5, None], "c": []}, {}, {"é": "\n,:"}]
     compact = [json.dumps(o, ensure_ascii=False, separators=(",", ":")) for o in objects]
-    assert apply(compact, text.spaced_json) == [json.dumps(o, ensure_ascii=False) for o in objects]
+    spaced = [json.dumps(o, ensure_ascii=False) for o in objects]
+    assert apply(compact, text.spaced_json) == apply(spaced, text.spaced_json) == spaced
 
 
 def test_spaced_json_survives_many_escapes(apply):

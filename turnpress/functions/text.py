@@ -19,8 +19,8 @@ CORRUPT = "_corrupt"
 STRICT = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": CORRUPT}
 LENIENT = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": CORRUPT}
 
-# One pass over compact JSON: text up to a structural comma or colon, strings whole.
-_STRUCTURAL = r'(?s)\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])'
+# One pass over JSON: text up to a structural comma or colon and the space behind it.
+_STRUCTURAL = r'(?s)\G((?:[^",:]++|"(?:[^"\\]++|\\.)*+")*+)([,:])[ \t\n\r]*+'
 
 
 def strip(c: Column) -> Column:
@@ -34,7 +34,7 @@ def bind(value: Column, body) -> Column:
 
 
 def spaced_json(c: Column) -> Column:
-    """Compact JSON text with a space after every structural comma and colon."""
+    """JSON text with one space after every structural comma and colon."""
     return F.regexp_replace(c, _STRUCTURAL, "$1$2 ")
 
 
