@@ -197,6 +197,16 @@ def project_batch_columns(spark, sf_dir):
     return train.select(*[joined(c) for c in train.columns])
 
 
+@query("project_eval_columns", f"""
+{_EVAL}
+SELECT array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels,
+  array_to_string(attention_mask, ',') AS attention_mask FROM evals
+""")
+def project_eval_columns(spark, sf_dir):
+    held = packing.project_eval(eval_records(spark, sf_dir))
+    return held.select(*[joined(c) for c in held.columns])
+
+
 @query("doc_boundaries", f"""
 {_PACKED}
 SELECT bin, array_to_string(list_transform(lens, lambda x, i: coalesce(list_sum(lens[1:i - 1]), 0)), ',') AS starts,

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -23,6 +22,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -77,4 +77,4 @@ def sealed(df: DataFrame) -> DataFrame:
     A partition id that is both computed and tested here keeps the two sides apart; it
     costs no shuffle and no copy.
     """
-    return df.withColumn("_part", F.spark_partition_id()).where(F.col("_part") >= 0).drop("_part")
+    return df.selectExpr("*", "spark_partition_id() AS _part").where("_part >= 0").drop("_part")
