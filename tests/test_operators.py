@@ -118,13 +118,13 @@ def test_select_sources():
         dedup.select_sources(both, True, True)
 
 
-def test_conversation_examples_bound_long_conversations(spark):
+def test_conversations_above_the_limit_are_left_out_whole(spark):
     turns = spark.createDataFrame(
-        [(1, i, "user", "hello") for i in range(500)] + [(2, 0, "user", "b"), (2, 1, "assistant", "a")],
+        [(c, i, "user", f"hello {i}") for c, n in ((1, 500), (2, 41), (3, 40), (4, 2)) for i in reversed(range(n))],
         "conv_id bigint, turn bigint, role string, text string",
     )
-    rows = {r["ord"]: r for r in clean.conversation_examples(turns).collect()}
-    assert len(rows[1]["messages"]) == 41 and [m["content"] for m in rows[2]["messages"]] == ["b", "a"]
+    rows = {r["ord"]: [m["content"] for m in r["messages"]] for r in clean.conversation_examples(turns).collect()}
+    assert rows == {3: [f"hello {i}" for i in range(40)], 4: ["hello 0", "hello 1"]}
 
 
 # ---- order ----------------------------------------------------------------------

@@ -79,8 +79,8 @@ def filter_all_normalized(spark, sf_dir):
     )
 
 
-@query("filter_role_presence", """
-SELECT conv_id AS ord, count(*) AS n_messages FROM conversations GROUP BY conv_id
+@query("filter_role_presence", f"""
+SELECT conv_id AS ord, count(*) AS n_messages FROM {sqltext.TALKS} GROUP BY conv_id
 HAVING bool_or(role = 'user') AND bool_or(role = 'assistant')
 """)
 def filter_role_presence(spark, sf_dir):
@@ -116,8 +116,8 @@ def filter_overlength(spark, sf_dir):
     return lengths.where(fits(F.col("n_tokens"), 2048)).select("ord", F.col("n_tokens").cast("bigint"))
 
 
-@query("filter_trainable", """
-SELECT conv_id AS ord, count(*) AS n_assistant FROM conversations WHERE role = 'assistant' GROUP BY conv_id
+@query("filter_trainable", f"""
+SELECT conv_id AS ord, count(*) AS n_assistant FROM {sqltext.TALKS} WHERE role = 'assistant' GROUP BY conv_id
 """)
 def filter_trainable(spark, sf_dir):
     coded = tokenize(inputs.conversations(spark, sf_dir)).where(trainable(F.col("labels")))
@@ -127,8 +127,8 @@ def filter_trainable(spark, sf_dir):
     return turns.join(coded.select("ord"), "ord", "left_semi")
 
 
-@query("union_sources", """
-SELECT 'single_turn' AS source, 0 AS source_rank, count(DISTINCT conv_id) AS n_examples, count(*) AS n_messages FROM conversations
+@query("union_sources", f"""
+SELECT 'single_turn' AS source, 0 AS source_rank, count(DISTINCT conv_id) AS n_examples, count(*) AS n_messages FROM {sqltext.TALKS}
 UNION ALL SELECT 'multi_turn', 1, count(*), 2 * count(*) FROM documents
 """)
 def union_sources_query(spark, sf_dir):
@@ -147,7 +147,7 @@ sha1(string_agg(role || '::' || lower({sqltext.strip('content')}) || '::', chr(1
 
 @query("dedup_key", f"""
 WITH m AS (
-  SELECT 'c' || conv_id AS id, turn AS i, role, text AS content FROM conversations
+  SELECT 'c' || conv_id AS id, turn AS i, role, text AS content FROM {sqltext.TALKS}
   UNION ALL SELECT 'd' || doc_id, 0, 'user', text FROM documents
   UNION ALL SELECT 'd' || doc_id, 1, 'assistant', lang FROM documents)
 SELECT id, {_KEY} AS key FROM m GROUP BY id
@@ -171,8 +171,8 @@ def dedup_key_calls(spark, sf_dir):
 
 _FOLDED = f"""
 WITH m AS (
-  SELECT 0 AS source_rank, conv_id AS ord, turn AS i, role, text AS content FROM conversations
-  UNION ALL SELECT 1, conv_id, turn, role, ' ' || chr(9) || translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || chr(10) || ' ' FROM conversations
+  SELECT 0 AS source_rank, conv_id AS ord, turn AS i, role, text AS content FROM {sqltext.TALKS}
+  UNION ALL SELECT 1, conv_id, turn, role, ' ' || chr(9) || translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') || chr(10) || ' ' FROM {sqltext.TALKS}
   UNION ALL SELECT 2, doc_id, 0, 'user', text FROM documents
   UNION ALL SELECT 2, doc_id, 1, 'assistant', lang FROM documents),
 keyed AS (SELECT source_rank, ord, {_KEY} AS key FROM m GROUP BY source_rank, ord)"""

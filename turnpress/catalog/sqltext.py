@@ -2,6 +2,7 @@
 
 from turnpress.catalog.inputs import SINGLE_TURN_SQL, multi_turn_sql
 from turnpress.functions.text import WHITESPACE
+from turnpress.schemas import MAX_MESSAGES
 
 # White space as an SQL expression.
 SPACES = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
@@ -144,8 +145,11 @@ MULTI_TOOLS = ",".join([_MULTI_TEXT, spans("span2", "sys2"), _MULTI_TOOLS])
 MULTI_TURNS = ",".join([f"raw2 AS ({multi_turn_sql('check')})", _MULTI_TURNS])
 MULTI = ",".join([MULTI_TOOLS, _MULTI_TURNS, _MULTI_CALLS, spans("callspan2", "after2"), _MULTI_MESSAGES])
 
+# Conversations up to the message limit; longer ones are never examples.
+TALKS = f"(SELECT * FROM conversations QUALIFY count(*) OVER (PARTITION BY conv_id) <= {MAX_MESSAGES}) AS talks"
+
 # Conversations and documents as examples: one row per message.
-_CONV = "SELECT conv_id AS ord, turn AS i, role, text AS content FROM conversations"
+_CONV = f"SELECT conv_id AS ord, turn AS i, role, text AS content FROM {TALKS}"
 _DOC = ("SELECT doc_id AS ord, 0 AS i, 'user' AS role, text AS content FROM documents UNION ALL "
         "SELECT doc_id, 1, 'assistant', lang FROM documents")
 

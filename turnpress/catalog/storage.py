@@ -43,11 +43,11 @@ def cap_rows(spark, sf_dir):
     return io.cap_rows(inputs.raw_single_turn(spark, sf_dir), 500)
 
 
-@query("select_sources", """
+@query("select_sources", f"""
 SELECT 'both' AS run, 'single_turn' AS source, count(*) AS n FROM documents
-UNION ALL SELECT 'both', 'multi_turn', count(DISTINCT conv_id) FROM conversations
+UNION ALL SELECT 'both', 'multi_turn', count(DISTINCT conv_id) FROM {sqltext.TALKS}
 UNION ALL SELECT 'single_only', 'single_turn', count(*) FROM documents
-UNION ALL SELECT 'multi_only', 'multi_turn', count(DISTINCT conv_id) FROM conversations
+UNION ALL SELECT 'multi_only', 'multi_turn', count(DISTINCT conv_id) FROM {sqltext.TALKS}
 """)
 def select_sources_query(spark, sf_dir):
     sources = {SINGLE_TURN: inputs.documents(spark, sf_dir), MULTI_TURN: inputs.conversations(spark, sf_dir)}

@@ -128,9 +128,9 @@ def normalize_multi_turn(df: DataFrame) -> DataFrame:
 def conversation_examples(turns: DataFrame, source: str = MULTI_TURN) -> DataFrame:
     """Turn table ``(conv_id, turn, role, text)`` to one example per conversation.
 
-    A conversation above the message limit is never an example, so at most one turn
-    past the limit is carried: a run-away conversation is cut on the map side, before
-    the shuffle, and is then rejected by its size like any other.
+    A conversation above the message limit is never an example and is left out whole.
+    To see that, one turn past the limit is enough: the rank filter cuts a run-away
+    conversation on the map side, before the shuffle.
     """
     w = Window.partitionBy("conv_id").orderBy("turn")
     kept = turns.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= MAX_MESSAGES + 1)
@@ -141,7 +141,7 @@ def conversation_examples(turns: DataFrame, source: str = MULTI_TURN) -> DataFra
     grouped = kept.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct(F.col("_n").alias("n"), message.alias("m")))).alias("items")
     )
-    return grouped.select(
+    return grouped.where(F.size("items") <= MAX_MESSAGES).select(
         F.col("conv_id").alias("ord"), F.lit(source).alias("source"),
         F.array().cast(TOOLS).alias("tools"),
         F.transform("items", lambda i: i["m"]).cast(MESSAGES).alias("messages"),
