@@ -318,10 +318,11 @@ def test_pack_matches_naive(spark, hot):
     assert {r["ord"]: r["bin"] for r in placed} == want
 
 
-def test_pack_without_broadcast_is_the_same(spark, monkeypatch):
+@pytest.mark.parametrize("rows", [0, 10**6])
+def test_pack_does_not_depend_on_the_join(spark, monkeypatch, rows):
     df = lengths_frame(spark, 900, 32, 4)
     want = sorted((r["ord"], r["bin"]) for r in packing.pack_ffd(df, 32).collect())
-    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", rows)
     monkeypatch.setattr(packing, "RANKS_PER_BUCKET", 50)
     assert sorted((r["ord"], r["bin"]) for r in packing.pack_ffd(df, 32).collect()) == want
 

@@ -13,7 +13,7 @@ from turnpress.session import stored
 PLAN_SCHEMA = "n_tokens int, rank_from bigint, rank_to bigint, first_bin bigint, per_bin int"
 # Largest plan sent to every executor (about 40 bytes a row); beyond it rows are shuffled.
 BROADCAST_ROWS = 250_000
-# Ranks per join bucket when the plan is too long to broadcast.
+# Ranks per join bucket: a row meets only the plan rows near its own rank.
 RANKS_PER_BUCKET = 1_000_000
 
 
@@ -52,20 +52,24 @@ def length_runs(histogram, capacity: int) -> list[tuple[int, int, int, int, int]
     return plan
 
 
+def _bucket(rank: Column) -> Column:
+    return F.floor(rank / RANKS_PER_BUCKET)
+
+
 def packing_plan(lengths: DataFrame, capacity: int) -> DataFrame:
-    """Plan rows for a table of ``n_tokens``; only the length histogram leaves Spark."""
+    """Plan rows per rank bucket for a table of ``n_tokens``.
+
+    Only the length histogram leaves Spark. The plan is broadcast when its row count,
+    known here, is small enough; otherwise the join on length and bucket is a shuffle
+    that a single length cannot crowd.
+    """
     counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()
     plan = length_runs([(r["n_tokens"], r["n"]) for r in counts], capacity)
-    spark = lengths.sparkSession
-    frame = spark.createDataFrame(plan, PLAN_SCHEMA)
-    return F.broadcast(frame) if len(plan) <= BROADCAST_ROWS else _bucketed(frame)
-
-
-def _bucketed(plan: DataFrame) -> DataFrame:
-    """A plan too long to broadcast, spread over rank buckets for a shuffled join."""
-    return plan.withColumn("_bucket", F.explode(F.sequence(
-        F.floor(F.col("rank_from") / RANKS_PER_BUCKET), F.floor((F.col("rank_to") - 1) / RANKS_PER_BUCKET)
-    )))
+    rows = sum((hi - 1) // RANKS_PER_BUCKET - lo // RANKS_PER_BUCKET + 1 for _, lo, hi, _, _ in plan)
+    frame = lengths.sparkSession.createDataFrame(plan, PLAN_SCHEMA).withColumn(
+        "bucket", F.explode(F.sequence(_bucket(F.col("rank_from")), _bucket(F.col("rank_to") - 1)))
+    )
+    return F.broadcast(frame) if rows <= BROADCAST_ROWS else frame
 
 
 def pack_ffd(lengths: DataFrame, capacity: int, key: str = "shuffle_key") -> DataFrame:
@@ -75,23 +79,21 @@ def pack_ffd(lengths: DataFrame, capacity: int, key: str = "shuffle_key") -> Dat
     plan by a join on length and rank. ``slot`` sorts a bin in placement order.
     """
     sized = lengths.withColumn("n_tokens", F.col("n_tokens").cast("int"))
-    plan = packing_plan(sized.select("n_tokens"), capacity)
+    plan = packing_plan(sized.select("n_tokens"), capacity).alias("p")
     ranked = with_position(sized, key, within=("n_tokens",), prefix=3).drop("total")
-    on = ["n_tokens"]
-    if "_bucket" in plan.columns:
-        ranked = ranked.withColumn("_bucket", F.floor(F.col("position") / RANKS_PER_BUCKET))
-        on.append("_bucket")
-    p = plan.alias("p")
-    r = ranked.alias("r")
-    match = (F.col("r.position") >= F.col("p.rank_from")) & (F.col("r.position") < F.col("p.rank_to"))
-    for name in on:
-        match = match & (F.col(f"r.{name}") == F.col(f"p.{name}"))
+    r = ranked.withColumn("bucket", _bucket(F.col("position"))).alias("r")
+    match = (
+        (F.col("r.n_tokens") == F.col("p.n_tokens"))
+        & (F.col("r.bucket") == F.col("p.bucket"))
+        & (F.col("r.position") >= F.col("p.rank_from"))
+        & (F.col("r.position") < F.col("p.rank_to"))
+    )
     step = F.floor((F.col("position") - F.col("rank_from")) / F.col("per_bin"))
-    return r.join(p, match).select(
+    return r.join(plan, match).select(
         "r.*",
         (F.col("first_bin") + step).cast("bigint").alias("bin"),
         F.struct((-F.col("r.n_tokens")).alias("by_length"), F.col("position").alias("by_rank")).alias("slot"),
-    ).drop("position", "_bucket")
+    ).drop("position", "bucket")
 
 
 def place(tokens: DataFrame, seq_len: int, key: str = "shuffle_key") -> tuple[DataFrame, DataFrame]:
