@@ -120,26 +120,39 @@ def blocks(rows: DataFrame, key: str, member: str, cap: int) -> DataFrame:
     )
 
 
-class Forest:
-    """Union-find over the positions of one block."""
+class Labels:
+    """Components among the positions of one block: ``label[i]`` is the smallest position joined to i."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        i, j = self.root(i), self.root(j)
-        if i != j:
-            self.up[max(i, j)] = min(i, j)
-
-    def roots(self) -> np.ndarray:
-        return np.fromiter((self.root(i) for i in range(len(self.up))), np.int64, len(self.up))
+        self.label = np.arange(n)
+
+    def join(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Join i[k] with j[k] for all k; pairs that are together already cost one comparison."""
+        x, y = self.label[i], self.label[j]
+        apart = x != y
+        if not apart.any():
+            return
+        n = len(self.label)
+        up: dict[int, int] = {}
+
+        def root(v: int) -> int:
+            while (w := up.get(v, v)) != v:
+                up[v] = v = up.get(w, w)
+            return v
+
+        for pair in np.unique(x[apart] * n + y[apart]).tolist():
+            v, w = root(pair // n), root(pair % n)
+            if v != w:
+                up[max(v, w)] = min(v, w)
+        moved = np.arange(n)
+        for v in list(up):
+            moved[v] = root(v)
+        self.label = moved[self.label]
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Positions that are not their own label, and their labels."""
+        moved = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return moved, self.label[moved]
 
 
 def drop(spark: SparkSession, path: str) -> None:
@@ -183,6 +196,6 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "WORD", "read", "fold", "map_batches", "with_batch_column", "texts", "runs", "bounds", "blocks", "Forest",
+    "WORD", "read", "fold", "map_batches", "with_batch_column", "texts", "runs", "bounds", "blocks", "Labels",
     "components", "stored", "drop",
 ]
