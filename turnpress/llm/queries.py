@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnpress.llm import bpe, chat, mixing, quality, rules, simhash, substrings
+from turnpress.llm import bpe, chat, mixing, neighbours, quality, rules, simhash, substrings, toxicity
 from turnpress.llm.common import fold, read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,20 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         digest(loss).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+@query
+def op1_embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op6_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = fold(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels").where(~held_out))
+    scored = toxicity.scored(docs, model)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", toxicity.toxic(F.col("score")).cast("int").alias("predicted")
+    )
