@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,36 +163,38 @@ def drop(spark: SparkSession, path: str) -> None:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component_id): the smallest id reachable, for every id in ``edges`` (a, b) that is not its own.
 
-    Alternating large and small stars: every node points to the smallest node it knows of,
-    then the nodes it knew before do. Each round is one written table in the shared folder;
-    the rounds end when a round changes nothing. Nothing is collected but a checksum.
+    Rounds of large and small stars: every larger neighbour of a node points to the smallest
+    one, then every smaller neighbour does. The minimum per node is summed up before it is
+    shuffled and comes back by a join, which Spark may split, so a node with very many
+    neighbours is no single task. A round is one written table in the shared folder with a
+    mark on every edge it moved; the rounds end when none moved. Only that flag is collected.
     """
     spark = edges.sparkSession
     a, b = F.col("a"), F.col("b")
+    schema = "a bigint, b bigint, moved boolean"
 
-    def written(df: DataFrame) -> tuple[str, DataFrame, tuple]:
+    def written(df: DataFrame) -> tuple[str, DataFrame, bool]:
         path = new_path(spark, "stars")
         df.write.parquet(path)
-        out = spark.read.schema("a bigint, b bigint").parquet(path)
-        mark = out.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        return path, out, tuple(mark)
+        out = spark.read.schema(schema).parquet(path)
+        return path, out, bool(out.agg(F.max("moved")).first()[0])
 
-    path, now, mark = written(
-        edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
+    path, now, more = written(
+        edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b"), F.lit(True).alias("moved"))
     )
-    while mark[0]:
-        both = now.union(now.select("b", "a"))
+    by_node = Window.partitionBy("a").orderBy("b", F.col("moved").desc())
+    while more:
+        both = now.select("a", "b").union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b")).where(a != b).distinct()
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        moved = large.join(small, "a").where(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
-        following = small.select("a", F.col("m").alias("b")).union(moved).distinct()
-        old, last = path, mark
-        path, now, mark = written(following)
+        large = both.join(least, "a").where(b > a).select(b.alias("a"), F.col("m").alias("b"), (F.col("m") != a).alias("moved"))
+        ranked = large.select("a", "b", "moved", F.first("b").over(by_node).alias("m"), F.lag("b").over(by_node).alias("last"))
+        small = ranked.where("last IS NULL OR last != b").select(
+            F.when(b == F.col("m"), a).otherwise(b).alias("a"), F.col("m").alias("b"), (F.col("moved") | (b != F.col("m"))).alias("moved")
+        )
+        old = path
+        path, now, more = written(small)
         drop(spark, old)
-        if mark == last:
-            break
-    return now.select(a.alias("id"), b.alias("component_id"))
+    return now.select(a.alias("id"), b.alias("component_id")).distinct()
 
 
 __all__ = [
