@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnpress.llm import bpe, chat, mixing, neighbours, quality, rules, simhash, substrings, toxicity
+from turnpress.llm import (
+    bpe,
+    chat,
+    contexts,
+    mixing,
+    neighbours,
+    quality,
+    rules,
+    simhash,
+    substrings,
+    toxicity,
+)
 from turnpress.llm.common import fold, read, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +122,14 @@ def op6_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", toxicity.toxic(F.col("score")).cast("int").alias("predicted")
     )
+
+
+@query
+def op3_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "_metadata.file_path", "_metadata.row_index")
+    held_out = fold(F.col("doc_id"), 10) == 0
+    block = F.xxhash64("file_path", F.floor(F.col("row_index") / 4000))
+    scored = contexts.score(docs, ~held_out, block)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"
+    )
