@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnpress.operators.clean import conversation_examples, flag_multi_turn, flag_single_turn
-from turnpress.schemas import CALLS, EXAMPLE, MAX_MESSAGES, MESSAGES, MULTI_TURN, SINGLE_TURN, TOOLS
+from turnpress.schemas import CALLS, EXAMPLE, MESSAGES, MULTI_TURN, SINGLE_TURN, TOOLS
 from turnpress.session import spread
 
 _K = "CAST(regexp_extract(props, '[0-9]+', 0) AS BIGINT)"
@@ -60,7 +60,7 @@ _JOIN_LINES = {
 
 
 def multi_turn_sql(dialect: str) -> str:
-    """Raw multi-turn corpus; a conversation keeps one turn more than an example may have."""
+    """Raw multi-turn corpus: every conversation with all its turns, whether or not an event has its number."""
     quote = "chr(39)"
     return f"""
 SELECT conv_id AS ord,
@@ -89,14 +89,15 @@ FROM (
       WHEN role = 'assistant' AND k < 40 THEN 'ASSISTANT: ' || text || ' <functioncall> {{' || {quote} || 'name' || {quote} || ': ' || {quote}
         || event_type || {quote} || ', ' || {quote} || 'arguments' || {quote} || ': {{' || {quote} || 'ok' || {quote} || ': True}}}} <|endoftext|>'
       WHEN role = 'assistant' AND k BETWEEN 75 AND 79 THEN 'ASSISTANT: ' || text || repeat(chr(10) || 'USER: again' || chr(10) || 'ASSISTANT: and again', 21)
+      WHEN role = 'assistant' AND k BETWEEN 85 AND 87 THEN 'ASSISTANT: <functioncall> {{"arguments": {{}}}} <|endoftext|>'
       WHEN role = 'assistant' AND k BETWEEN 80 AND 84 THEN 'ASSISTANT: ' || chr(10) || chr(10) || 'ASSISTANT: see USER: ' || text || ' <|endoftext|> <|endoftext|>'
       WHEN role = 'assistant' THEN 'ASSISTANT: ' || text || ' <|endoftext|>'
     END AS line
   FROM (
-    SELECT c.conv_id, c.turn, c.role, c.text, e.event_type, e.props, {_K} AS k
-    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) AS c
-    JOIN events AS e ON c.conv_id = e.event_id
-    WHERE c.n <= {MAX_MESSAGES + 1}) AS marked) AS written
+    SELECT conv_id, turn, role, text, event_type, props, {_K} AS k FROM (
+      SELECT c.conv_id, c.turn, c.role, c.text, coalesce(e.event_type, 'view') AS event_type,
+        coalesce(e.props, '{{"k": ' || CAST(c.conv_id % 100 AS STRING) || '}}') AS props
+      FROM conversations AS c LEFT JOIN events AS e ON c.conv_id = e.event_id) AS joined) AS marked) AS written
 GROUP BY conv_id, k
 """
 

@@ -99,20 +99,24 @@ WITH texts AS (
   SELECT page_id AS id, html AS txt FROM pages
   UNION ALL SELECT 1000000000 + doc_id, text FROM documents
   UNION ALL SELECT 2000000000 + ord, coalesce(system, '') FROM ({sqltext.multi_turn_sql("check")}) r),
-{sqltext.spans("found", "texts")}
-SELECT id, CAST(i AS BIGINT) AS position, CAST(start - 1 AS BIGINT) AS start, span FROM found
+{sqltext.spans("found", "texts")},
+plain AS (SELECT *, replace(replace(replace(span, '''', '"'), 'True', 'true'), 'None', 'null') AS js FROM found)
+SELECT id, CAST(i AS BIGINT) AS position, CAST(start - 1 AS BIGINT) AS start, span FROM plain
+WHERE json_valid(span) OR json_valid(js)
 """)
 def extract_json_objects(spark, sf_dir):
-    """Balanced brace spans of all pages, documents and prompts, with their offsets."""
+    """Objects in all pages, documents and prompts, with their offsets; spans that do not parse are skipped."""
     pages = inputs.table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("txt"))
     docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id") + 1000000000, "text")
     prompts = inputs.raw_multi_turn(spark, sf_dir).select(F.col("ord") + 2000000000, F.coalesce("system", F.lit("")))
-    texts = spread(pages.union(docs)).union(prompts)
-    found = texts.select("id", "txt", F.posexplode(spans.brace_offsets(F.col("txt"))).alias("n", "s"))
-    return found.select(
+    texts = spread(pages.union(docs)).union(prompts).where(F.instr("txt", "{") > 0)
+    found = spans.with_objects(
+        texts.select("id", spans.brace_offsets(F.col("txt")).alias("at"), spans.brace_spans(F.col("txt")).alias("span")), "span", "object"
+    )
+    each = found.select("id", F.posexplode(F.arrays_zip("at", "span", "object")).alias("n", "s"))
+    return each.where("s.object IS NOT NULL").select(
         "id", (F.col("n") + 1).cast("bigint").alias("position"),
-        (F.col("s.start") - 1).cast("bigint").alias("start"),
-        F.substring("txt", F.col("s.start"), F.col("s.len")).alias("span"),
+        (F.col("s.at.start") - 1).cast("bigint").alias("start"), F.col("s.span").alias("span"),
     )
 
 
@@ -162,7 +166,7 @@ WITH {sqltext.MULTI}
 SELECT ord, i AS position, strpos(raw_content, '<functioncall>') - 1 AS marker_start,
   strpos(raw_content, '<functioncall>') + 13 + strpos(substr(raw_content, strpos(raw_content, '<functioncall>') + 14), '{{') - 1 + length(span) AS call_end,
   name, args AS arguments
-FROM msg2 WHERE marked AND name IS NOT NULL
+FROM msg2 WHERE marked AND span IS NOT NULL
 """)
 def find_function_call(spark, sf_dir):
     turns = _turn_table(spark, sf_dir).where((F.col("role") == "ASSISTANT") & chat.has_call_marker(F.col("content")))
@@ -171,12 +175,13 @@ def find_function_call(spark, sf_dir):
         chat.call_end(F.col("content")).cast("bigint").alias("call_end"),
         F.array(chat.call_text(F.col("content"))).alias("objects"),
     )
-    parsed = spans.with_objects(found, "objects", "objects").withColumn(
-        "call", F.get(tools.tool_calls(F.col("objects")), F.lit(0))
-    )
-    return sealed(parsed).where(F.col("call").isNotNull()).select(
+    parsed = spans.with_objects(found, "objects", "objects").withColumns({
+        "object": F.get("objects", F.lit(0)), "call": F.get(tools.tool_calls(F.col("objects")), F.lit(0)),
+    })
+    return sealed(parsed).where(F.col("object").isNotNull()).select(
         "ord", "position", "marker_start", "call_end",
-        F.col("call.function.name").alias("name"), F.col("call.function.arguments").alias("arguments"),
+        F.coalesce(F.col("call.function.name"), F.get_json_object("object", "$.name")).alias("name"),
+        F.coalesce(F.col("call.function.arguments"), F.get_json_object("object", "$.arguments")).alias("arguments"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from turnpress.catalog.inputs import SINGLE_TURN_SQL, multi_turn_sql
 from turnpress.functions.text import WHITESPACE
-from turnpress.schemas import MAX_MESSAGES
 
 # White space as an SQL expression.
 SPACES = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
@@ -120,7 +119,7 @@ obj2 AS (
     regexp_extract(span, '^\\{{"name": "([^"]*)", "arguments": ''(.*)''\\}}$', ['n', 'a']) AS quoted
   FROM callspan2 WHERE i = 1),
 call2 AS (
-  SELECT id, span, coalesce(json_extract_string(js, '$.name'), quoted.n) AS name,
+  SELECT id, span, coalesce(json_extract_string(js, '$.name'), nullif(quoted.n, '')) AS name,
     coalesce({spaced("json_extract(js, '$.arguments')")}, quoted.a) AS args
   FROM obj2 WHERE js IS NOT NULL OR quoted.n <> ''),
 msg2 AS (
@@ -145,11 +144,8 @@ MULTI_TOOLS = ",".join([_MULTI_TEXT, spans("span2", "sys2"), _MULTI_TOOLS])
 MULTI_TURNS = ",".join([f"raw2 AS ({multi_turn_sql('check')})", _MULTI_TURNS])
 MULTI = ",".join([MULTI_TOOLS, _MULTI_TURNS, _MULTI_CALLS, spans("callspan2", "after2"), _MULTI_MESSAGES])
 
-# Conversations up to the message limit; longer ones are never examples.
-TALKS = f"(SELECT * FROM conversations QUALIFY count(*) OVER (PARTITION BY conv_id) <= {MAX_MESSAGES}) AS talks"
-
 # Conversations and documents as examples: one row per message.
-_CONV = f"SELECT conv_id AS ord, turn AS i, role, text AS content FROM {TALKS}"
+_CONV = "SELECT conv_id AS ord, turn AS i, role, text AS content FROM conversations"
 _DOC = ("SELECT doc_id AS ord, 0 AS i, 'user' AS role, text AS content FROM documents UNION ALL "
         "SELECT doc_id, 1, 'assistant', lang FROM documents")
 
@@ -173,4 +169,4 @@ RENDERED_DOC = rendered(_DOC)
 
 
 def key(seed: str, column: str) -> str:
-    return f"sha1({seed} || '|' || CAST({column} AS VARCHAR))"
+    return f"sha1({seed} || '|' || length(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR))"

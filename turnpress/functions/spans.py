@@ -8,58 +8,140 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from turnpress.functions.text import CORRUPT, LENIENT, STRICT
+from turnpress.functions.text import CORRUPT, LENIENT, STRICT, bind
 from turnpress.schemas import SPANS, TEXTS
 from turnpress.session import sealed
 
 # A quoted string (closed or not), one brace, or a run of anything else.
-TOKEN = r'(?s)"(?:[^"\\]++|\\.)*+"?|[{}]|[^"{}]++'
+_ONE = r'"(?:[^"\\]++|\\.)*+"?|[{}]|[^"{}]++'
+TOKEN = f"(?s){_ONE}"
+
+# Tokens that are folded together. Arrays grow inside one chunk only, so the work on a
+# text grows with its length and not with its square.
+CHUNK = 128
+_CHUNK = f"(?s)(?:{_ONE}){{1,{CHUNK}}}"
+
+# Marks the edges of spans in a copy of the text; the escape keeps it unambiguous.
+_ESCAPE, _ESCAPED, _EDGE = "\x01", "\x01e", "\x01s"
 
 # Words and escapes that mean something else in a Python literal than in JSON.
 _LITERAL_ONLY = r"true|false|null|NaN|INF|Infinity|\\[/u]"
 
-_STATE = T.StructType([
-    T.StructField("pos", T.IntegerType()), T.StructField("depth", T.IntegerType()),
-    T.StructField("start", T.IntegerType()), T.StructField("spans", SPANS),
-])
+_SUM = "struct<net:int,low:int,size:int>"
+_AT = "struct<pos:int,depth:int>"
+_EDGES = "array<struct<pos:int,opens:boolean>>"
 
 
-def brace_offsets(text: Column) -> Column:
-    """``(start, len)`` of every balanced top-level span; braces in strings do not count.
+def _tokens(chunk: Column) -> Column:
+    return F.regexp_extract_all(chunk, F.lit(TOKEN), F.lit(0))
+
+
+def _chunks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_CHUNK), F.lit(0))
+
+
+def _deeper(depth: Column, token: Column) -> Column:
+    """Depth behind a token; a brace that closes nothing leaves it at zero."""
+    return F.when(token == "{", depth + 1).when((token == "}") & (depth > 0), depth - 1).otherwise(depth)
+
 
-    Strings are single tokens, so the fold only tracks depth and offsets and never
-    copies text.
+def _beginnings(chunks: Column) -> Column:
+    """Offset (from one) and depth at the start of every chunk.
+
+    Of a chunk only the net change of depth, its lowest point and its length are needed:
+    from depth d it ends at max(d + net, net - lowest).
     """
 
+    def summed(chunk):
+        def step(s, token):
+            net = s["net"] + F.when(token == "{", 1).when(token == "}", -1).otherwise(0)
+            return F.struct(
+                net.alias("net"), F.least(s["low"], net).alias("low"), (s["size"] + F.length(token)).alias("size")
+            ).cast(_SUM)
+
+        zero = F.struct(F.lit(0).alias("net"), F.lit(0).alias("low"), F.lit(0).alias("size")).cast(_SUM)
+        return F.aggregate(_tokens(chunk), zero, step)
+
+    state = f"struct<pos:int,depth:int,at:array<{_AT}>>"
+    zero = F.struct(F.lit(1).alias("pos"), F.lit(0).alias("depth"), F.array().cast(f"array<{_AT}>").alias("at")).cast(state)
+
+    def next_chunk(s, c):
+        here = F.struct(s["pos"].alias("pos"), s["depth"].alias("depth")).cast(_AT)
+        return F.struct(
+            (s["pos"] + c["size"]).alias("pos"),
+            F.greatest(s["depth"] + c["net"], c["net"] - c["low"]).alias("depth"),
+            F.concat(s["at"], F.array(here)).alias("at"),
+        ).cast(state)
+
+    return F.aggregate(F.transform(chunks, summed), zero, next_chunk, lambda s: s["at"])
+
+
+def _edges(chunk: Column, begin: Column) -> Column:
+    """Offsets in one chunk where top-level spans open, and behind where they close."""
+    state = f"struct<pos:int,depth:int,edges:{_EDGES}>"
+    zero = F.struct(begin["pos"].alias("pos"), begin["depth"].alias("depth"), F.array().cast(_EDGES).alias("edges")).cast(state)
+
     def step(s, token):
-        opens = token == "{"
-        closes = (token == "}") & (s["depth"] > 0)
         after = s["pos"] + F.length(token)
+        opens, closes = (token == "{") & (s["depth"] == 0), (token == "}") & (s["depth"] == 1)
+        edge = F.array(F.struct(F.when(opens, s["pos"]).otherwise(after).alias("pos"), opens.alias("opens"))).cast(_EDGES)
         return F.struct(
-            after.alias("pos"),
-            F.when(opens, s["depth"] + 1).when(closes, s["depth"] - 1).otherwise(s["depth"]).alias("depth"),
-            F.when(opens & (s["depth"] == 0), s["pos"]).otherwise(s["start"]).alias("start"),
-            F.when(
-                closes & (s["depth"] == 1),
-                F.concat(s["spans"], F.array(F.struct(s["start"].alias("start"), (after - s["start"]).alias("len")))),
-            ).otherwise(s["spans"]).alias("spans"),
-        )
-
-    zero = F.struct(
-        F.lit(1).alias("pos"), F.lit(0).alias("depth"), F.lit(0).alias("start"),
-        F.array().cast(SPANS).alias("spans"),
-    ).cast(_STATE)
-    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
-    found = F.aggregate(tokens, zero, lambda s, t: step(s, t).cast(_STATE), lambda s: s["spans"])
-    none = F.array().cast(SPANS)
-    return F.when(F.instr(text, "{") > 0, found).otherwise(none)
+            after.alias("pos"), _deeper(s["depth"], token).alias("depth"),
+            F.when(opens | closes, F.concat(s["edges"], edge)).otherwise(s["edges"]).alias("edges"),
+        ).cast(state)
+
+    return F.aggregate(_tokens(chunk), zero, step, lambda s: s["edges"])
+
+
+def brace_offsets(text: Column) -> Column:
+    """``(start, len)`` of every balanced top-level span; braces in strings do not count.
+
+    Offsets count from one. Strings are single tokens; chunks of tokens are folded for
+    their sums first, and then, each from its own beginning, for the edges of spans.
+    """
+
+    def paired(edges):
+        starts, ends = F.filter(edges, lambda e: e["opens"]), F.filter(edges, lambda e: ~e["opens"])
+        return bind(F.struct(starts.alias("a"), ends.alias("b")), lambda p: F.zip_with(
+            F.slice(p["a"], F.lit(1), F.size(p["b"])), p["b"],
+            lambda a, b: F.struct(a["pos"].alias("start"), (b["pos"] - a["pos"]).alias("len")),
+        )).cast(SPANS)
+
+    def found(chunks):
+        return bind(F.flatten(F.zip_with(chunks, _beginnings(chunks), _edges)), paired)
+
+    return F.when(F.instr(text, "{") > 0, bind(_chunks(text), found)).otherwise(F.array().cast(SPANS))
 
 
 def brace_spans(text: Column) -> Column:
-    """Texts of the balanced top-level spans, in order of appearance."""
-    return F.transform(brace_offsets(text), lambda s: F.substring(text, s["start"], s["len"]))
+    """Texts of the balanced top-level spans, in order of appearance.
+
+    A copy of the text with a mark at every edge is split at the marks: every second piece
+    is a span, and the last one is none if it never closes.
+    """
+
+    def marked(chunk, begin):
+        state = "struct<depth:int,out:string>"
+        zero = F.struct(begin["depth"].alias("depth"), F.lit("").alias("out")).cast(state)
+
+        def step(s, token):
+            piece = F.when((token == "{") & (s["depth"] == 0), F.concat(F.lit(_EDGE), token)).when(
+                (token == "}") & (s["depth"] == 1), F.concat(token, F.lit(_EDGE))
+            ).otherwise(token)
+            return F.struct(_deeper(s["depth"], token).alias("depth"), F.concat(s["out"], piece).alias("out")).cast(state)
+
+        return F.aggregate(_tokens(chunk), zero, step, lambda s: s["out"])
+
+    def pieces(chunks):
+        return F.split(F.array_join(F.zip_with(chunks, _beginnings(chunks), marked), ""), _EDGE, -1)
+
+    def inside(parts):
+        closed = F.filter(parts, lambda p, i: (i % 2 == 1) & (i < F.size(parts) - 1))
+        return F.transform(closed, lambda p: F.replace(p, F.lit(_ESCAPED), F.lit(_ESCAPE)))
+
+    whole = bind(_chunks(F.replace(text, F.lit(_ESCAPE), F.lit(_ESCAPED))), lambda c: bind(pieces(c), inside))
+    return F.when(F.instr(text, "{") > 0, whole).otherwise(F.array().cast(TEXTS))
 
 
 def _parses(text: Column, options: dict) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnpress.functions.chat import user_text_ok, with_messages
@@ -126,23 +126,17 @@ def normalize_multi_turn(df: DataFrame) -> DataFrame:
 
 
 def conversation_examples(turns: DataFrame, source: str = MULTI_TURN) -> DataFrame:
-    """Turn table ``(conv_id, turn, role, text)`` to one example per conversation.
+    """Turn table ``(conv_id, turn, role, text)`` to one example per conversation, all turns in order.
 
-    A conversation above the message limit is never an example and is left out whole.
-    To see that, one turn past the limit is enough: the rank filter cuts a run-away
-    conversation on the map side, before the shuffle.
+    A conversation is one row of the result, so its turns meet in one task; its length is
+    judged by ``message_count_ok`` and by no one else.
     """
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    kept = turns.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= MAX_MESSAGES + 1)
-    message = F.struct(
-        F.col("role").alias("role"), F.col("text").alias("content"),
-        F.lit(None).cast(CALLS).alias("tool_calls"),
+    message = lambda i: F.struct(
+        i["role"].alias("role"), i["text"].alias("content"), F.lit(None).cast(CALLS).alias("tool_calls")
     )
-    grouped = kept.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_n").alias("n"), message.alias("m")))).alias("items")
-    )
-    return grouped.where(F.size("items") <= MAX_MESSAGES).select(
+    grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("items"))
+    return grouped.select(
         F.col("conv_id").alias("ord"), F.lit(source).alias("source"),
         F.array().cast(TOOLS).alias("tools"),
-        F.transform("items", lambda i: i["m"]).cast(MESSAGES).alias("messages"),
+        F.transform("items", message).cast(MESSAGES).alias("messages"),
     )

@@ -10,9 +10,18 @@ PREFIX = 4
 
 
 def shuffle_key(seed: int | Column, *keys: Column) -> Column:
-    """Hex key whose order is a fixed permutation of the rows for each seed."""
+    """Hex key whose order is a fixed permutation of the rows for each seed.
+
+    Every part goes in with its length, so no two lists of parts give one text. A NULL
+    part would make rows alike that are not, and ends the job.
+    """
     seed = seed if isinstance(seed, Column) else F.lit(seed)
-    return F.sha1(F.concat_ws("|", seed.cast("string"), *[k.cast("string") for k in keys]).cast("binary"))
+
+    def part(key: Column) -> Column:
+        text = F.coalesce(key.cast("string"), F.raise_error(F.lit("NULL in a key part: give the rows an order first")).cast("string"))
+        return F.concat(F.length(text).cast("string"), F.lit(":"), text)
+
+    return F.sha1(F.concat_ws("|", seed.cast("string"), *[part(k) for k in keys]).cast("binary"))
 
 
 def with_shuffle_key(df: DataFrame, seed: int, *keys: str) -> DataFrame:
@@ -70,6 +79,26 @@ def holdout_cutoff(df: DataFrame, n: int, key: str = "shuffle_key", prefix: int
     return inside.agg(F.max(key)).first()[0]
 
 
+def order_cutoff(df: DataFrame, n: int, order: str = "ord") -> int | None:
+    """The n-th smallest whole number in ``order``, or None when there are fewer than n.
+
+    Counts over 4,096 equal ranges locate the range that holds it, which is then cut the
+    same way. Only one column is read and only one range reaches the driver per round.
+    """
+    low, high, total = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    if total < n:
+        return None
+    while low < high:
+        width = max(1, -(-(high - low + 1) // 4096))
+        inside = df.where(F.col(order).between(low, high))
+        counts = inside.groupBy(F.floor((F.col(order) - low) / width).cast("int").alias("_r")).agg(F.count("*").alias("_n"))
+        upto = F.sum("_n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0))
+        hit = counts.withColumn("_upto", upto).where(F.col("_upto") >= n).orderBy("_r").first()
+        n -= hit["_upto"] - hit["_n"]
+        low, high = low + hit["_r"] * width, min(high, low + (hit["_r"] + 1) * width - 1)
+    return low
+
+
 def holdout_split(df: DataFrame, eval_size: int, key: str = "shuffle_key") -> DataFrame:
     """Adds ``split``: the ``eval_size`` smallest keys are ``eval``, the rest ``train``.
 

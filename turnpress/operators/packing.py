@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import heapq
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,38 +19,82 @@ BROADCAST_ROWS = 250_000
 RANKS_PER_BUCKET = 1_000_000
 
 
+class _Rooms:
+    """Runs of equal bins by room; the leftmost run with enough room is found in log time.
+
+    Runs of one room wait in a heap by first bin. A tree over rooms keeps the smallest
+    first bin of every range of rooms.
+    """
+
+    def __init__(self, capacity: int):
+        self.size = 1 << capacity.bit_length()
+        self.none = float("inf")
+        self.least = [self.none] * (2 * self.size)
+        self.heaps: dict[int, list[tuple[int, int]]] = {}
+
+    def _renew(self, room: int) -> None:
+        heap, at = self.heaps[room], room + self.size
+        self.least[at] = heap[0][0] if heap else self.none
+        at >>= 1
+        while at:
+            self.least[at] = min(self.least[2 * at], self.least[2 * at + 1])
+            at >>= 1
+
+    def add(self, first: int, bins: int, room: int) -> None:
+        heapq.heappush(self.heaps.setdefault(room, []), (first, bins))
+        self._renew(room)
+
+    def take(self, room: int) -> tuple[int, int, int] | None:
+        """``(first, bins, room)`` of the leftmost run with at least ``room``, taken out."""
+        at = found = room + self.size
+        while at > 1:
+            if at % 2 == 0 and self.least[at + 1] < self.least[found]:
+                found = at + 1  # all rooms to the right of this branch
+            at //= 2
+        if self.least[found] == self.none:
+            return None
+        while found < self.size:
+            found = 2 * found + (self.least[2 * found] > self.least[2 * found + 1])
+        first, bins = heapq.heappop(self.heaps[found - self.size])
+        self._renew(found - self.size)
+        return first, bins, found - self.size
+
+
 def length_runs(histogram, capacity: int) -> list[tuple[int, int, int, int, int]]:
     """First-fit-decreasing over a length histogram, on runs of equal bins.
 
     ``histogram`` is ``(length, count)``, so its size is bounded by the capacity and
-    not by the data. Neighbouring bins with the same room form one run; a length
-    leaves at most two runs more than it found. Returns ``(length, rank_from, rank_to,
-    first_bin, per_bin)``: the items of that length with those ranks go ``per_bin`` at
-    a time into consecutive bins.
+    not by the data. Neighbouring bins with the same room form one run; a length cuts
+    the leftmost run that has room for it in at most three. Returns ``(length,
+    rank_from, rank_to, first_bin, per_bin)``: the items of that length with those ranks
+    go ``per_bin`` at a time into consecutive bins.
     """
     histogram = sorted(((int(n), int(c)) for n, c in histogram), reverse=True)
     if any(not 0 < length <= capacity for length, _ in histogram):
         raise ValueError(f"every length must be between 1 and {capacity}")
-    plan, runs, next_bin = [], [], 0
+    plan, rooms, next_bin = [], _Rooms(capacity), 0
     for length, count in histogram:
-        left, after = count, []
-        new_bins = -(-count // (capacity // length))
-        for first, bins, room in [*runs, (next_bin, new_bins, capacity)]:
+        left = count
+        while left:
+            run = rooms.take(length)
+            if run is None:
+                opened = -(-left // (capacity // length))
+                run = (next_bin, opened, capacity)
+                next_bin += opened
+            first, bins, room = run
             each = room // length
-            full = min(bins, left // each) if each else 0
-            rest = left - full * each if each and full < bins else 0
+            full = min(bins, left // each)
+            rest = left - full * each if full < bins else 0
             for n, items in ((full, each), (min(rest, 1), rest), (bins - full - min(rest, 1), 0)):
-                if items == 0 and first >= next_bin:
-                    break  # bins that were never opened
-                if n and items:
+                if not n:
+                    continue
+                if items:
                     rank = count - left
                     plan.append((length, rank, rank + n * items, first, items))
                     left -= n * items
-                if n and room - items * length >= histogram[-1][0]:
-                    after.append((first, n, room - items * length))
+                if room - items * length >= histogram[-1][0]:
+                    rooms.add(first, n, room - items * length)
                 first += n
-        next_bin = max(next_bin, first)
-        runs = after
     return plan
 
 
@@ -101,6 +147,8 @@ def place(tokens: DataFrame, seq_len: int, key: str = "shuffle_key") -> tuple[Da
 
     Token arrays are shuffled once to join their bin; ``build_packed`` gathers them.
     """
+    if tokens.groupBy(key).count().where("count > 1").limit(1).collect():
+        raise ValueError(f"{key} is not unique")
     bins = stored(pack_ffd(tokens.select(key, "n_tokens"), seq_len, key), "bins")
     placed = tokens.select(key, "input_ids", "labels").join(bins.select(key, "bin", "slot"), key)
     return bins, placed

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -10,15 +11,19 @@ from pyspark.sql import types as T
 
 from turnpress.functions.text import spaced_json
 from turnpress.functions.tokens import tool_json
+from turnpress.operators.order import order_cutoff
 from turnpress.schemas import EVAL, EXAMPLE, INTS, METRICS, PACKED, RAW_MULTI_TURN, RAW_SINGLE_TURN, STATS, TOOLS
-from turnpress.session import spread
 
 
 def _scan(spark: SparkSession, path: str, schema: T.StructType, fmt: str, has_ord: bool) -> DataFrame:
+    """Typed rows; a line or file that does not fit the schema ends the job."""
+    reader = spark.read.format(fmt).option("mode", "FAILFAST")
     if has_ord:
-        return spread(spark.read.schema(schema).format(fmt).load(path))
+        return reader.schema(schema).load(path)
     body = T.StructType([f for f in schema if f.name != "ord"])
-    return with_file_order(spark.read.schema(body).parquet(path)).select(*schema.fieldNames())
+    rows = reader.schema(body).load(path)
+    ordered = with_file_order(rows) if fmt == "parquet" else with_line_order(rows)
+    return ordered.select(*schema.fieldNames())
 
 
 def with_file_order(parquet: DataFrame) -> DataFrame:
@@ -35,6 +40,22 @@ def with_file_order(parquet: DataFrame) -> DataFrame:
     )
 
 
+def with_line_order(lines: DataFrame) -> DataFrame:
+    """``ord`` for text or JSON lines without one: files by path, lines as stored, counted from zero.
+
+    A file is read in splits. Rows are numbered inside their split and the counts of the
+    splits before it are added; the number does not depend on how files were split. Only
+    the list of splits, one row each, is summed in one task.
+    """
+    place = {"_file": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start"), "_id": F.monotonically_increasing_id()}
+    rows = lines.select("*", *(c.alias(n) for n, c in place.items()))
+    splits = rows.groupBy("_file", "_start").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.select("_file", "_start", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_shift"))
+    numbered = rows.join(offsets, ["_file", "_start"]).withColumn("ord", F.col("_id") + F.col("_shift"))
+    return numbered.drop("_file", "_start", "_id", "_shift")
+
+
 def scan_single_turn(spark: SparkSession, path: str, fmt: str = "parquet", has_ord: bool = True) -> DataFrame:
     return _scan(spark, path, RAW_SINGLE_TURN, fmt, has_ord)
 
@@ -49,8 +70,16 @@ def without_nulls(df: DataFrame) -> DataFrame:
 
 
 def cap_rows(df: DataFrame, max_rows: int | None, order: str = "ord") -> DataFrame:
-    """The first rows in source order, for trial runs; None keeps all."""
-    return df if max_rows is None else df.orderBy(order).limit(max_rows)
+    """The first rows in source order, for trial runs; None keeps all.
+
+    The cut-off number is found by counting, so the cap itself is a filter and no sort.
+    """
+    if max_rows is None:
+        return df
+    if max_rows <= 0:
+        return df.limit(0)
+    last = order_cutoff(df, max_rows, order)
+    return df if last is None else df.where(F.col(order) <= last)
 
 
 def example_line(tools: Column) -> Column:
@@ -65,9 +94,12 @@ def write_jsonl(examples: DataFrame, path: str) -> None:
     examples.select(example_line(F.col("tools")).alias("value")).write.mode("errorifexists").text(path)
 
 
-def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """Prepared examples; nested tool parameters come back as JSON text."""
-    rows = spread(spark.read.schema(EXAMPLE).json(path))
+def read_jsonl(spark: SparkSession, path: str, has_ord: bool = True) -> DataFrame:
+    """Prepared examples; nested tool parameters come back as JSON text.
+
+    Lines without ``ord`` are numbered in file order; a line that is no example ends the job.
+    """
+    rows = _scan(spark, path, EXAMPLE, "json", has_ord)
 
     def respaced(tool):
         fn = tool["function"]
@@ -104,11 +136,12 @@ def _checked(df: DataFrame, columns: tuple[str, ...], seq_len: int) -> DataFrame
 
 
 def write_packed(packed: DataFrame, records: DataFrame, path: str, seq_len: int) -> None:
-    """``train/`` (packed) and ``eval/`` (one conversation per row) as Parquet."""
+    """``train/`` (packed) and ``eval/`` (one conversation per row) as Parquet; what is complete stays."""
     train = _checked(packed, ("input_ids", "labels", "position_ids"), seq_len)
     held = _checked(records, ("input_ids", "labels", "attention_mask"), seq_len)
-    train.write.mode("errorifexists").parquet(f"{path}/train")
-    held.write.mode("errorifexists").parquet(f"{path}/eval")
+    spark = packed.sparkSession
+    publish(spark, f"{path}/train", lambda at: train.write.parquet(at))
+    publish(spark, f"{path}/eval", lambda at: held.write.parquet(at))
 
 
 def read_packed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -124,12 +157,35 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """``write`` to a fresh folder beside ``path`` and rename it; nothing if ``path`` is complete.
+
+    A run that dies leaves at most a folder of its own name, never a part of ``path``, so
+    the next run writes the whole again. An incomplete ``path`` of someone else is an error.
+    """
+    if is_complete(spark, path):
+        return
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, building = hadoop.Path(path), hadoop.Path(f"{path}.building-{uuid.uuid4().hex}")
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        raise FileExistsError(f"{path} exists and no run has completed it")
+    write(building.toString())
+    if not is_complete(spark, building.toString()):
+        raise RuntimeError(f"no output for {path}")
+    if not fs.rename(building, target):
+        raise RuntimeError(f"{path} could not be put in place")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes the data of a stage whose results are published."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialize_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The table at ``path``; built and written first if no complete output is there."""
-    if not is_complete(spark, path):
-        build().write.mode("errorifexists").parquet(path)
-        if not is_complete(spark, path):
-            raise RuntimeError(f"no output at {path}")
+    publish(spark, path, lambda at: build().write.parquet(at))
     return spark.read.parquet(path)
 
 
