@@ -24,6 +24,10 @@ def test_prepare_pack_plan(spark, tmp_path, capsys):
     train, held = io.read_packed(spark, packed)
     assert train.count() > 0 and held.count() <= 20
 
+    table = ["pack", "--examples", f"{out}/table", "--format", "parquet", "--quoted-arguments", "--out-dir", f"{packed}2", "--seq-len", "4096", "--eval-size", "20"]
+    main(table)
+    assert io.read_packed(spark, f"{packed}2")[1].count() <= 20
+
     main(["plan", "--data-dir", packed, "--out-dir", plan, "--world-size", "2", "--global-batch-size", "4"])
     assert spark.read.parquet(plan).select("bin").distinct().count() <= train.count()
 

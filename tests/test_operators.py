@@ -118,13 +118,30 @@ def test_select_sources():
         dedup.select_sources(both, True, True)
 
 
-def test_conversations_above_the_limit_are_left_out_whole(spark):
+def test_conversations_keep_all_their_turns(spark):
     turns = spark.createDataFrame(
-        [(c, i, "user", f"hello {i}") for c, n in ((1, 500), (2, 41), (3, 40), (4, 2)) for i in reversed(range(n))],
+        [(c, i, "user", f"hello {i}") for c, n in ((1, 500), (2, 61), (3, 40), (4, 2)) for i in reversed(range(n))],
         "conv_id bigint, turn bigint, role string, text string",
     )
     rows = {r["ord"]: [m["content"] for m in r["messages"]] for r in clean.conversation_examples(turns).collect()}
-    assert rows == {3: [f"hello {i}" for i in range(40)], 4: ["hello 0", "hello 1"]}
+    assert rows == {c: [f"hello {i}" for i in range(n)] for c, n in ((1, 500), (2, 61), (3, 40), (4, 2))}
+
+
+def test_long_chats_are_counted_as_too_long(spark, tmp_path):
+    from turnpress.catalog import inputs
+
+    rows = [
+        (c, i, "system" if i == 0 and c % 2 else ("user", "assistant")[i % 2], f"number {i} in the row")
+        for c, n in ((101, 61), (102, 61), (103, 500), (104, 500), (105, 4), (106, 4)) for i in range(n)
+    ]
+    spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("event_id != 106").withColumn("props", F.lit('{"k": 90}')).write.parquet(
+        str(tmp_path / "events.parquet")
+    )
+    flagged = {r["ord"]: r for r in inputs.flagged_multi_turn(spark, str(tmp_path)).collect()}
+    assert sorted(flagged) == [101, 102, 103, 104, 105, 106]
+    assert {c for c, r in flagged.items() if r["reject_reason"] == "message_count"} == {101, 102, 103, 104}
+    assert len(flagged[104]["messages"] or range(500)) == 500 and flagged[105]["reject_reason"] is None
 
 
 # ---- order ----------------------------------------------------------------------
@@ -384,3 +401,39 @@ def test_length_profile(spark):
     row = report.token_length_profile(spark.createDataFrame([(v,) for v in values], "n_tokens int")).first()
     assert (row["n_tokens"], row["p50"], row["p95"], row["max"]) == (
         sum(values), int(np.percentile(values, 50)), int(np.percentile(values, 95)), max(values))
+
+
+def test_a_null_key_part_ends_the_job(spark):
+    df = spark.createDataFrame([("s", None), ("s", 1)], "source string, ord bigint")
+    with pytest.raises(Exception, match="NULL in a key part"):
+        order.with_shuffle_key(df, 1, "source", "ord").collect()
+
+
+def test_key_parts_cannot_run_into_each_other(spark):
+    df = spark.createDataFrame([("a|1", "b"), ("a", "1|b"), ("a", "1:b")], "x string, y string")
+    assert order.with_shuffle_key(df, 1, "x", "y").select("shuffle_key").distinct().count() == 3
+
+
+def test_cap_is_exact_and_only_a_filter(spark):
+    from turnpress.sources.io import cap_rows
+
+    df = spark.createDataFrame([(i * i * 977 - 10**6,) for i in range(3000)], "ord bigint").repartition(7)
+    want = sorted(r["ord"] for r in df.collect())
+    for n in (0, 1, 2999, 3000, 5000, 1234):
+        assert sorted(r["ord"] for r in cap_rows(df, n).collect()) == want[:n]
+    assert "TakeOrdered" not in cap_rows(df, 1234)._jdf.queryExecution().toString()
+
+
+def test_every_length_is_planned_quickly():
+    import time
+
+    start = time.perf_counter()
+    plan = packing.length_runs([(n, n % 200 + 1) for n in range(1, 32769)], 32768)
+    assert time.perf_counter() - start < 20
+    assert sum(hi - lo for _, lo, hi, _, _ in plan) == sum(n % 200 + 1 for n in range(1, 32769))
+
+
+def test_repeated_keys_are_not_packed(spark):
+    tokens = spark.createDataFrame([("k", 3, [1, 2, 3], [1, 2, 3])] * 2, "shuffle_key string, n_tokens int, input_ids array<int>, labels array<int>")
+    with pytest.raises(ValueError, match="not unique"):
+        packing.place(tokens, 8)

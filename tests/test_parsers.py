@@ -62,32 +62,33 @@ def test_brace_spans(apply):
     assert apply(list(cases), spans.brace_spans) == list(cases.values())
 
 
-def _scan(text_):
-    """Brute-force spans, one character at a time."""
-    out, depth, start, quoted, skip = [], 0, 0, False, False
-    for i, ch in enumerate(text_):
-        if skip:
-            skip = False
-        elif quoted:
-            skip, quoted = ch == "\\", ch != '"'
-        elif ch == '"':
-            quoted = True
-        elif ch == "{":
-            start = i if depth == 0 else start
-            depth += 1
-        elif ch == "}" and depth:
-            depth -= 1
-            if depth == 0:
-                out.append(text_[start : i + 1])
-    return out
-
-
-def test_brace_spans_match_a_scan(apply):
+def test_brace_spans_are_those_that_were_put_in(apply):
     import random
 
     rng = random.Random(7)
-    texts = ["".join(rng.choice('{}"\\ aé\n') for _ in range(rng.randrange(60))) for _ in range(1500)]
-    assert apply(texts, spans.brace_spans) == [_scan(t) for t in texts]
+    fillers = ["", " ", "é\n", "} ", '"in a {string}" ', '"\\" {" ', "\x01", "\x01e\x01s", "plain \\ text "]
+    inner = ["", "a", '"}"', '"\\\\"', "{}", "{x{y}}", '"{"', "\x01", "é: 1"]
+
+    def span(parts):
+        return "{" + "".join(rng.choice(inner) for _ in range(parts)) + "}"
+
+    built = [[span(rng.randrange(6)) for _ in range(rng.choice([0, 1, 3, 300]))] for _ in range(300)]
+    texts = ["".join(rng.choice(fillers) + s for s in spans_) + rng.choice(["", "{ never closed", "tail"]) for spans_ in built]
+    assert apply(texts, spans.brace_spans) == built
+    offsets = apply(texts, spans.brace_offsets)
+    assert [[t[o["start"] - 1 : o["start"] - 1 + o["len"]] for o in found] for t, found in zip(texts, offsets)] == built
+
+
+def test_many_spans_take_linear_time(apply):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert apply(["{} " * n], lambda c: F.struct(F.size(spans.brace_spans(c)), F.size(spans.brace_offsets(c)).alias("m")))[0]["m"] == n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(100_000) < 10 * max(seconds(25_000), 0.5)
 
 
 def _objects(spark, texts):

@@ -34,6 +34,7 @@ def test_prepare(spark, prepared):
     kept = stats["single_turn_kept"] + stats["multi_turn_kept"]
     assert kept - stats["duplicates_dropped"] == n and n > 0
     assert stats["single_turn_kept"] + stats["single_turn_dropped"] == stats["single_turn_total"]
+    assert not pathlib.Path(out, "_flagged").exists()
     lines = [json.loads(line) for p in pathlib.Path(out, "examples").glob("part-*") for line in p.read_text().splitlines()]
     assert len(lines) == n
     assert all(set(x) == set(EXAMPLE.fieldNames()) for x in lines)
@@ -88,6 +89,51 @@ def test_materialize_once_builds_once(spark, tmp_path):
     assert calls == [1]
 
 
+def test_a_run_goes_on_from_what_is_whole(spark, tmp_path):
+    parsed = []
+
+    def build():
+        parsed.append(1)
+        return spark.range(5)
+
+    stage, out = str(tmp_path / "stage"), str(tmp_path / "out")
+
+    def run(fail):
+        table = io.materialize_once(spark, stage, build)
+        if fail:
+            table = table.select(F.raise_error(F.lit("lost")).cast("bigint").alias("id"))
+        io.publish(spark, out, lambda at: table.write.parquet(at))
+
+    with pytest.raises(Exception, match="lost"):
+        run(True)
+    assert not io.is_complete(spark, out) and not pathlib.Path(out).exists()
+    run(False)
+    run(True)  # all is there: nothing is built
+    assert parsed == [1] and spark.read.parquet(out).count() == 5
+    pathlib.Path(tmp_path / "foreign").mkdir()
+    with pytest.raises(FileExistsError):
+        io.materialize_once(spark, str(tmp_path / "foreign"), build)
+
+
+def test_lines_without_order_are_numbered_as_stored(spark, tmp_path):
+    path = tmp_path / "lines"
+    path.mkdir()
+    lines = [json.dumps({"source": "single_turn", "tools": [], "messages": [{"role": "user", "content": f"text {i}"}, {"role": "assistant", "content": "ok"}]}) for i in range(50)]
+    (path / "a.json").write_text("\n".join(lines[:30]) + "\n")
+    (path / "b.json").write_text("\n".join(lines[30:]) + "\n")
+    for size in ("128m", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = io.read_jsonl(spark, str(path), has_ord=False).repartition(3).collect()
+        assert {r["ord"]: r["messages"][0]["content"] for r in rows} == {i: f"text {i}" for i in range(50)}
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    examples = io.read_jsonl(spark, str(path), has_ord=False)
+    out = pack(spark, examples, str(tmp_path / "packed"), seq_len=256, eval_size=5)
+    assert out["eval"].count() == 5 and out["density"].first()["n_docs"] == 45
+    (path / "c.json").write_text("no json\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        io.read_jsonl(spark, str(path)).collect()
+
+
 def test_file_order(spark, tmp_path):
     path = str(tmp_path / "raw")
     spark.createDataFrame([(f"query {i}", "[]", "[]") for i in range(20)], "query string, tools string, answers string").repartition(3).write.parquet(path)

@@ -6,7 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from turnpress.functions.tokens import FileTokenizer
+from turnpress.functions.tokens import ChatTemplate, FileTokenizer
 from turnpress.plans.feed import training_plan, training_schedule, write_plan
 from turnpress.plans.pack import pack
 from turnpress.plans.prepare import prepare
@@ -22,7 +22,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--single-turn", help="Parquet or JSON lines with query, tools, answers")
     p.add_argument("--multi-turn", help="Parquet or JSON lines with system, chat")
     p.add_argument("--format", default="parquet", choices=["parquet", "json"])
-    p.add_argument("--file-order", action="store_true", help="Parquet without an ord column: order by file and row")
+    p.add_argument("--file-order", action="store_true", help="rows without an ord column: order by file and row or line")
     p.add_argument("--output-dir", required=True)
     only = p.add_mutually_exclusive_group()
     only.add_argument("--single-turn-only", action="store_true")
@@ -32,6 +32,9 @@ def arguments(argv=None) -> argparse.Namespace:
 
     p = commands.add_parser("pack", help="split, tokenise and pack prepared examples")
     p.add_argument("--examples", required=True)
+    p.add_argument("--format", default="json", choices=["parquet", "json"], help="parquet for table/, json for examples/")
+    p.add_argument("--file-order", action="store_true", help="JSON lines without ord: order by file and line")
+    p.add_argument("--quoted-arguments", action="store_true", help="render call arguments as a JSON string")
     p.add_argument("--out-dir", required=True)
     p.add_argument("--tokenizer", help="tokenizer.json readable on every executor; byte ids if left out")
     p.add_argument("--pad-id", type=int)
@@ -71,8 +74,13 @@ def main(argv=None) -> None:
             print(f"{args.out_dir} is complete, nothing to do")
             return
         tokenizer = FileTokenizer(args.tokenizer, args.pad_id, args.eos_id) if args.tokenizer else None
+        examples = (
+            spark.read.parquet(args.examples) if args.format == "parquet"
+            else read_jsonl(spark, args.examples, not args.file_order)
+        )
         out = pack(
-            spark, read_jsonl(spark, args.examples), args.out_dir, args.seq_len, args.eval_size, args.seed, tokenizer
+            spark, examples, args.out_dir, args.seq_len, args.eval_size, args.seed, tokenizer,
+            ChatTemplate(quoted_arguments=args.quoted_arguments),
         )
         for name in ("drops", "lengths", "density"):
             out[name].show()

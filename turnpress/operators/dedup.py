@@ -54,9 +54,9 @@ def dedup_first(examples: DataFrame) -> DataFrame:
     table sends one row per input split to its reducer.
     """
     w = Window.partitionBy("key").orderBy("source_rank", "ord")
+    keyed = examples if "key" in examples.columns else with_dedup_key(examples)
     return (
-        with_dedup_key(examples)
-        .withColumn("_rn", F.row_number().over(w))
+        keyed.withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") == 1)
         .drop("_rn")
     )

@@ -10,8 +10,7 @@ from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.packing import build_eval, build_packed, place
 from turnpress.operators.report import drop_reasons, packing_density, token_length_profile
 from turnpress.operators.tokenize import fits, tokenize
-from turnpress.session import stored
-from turnpress.sources.io import read_packed, write_packed
+from turnpress.sources.io import materialize_once, read_packed, write_packed
 
 
 def pack(
@@ -26,14 +25,15 @@ def pack(
 ) -> dict[str, DataFrame]:
     """Split, tokenise, pack and write ``train/`` and ``eval/``.
 
-    Tokens are stored once. Reports and the length histogram read one narrow column of
+    Tokens are stored once, under ``tokens/``, and found again by a run that goes on after a
+    failure; ``train/`` and ``eval/`` are put in place when whole. Reports and the length histogram read one narrow column of
     that table. Bins are found on keys and lengths alone; token arrays are shuffled only
     to join their bins and to meet in them.
     """
     tokenizer = tokenizer or ByteTokenizer()
     pad = resolve_pad(tokenizer)
     keyed = holdout_split(with_shuffle_key(examples, seed, "source", "ord"), eval_size)
-    tokens = stored(tokenize(keyed, tokenizer, template), "tokens")
+    tokens = materialize_once(spark, f"{output}/tokens", lambda: tokenize(keyed, tokenizer, template))
     usable = tokens.where(fits(F.col("n_tokens"), seq_len))
     train = usable.where(F.col("split") == "train")
     bins, placed = place(train, seq_len)

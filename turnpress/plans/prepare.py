@@ -13,8 +13,7 @@ from turnpress.operators.report import (
     dedup_report, final_by_source, keep_rate, source_counts, stats_table,
 )
 from turnpress.schemas import EXAMPLE, MULTI_TURN, SINGLE_TURN, SOURCE_ORDER
-from turnpress.session import stored
-from turnpress.sources.io import cap_rows, read_jsonl, write_jsonl, write_stats
+from turnpress.sources.io import cap_rows, discard, is_complete, materialize_once, publish, write_jsonl, write_stats
 
 FLAGGERS = {SINGLE_TURN: flag_single_turn, MULTI_TURN: flag_multi_turn}
 
@@ -27,22 +26,29 @@ def prepare(
     single_only: bool = False,
     multi_only: bool = False,
 ) -> dict[str, DataFrame]:
-    """Clean, merge and deduplicate; writes ``examples/`` (JSON lines) and ``stats/``.
+    """Clean, merge and deduplicate.
 
-    The corpora are parsed once into a stored table with reasons and keys. Counts read
-    its narrow columns only; the duplicate filter reads the valid rows.
+    Publishes ``table/`` (Parquet, what ``pack`` reads), ``examples/`` (the same rows as JSON
+    lines), ``rates/`` and ``stats/``. The corpora are parsed once into a stage table with
+    reasons and keys. Every output is put in place by a rename when it is whole, so a run
+    that died goes on from the last output; the stage table goes when all are there.
     """
     caps = caps or {}
     enabled = select_sources(sources, single_only, multi_only)
-    flagged = [
-        FLAGGERS[name](cap_rows(enabled[name], caps.get(name))).withColumn("source_rank", F.lit(rank))
-        for rank, name in enumerate(SOURCE_ORDER)
-        if name in enabled
-    ]
-    table = stored(with_dedup_key(reduce(lambda a, b: a.unionByName(b), flagged)), "flagged")
-    valid = table.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    write_jsonl(dedup_first(valid.drop("key")), f"{output}/examples")
-    examples = read_jsonl(spark, f"{output}/examples")
-    counts = source_counts(table)
-    write_stats(stats_table(counts, dedup_report(valid), final_by_source(examples)), f"{output}/stats")
-    return {"examples": examples.select(*EXAMPLE.fieldNames()), "rates": keep_rate(counts)}
+    outputs = [f"{output}/{name}" for name in ("table", "examples", "rates", "stats")]
+    if not all(is_complete(spark, path) for path in outputs):
+        flagged = lambda: reduce(lambda a, b: a.unionByName(b), [
+            FLAGGERS[name](cap_rows(enabled[name], caps.get(name))).withColumn("source_rank", F.lit(rank))
+            for rank, name in enumerate(SOURCE_ORDER) if name in enabled
+        ])
+        stage = f"{output}/_flagged"
+        flags = materialize_once(spark, stage, lambda: with_dedup_key(flagged()))
+        valid = flags.where(F.col("reject_reason").isNull()).drop("reject_reason")
+        columns = EXAMPLE.fieldNames()
+        kept = materialize_once(spark, outputs[0], lambda: dedup_first(valid).select(*columns))
+        counts = source_counts(flags)
+        publish(spark, outputs[1], lambda at: write_jsonl(kept, at))
+        publish(spark, outputs[2], lambda at: keep_rate(counts).write.parquet(at))
+        publish(spark, outputs[3], lambda at: write_stats(stats_table(counts, dedup_report(valid), final_by_source(kept)), at))
+        discard(spark, stage)
+    return {"examples": spark.read.parquet(outputs[0]), "rates": spark.read.parquet(outputs[2])}

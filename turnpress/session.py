@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,18 +29,9 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors can reach, as the session names it.
-
-    Only a local session without one gets a temporary folder of this machine.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder shared by the cluster")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="turnpress-"))
-    return context.getCheckpointDir()
+    """The folder that all executors can reach: the session's checkpoint folder, or one in its warehouse."""
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    return folder or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_stages")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
