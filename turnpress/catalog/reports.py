@@ -23,7 +23,7 @@ def flagged(spark, sf_dir):
 
 
 _COUNTS = f"""
-WITH {sqltext.SINGLE}, {sqltext.MULTI.removeprefix('')},
+WITH {sqltext.SINGLE}, {sqltext.MULTI},
 flags AS (SELECT 'single_turn' AS source, reason FROM flag1 UNION ALL SELECT 'multi_turn', reason FROM flag2),
 counts AS (SELECT source, count(*) AS total, count(*) FILTER (reason IS NULL) AS kept, count(*) FILTER (reason IS NOT NULL) AS dropped
   FROM flags GROUP BY source)"""

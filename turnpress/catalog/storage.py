@@ -118,17 +118,30 @@ def _written_packed(spark, sf_dir) -> str:
     return path
 
 
+def _moments(third: str) -> str:
+    """Sums of the three columns of a packed set, each value times its place."""
+    return ", ".join(
+        f"CAST(sum(list_sum(list_transform({c}, lambda x, i: CAST(x AS BIGINT) * i))) AS BIGINT) AS {name}_moment"
+        for c, name in (("input_ids", "id"), ("labels", "label"), (third, "third"))
+    )
+
+
 @query("write_packed", f"""
-WITH train AS ({_PACKED} SELECT count(*) AS n_rows, CAST(sum(list_sum(input_ids)) AS BIGINT) AS id_sum FROM packed),
-held AS ({eval_sql(PACK_LEN)} SELECT count(*) AS n_rows, CAST(sum(list_sum(input_ids)) AS BIGINT) AS id_sum FROM evals)
+WITH train AS ({_PACKED} SELECT count(*) AS n_rows, {_moments("position_ids")} FROM packed),
+held AS ({eval_sql(PACK_LEN)} SELECT count(*) AS n_rows, {_moments("attention_mask")} FROM evals)
 SELECT 'train' AS split, * FROM train UNION ALL SELECT 'eval', * FROM held
 """)
 def write_packed(spark, sf_dir):
+    """Ids, labels and positions (training) or masks (evaluation) as read back, values and places."""
     train, held = io.read_packed(spark, _written_packed(spark, sf_dir))
-    total = F.sum(F.aggregate("input_ids", F.lit(0).cast("bigint"), lambda s, x: s + x)).alias("id_sum")
+
+    def moment(column):
+        return F.sum(F.aggregate(F.transform(column, lambda x, i: x.cast("bigint") * (i + 1)), F.lit(0).cast("bigint"), lambda s, x: s + x))
+
     parts = [
-        df.agg(F.count("*").alias("n_rows"), total).select(F.lit(name).alias("split"), "n_rows", "id_sum")
-        for name, df in (("train", train), ("eval", held))
+        df.agg(F.count("*").alias("n_rows"), moment("input_ids").alias("id_moment"), moment("labels").alias("label_moment"), moment(third).alias("third_moment"))
+        .withColumn("split", F.lit(name))
+        for name, df, third in (("train", train, "position_ids"), ("eval", held, "attention_mask"))
     ]
     return parts[0].unionByName(parts[1])
 

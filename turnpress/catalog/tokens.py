@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from turnpress.catalog import inputs, sqltext
 from turnpress.catalog.registry import query
 from turnpress.catalog.reports import CONV_ITEMS, EVAL_SIZE, PACK_LEN, SEED, SEQ_LEN, first_fit, packed_conversations
-from turnpress.functions.tokens import TOOLS_FOOT, TOOLS_HEAD, ByteTokenizer, resolve_pad
+from turnpress.functions.tokens import TOOLS_FOOT, TOOLS_HEAD, ByteTokenizer, ChatTemplate, resolve_pad
 from turnpress.operators import packing
 from turnpress.operators.clean import normalize_single_turn
 from turnpress.operators.order import holdout_split, with_shuffle_key
@@ -24,7 +24,10 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
 
 
-@query("render_chat", f"""
+def _rendered_single(arguments: str) -> str:
+    """Segments of the single-turn examples; ``arguments`` is the text of a call's arguments in the template."""
+    text = "c[length(string_split(c, '(')[1]) + 2:length(c) - 1]"
+    return f"""
 WITH {sqltext.SINGLE},
 good AS (SELECT * FROM flag1 WHERE reason IS NULL),
 t AS (SELECT ord, unnest(fl) AS f, generate_subscripts(fl, 1) AS i FROM good),
@@ -35,21 +38,34 @@ tl2 AS (
   FROM t GROUP BY ord),
 a AS (
   SELECT ord, string_agg(chr(10) || '<tool_call>' || chr(10) || '{{"name": "' || string_split(c, '(')[1] || '", "arguments": '
-    || c[length(string_split(c, '(')[1]) + 2:length(c) - 1] || '}}' || chr(10) || '</tool_call>', '' ORDER BY i) AS body
+    || {arguments.format(text)} || '}}' || chr(10) || '</tool_call>', '' ORDER BY i) AS body
   FROM (SELECT ord, unnest(calls) AS c, generate_subscripts(calls, 1) AS i FROM good) u GROUP BY ord)
 SELECT ord, 0 AS position, 'system' AS role, '<|im_start|>system' || chr(10) || 'You are a helpful assistant.' || {_sql_text(TOOLS_HEAD)}
   || block || {_sql_text(TOOLS_FOOT)} || '<|im_end|>' || chr(10) AS txt FROM tl2
 UNION ALL SELECT ord, 1, 'user', '<|im_start|>user' || chr(10) || query || '<|im_end|>' || chr(10) FROM good
 UNION ALL SELECT ord, 2, 'assistant', '<|im_start|>assistant' || body || '<|im_end|>' || chr(10) FROM a
-""")
-def render_chat(spark, sf_dir):
-    """Segments of every valid single-turn example, with tool block and calls."""
-    rendered = with_segments(normalize_single_turn(inputs.raw_single_turn(spark, sf_dir)))
+"""
+
+
+def _segments_of_single(spark, sf_dir, template):
+    rendered = with_segments(normalize_single_turn(inputs.raw_single_turn(spark, sf_dir)), template)
     return rendered.select("ord", F.posexplode("segments").alias("position", "s")).select(
         "ord", "position", "s.role", F.col("s.text").alias("txt")
     )
 
 
+@query("render_chat", _rendered_single("{}"))
+def render_chat(spark, sf_dir):
+    """Segments of every valid single-turn example, with tool block and calls."""
+    return _segments_of_single(spark, sf_dir, ChatTemplate())
+
+
+@query("render_chat_quoted", _rendered_single("CAST(to_json({}) AS VARCHAR)"))
+def render_chat_quoted(spark, sf_dir):
+    """The same with the arguments as a JSON string, as the template's own encoder writes them."""
+    return _segments_of_single(spark, sf_dir, ChatTemplate(quoted_arguments=True))
+
+
 def _with_ids(name: str, rendered: str) -> str:
     """CTE ``name(ord, i, role, ids)``: byte ids of every segment."""
     return f"""{rendered},
@@ -159,11 +175,11 @@ evals AS (
 _EVAL = eval_sql(SEQ_LEN)
 
 
-def eval_records(spark, sf_dir, seq_len: int = SEQ_LEN):
+def eval_records(spark, sf_dir, seq_len: int = SEQ_LEN, pad: int = PAD):
     """Held-out documents, one padded record each."""
     docs = holdout_split(with_shuffle_key(inputs.documents(spark, sf_dir), SEED, "ord"), EVAL_SIZE)
     coded = tokenize(docs.where(F.col("split") == "eval")).where(fits(F.col("n_tokens"), seq_len))
-    return packing.build_eval(coded.select("ord", "input_ids", "labels"), seq_len, PAD)
+    return packing.build_eval(coded.select("ord", "input_ids", "labels"), seq_len, pad)
 
 
 @query("build_eval", f"""
@@ -176,15 +192,24 @@ def build_eval(spark, sf_dir):
 
 
 @query("resolve_pad", f"""
-{_EVAL}
-SELECT ord, CAST({PAD} AS BIGINT) AS pad_id, CAST(len(list_filter(input_ids, lambda x: x = {PAD})) AS BIGINT) AS n_pad FROM evals
+{_EVAL}, pads AS (SELECT * FROM (VALUES ('pad id', 7), ('no pad id', 256)) v(setting, pad_id))
+SELECT setting, ord, CAST(pad_id AS BIGINT) AS pad_id,
+  CAST(len(list_filter(attention_mask, lambda x: x = 0)) AS BIGINT) AS n_pad FROM evals, pads
 """)
 def resolve_pad_query(spark, sf_dir):
-    """Padding of every evaluation record; the byte tokenizer pads with its end-of-text id."""
-    return eval_records(spark, sf_dir).select(
-        "ord", F.lit(PAD).cast("bigint").alias("pad_id"),
-        F.size(F.filter("input_ids", lambda x: x == PAD)).cast("bigint").alias("n_pad"),
-    )
+    """Padding written into every evaluation record, with a padding id of its own and without."""
+    settings = {"pad id": ByteTokenizer(pad_id=7), "no pad id": ByteTokenizer()}
+    rows = [
+        eval_records(spark, sf_dir, pad=resolve_pad(tokenizer)).select(
+            F.lit(name).alias("setting"), "ord",
+            F.element_at("input_ids", -1).cast("bigint").alias("last"),
+            F.size(F.filter(F.arrays_zip("input_ids", "attention_mask"), lambda x: (x["attention_mask"] == 0) & (x["input_ids"] == resolve_pad(tokenizer)))).cast("bigint").alias("n_pad"),
+        )
+        for name, tokenizer in settings.items()
+    ]
+    whole = rows[0].unionByName(rows[1])
+    fallback = F.when(F.col("setting") == "pad id", resolve_pad(settings["pad id"])).otherwise(resolve_pad(settings["no pad id"]))
+    return whole.select("setting", "ord", F.when(F.col("n_pad") > 0, F.col("last")).otherwise(fallback).cast("bigint").alias("pad_id"), "n_pad")
 
 
 @query("project_batch_columns", f"""

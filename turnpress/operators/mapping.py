@@ -8,15 +8,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnpress.session import sealed
+from turnpress.session import stored
 
 
 def apply_row_processor(df: DataFrame, processor: Column) -> tuple[DataFrame, DataFrame]:
     """A processor column (NULL = drop) over a table.
 
-    Returns the kept rows with their ``example`` and a one-row table of counters.
+    Returns the kept rows with their ``example`` and a one-row table of counters. The
+    processor's results are written once, so it runs once for both.
     """
-    processed = sealed(df.withColumn("example", processor))
+    processed = stored(df.withColumn("example", processor), "processed")
     kept = F.col("example").isNotNull()
     counts = processed.agg(
         F.count("*").alias("total"), F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped")
