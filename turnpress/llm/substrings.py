@@ -241,7 +241,7 @@ def repeated_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
     first = parts.groupBy("stretch").agg(
         F.min(F.struct(key, "first_byte")).alias("_first"), F.max(F.struct(key, "first_byte")).alias("_last")
     ).where("_first != _last").select("stretch", F.col(f"_first.{key}").alias("_doc"), F.col("_first.first_byte").alias("_at"))
-    again = parts.join(first, "stretch").withColumn("kept", (F.col(key) == F.col("_doc")) & (F.col("first_byte") == F.col("_at")))
+    again = parts.join(stored(first, "stretches"), "stretch").withColumn("kept", (F.col(key) == F.col("_doc")) & (F.col("first_byte") == F.col("_at")))
     order = Window.partitionBy(key, "kept").orderBy("place")
     run = again.dropDuplicates([key, "place"]).withColumn("_run", F.col("place") - F.row_number().over(order))
     return (
