@@ -119,7 +119,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", groups: tupl
     for g in groups:  # keys that are never NULL
         stats = stats.withColumn(f"_{g}", F.coalesce(F.concat(F.lit("s"), F.col(g)), F.lit("n")))
     names = [f"_{g}" for g in groups]
-    judged = stats.join(fences(sketches(stats, names), names), names)
+    judged = stats.join(stored(fences(sketches(stats, names), names), "fences"), names)
     outside = F.array_compact(F.array(*(
         F.when(~v.between(F.col(f"low_{n}"), F.col(f"high_{n}")), F.lit(n)) for n, v in measures().items()
     )))
