@@ -41,7 +41,7 @@ END = b"\n"
 WORD_BITS = 12
 """Leading bits of a word's hash that name its owner."""
 RUN, WORD = 0, 1
-PIECE = 1 << 22
+PIECE = 1 << 20
 """Bytes of text that are looked up at a time, which bounds memory and changes no score."""
 
 HALF = np.log(0.5)
@@ -107,12 +107,17 @@ class Block:
                 codes, n = np.unique(run_codes(bodies)[0], return_counts=True)
                 self.runs.append((codes, n if train else np.zeros_like(n)))
         self.bodies, self.size = {True: [], False: []}, 0
+        if len(self.runs) > 16:
+            self.gather()
+
+    def gather(self) -> None:
         if len(self.runs) > 1:
             self.runs = [merged(*map(list, zip(*self.runs, strict=True)))]
 
     def asked(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         if kind == RUN:
             self.fold()
+            self.gather()
             return self.runs[0] if self.runs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         codes = np.fromiter(map(word_code, self.words), np.uint64, len(self.words))
         return merged([codes], [np.fromiter(self.words.values(), np.int64, len(codes))])
