@@ -51,7 +51,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, source, n_tokens, ids) of every text; ids that do not decode to it end the job."""
     codec = queries.vocabulary()
-    done = bpe.decode(bpe.encode(docs, codec, out="_ids"), codec, ids="_ids", out="_bytes")
+    done = bpe.encode_and_decode(docs.select("doc_id", "source", "text"), codec, ids="_ids", out="_bytes")
     same = F.col("_bytes") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     ids = F.when(same, F.col("_ids")).otherwise(F.raise_error(F.lit("ids do not decode to the text")).cast("array<int>"))
     return done.select("doc_id", "source", F.size("_ids").cast("long").alias("n_tokens"), ids.alias("ids"))

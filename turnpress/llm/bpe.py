@@ -26,7 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MASK = (1 << 64) - 1
-CACHE = 400_000
+ROWS = 1000
+"""Documents whose ids are gathered at a time."""
+
+CACHE = 250_000
 """Pre-tokens whose ids a task keeps; the store is emptied when full, which changes no result."""
 
 
@@ -137,30 +140,27 @@ class Known(dict):
         return found
 
 
-def encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the ids of every whole text as ``out`` array<int>, in place of a column of that name."""
+def encoder(codec: Codec, text: str, out: str):
+    """Batches to the same with ``out``, the ids of every text, ``ROWS`` rows at a time."""
 
     def run(batches):
         split, known = regex.compile(codec.pattern).findall, Known(codec)
-        for batch in batches:
-            offsets, flat = [0], array("i")
-            for value in batch.column(batch.schema.get_field_index(text)):
-                for_text = chain.from_iterable(map(known.__getitem__, split(value.as_py() or "")))
-                flat.extend(for_text)
-                offsets.append(len(flat))
-                if len(known) > CACHE:
-                    known.clear()
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(flat, np.int32)))
-            columns = [ids if n == out else batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    fields = [f for f in docs.schema.fields if f.name != out] + [T.StructField(out, T.ArrayType(T.IntegerType(), False))]
-    names = [f.name for f in fields]
-    return docs.mapInArrow(run, T.StructType(fields))
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                offsets, flat = [0], array("i")
+                for value in batch.column(batch.schema.get_field_index(text)):
+                    flat.extend(chain.from_iterable(map(known.__getitem__, split(value.as_py() or ""))))
+                    offsets.append(len(flat))
+                    if len(known) > CACHE:
+                        known.clear()
+                yield replaced(batch, out, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(flat, np.int32))))
 
+    return run
 
-def decode(encoded: DataFrame, codec: Codec, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``encoded`` with the bytes its ids stand for as ``out``; NULL ids stand for none."""
+
+def decoder(codec: Codec, ids: str, out: str):
+    """Batches to the same with ``out``, the bytes that the ids stand for."""
 
     def run(batches):
         size = max(codec.tokens, default=-1) + 1
@@ -172,12 +172,40 @@ def decode(encoded: DataFrame, codec: Codec, ids: str = "ids", out: str = "decod
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(ids))
             values = [spelled(v.values.to_numpy(), starts, lengths, pool) if v.is_valid else b"" for v in column]
-            columns = [pa.array(values, pa.binary()) if n == out else batch.column(batch.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield replaced(batch, out, pa.array(values, pa.binary()))
+
+    return run
+
+
+def replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBatch:
+    """``batch`` with ``column`` last, in place of one of that name."""
+    rest = [n for n in batch.schema.names if n != name]
+    return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in rest), column], [*rest, name])
+
+
+def _extended(df: DataFrame, *new: T.StructField) -> T.StructType:
+    names = {f.name for f in new}
+    return T.StructType([f for f in df.schema.fields if f.name not in names] + list(new))
+
+
+IDS = T.ArrayType(T.IntegerType(), False)
+
+
+def encode(docs: DataFrame, codec: Codec, text: str = "text", out: str = "ids") -> DataFrame:
+    """``docs`` with the ids of every whole text as ``out`` array<int>, in place of a column of that name."""
+    return docs.mapInArrow(encoder(codec, text, out), _extended(docs, T.StructField(out, IDS)))
+
+
+def decode(encoded: DataFrame, codec: Codec, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``encoded`` with the bytes its ids stand for as ``out``; NULL ids stand for none."""
+    return encoded.mapInArrow(decoder(codec, ids, out), _extended(encoded, T.StructField(out, T.BinaryType())))
+
 
-    fields = [f for f in encoded.schema.fields if f.name != out] + [T.StructField(out, T.BinaryType())]
-    names = [f.name for f in fields]
-    return encoded.mapInArrow(run, T.StructType(fields))
+def encode_and_decode(docs: DataFrame, codec: Codec, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``decode`` of ``encode`` in one pass of one worker."""
+    there, back = encoder(codec, text, ids), decoder(codec, ids, out)
+    fields = _extended(docs, T.StructField(ids, IDS), T.StructField(out, T.BinaryType()))
+    return docs.mapInArrow(lambda batches: back(there(batches)), fields)
 
 
 def spelled(ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pool: np.ndarray) -> bytes:

@@ -38,7 +38,7 @@ def vocabulary() -> bpe.Codec:
 @query
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = vocabulary()
-    done = bpe.decode(bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), codec).drop("text"), codec)
+    done = bpe.encode_and_decode(read(spark, sf_dir, "documents", "doc_id", "text"), codec)
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
