@@ -72,6 +72,8 @@ def test_ids_are_those_of_the_library_and_decode_to_the_text(spark, docs, none,
         assert r["ids"] == encoding.encode_ordinary(r["text"] or "")
         assert bytes(r["decoded"]) == (r["text"] or "").encode()
     assert bpe.decode(bpe.encode(none, codec), codec).count() == 0
+    both = bpe.encode_and_decode(docs, codec).select("text", "ids", "decoded").collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, found))
 
 
 def test_the_hash_is_perfect_and_minimal_and_turns_strangers_away(encoding):
