@@ -4,7 +4,8 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from turnpress.llm import neighbours, queries
+from check import compare, database
+from turnpress.llm import checks, neighbours, queries
 
 
 def truth(vectors, least=0.95):
@@ -71,3 +72,9 @@ def test_every_query_covers_its_table(spark, name):
         assert ids <= want
     else:
         assert ids - {-7} == want
+
+
+@pytest.mark.parametrize("name", sorted(checks.CHECKS))
+def test_queries_agree_with_their_sql(spark, name):
+    sf = "/root/testdata/sf0.001"
+    assert compare(spark, database(sf), sf, queries.QUERIES[name], checks.CHECKS[name])[0] is None
