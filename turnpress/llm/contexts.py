@@ -14,10 +14,10 @@ training documents; contexts that only other documents have are nodes without co
 Counting is exact and distributed. Documents come in blocks of rows. A block sends the
 distinct byte runs and words it holds, with their training counts, to the partition that
 owns them: runs by the last two bytes of context, words by leading bits of a hash. The
-owner adds up all blocks, and answers each block with what it asked for. So a model of any
-size reaches the texts in parts as large as their own vocabulary, and nothing is broadcast
-but the upper two levels of the trees, 256 * 255 nodes. An owner's input grows with the
-number of blocks, so ``block`` should name larger blocks for very large corpora.
+owner adds up all blocks, and answers each block with what it asked for. Requests are added
+up, and answered, for 64 blocks at a time, and distinct codes only go on from there; groups
+are read as streams. So a model of any size reaches the texts in parts as large as their own
+vocabulary, and nothing is broadcast but the upper two levels of the trees, 256 * 255 nodes.
 
 Contract. NULL and empty texts are the end mark alone. Documents are scored each on its
 own, repeated rows equally; rows with a NULL id take part like any other. With no training
@@ -27,6 +27,7 @@ documents every bit has probability 1/2. Empty tables give empty results.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +35,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnpress.llm.common import bounds, runs, stored, texts
+from turnpress.llm.common import bounds, stored, texts
 
 DEPTH = 4
 END = b"\n"
 WORD_BITS = 12
 """Leading bits of a word's hash that name its owner."""
 RUN, WORD = 0, 1
+BLOCKS = 64
+"""Blocks whose requests to one owner are added up, and answered, together."""
 PIECE = 1 << 20
 """Bytes of text that are looked up at a time, which bounds memory and changes no score."""
 
@@ -159,43 +162,76 @@ def requests(docs: DataFrame) -> DataFrame:
     return docs.select("text", "block", "train").mapInArrow(run, "kind int, owner int, block bigint, codes binary, counts binary")
 
 
-def owners(asked: DataFrame, fn, schema: str) -> DataFrame:
-    """``fn(owner, blocks, codes per request, counts per request)`` yields rows, for every owner at once."""
+def groups(batches, keys: list[str]):
+    """(key, iterator over the rows of a group) for batches sorted by ``keys``; no group is held."""
+    rows = (r for batch in batches for r in batch.to_pylist())
+    return groupby(rows, key=lambda r: tuple(r[k] for k in keys))
+
+
+def summed(asked: DataFrame, keys: list[str]) -> DataFrame:
+    """(kind, keys, codes, counts): one row per group with its distinct codes; memory holds those and little more."""
 
     def run(batches):
-        names = [part.split()[0] for part in schema.split(", ")]
-        for table in runs(batches, ["owner"]):
-            table = table.combine_chunks()
-            owner, block = table.column("owner").to_numpy(), table.column("block").to_numpy()
-            codes, counts = table.column("codes").to_pylist(), table.column("counts").to_pylist()
-            out: list = []
-            for start, end in zip(*bounds([owner]), strict=True):
-                out.extend(fn(int(owner[start]), block[start:end], codes[start:end], counts[start:end]))
-                if len(out) > 5000:
-                    yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], arrow)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in out], arrow)
+        for key, rows in groups(batches, ["kind", *keys]):
+            codes, counts, size = [], [], 0
+            for r in rows:
+                codes.append(np.frombuffer(r["codes"], np.uint64))
+                counts.append(np.frombuffer(r["counts"], np.int64))
+                size += len(codes[-1])
+                if size > PIECE and len(codes) > 8:
+                    one, many = merged(codes, counts)
+                    codes, counts, size = [one], [many], 0
+            one, many = merged(codes, counts)
+            columns = [*([k] for k in key), [one.tobytes()], [many.tobytes()]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+    names = ["kind", *keys, "codes", "counts"]
+    kinds = [pa.int32()] * (1 + len(keys)) + [pa.binary(), pa.binary()]
+    dealt = asked.select(*names).repartition("kind", *keys).sortWithinPartitions("kind", *keys)
+    return dealt.mapInArrow(run, ", ".join(f"{k} int" for k in ["kind", *keys]) + ", codes binary, counts binary")
+
+
+def valued(totals: DataFrame, fn) -> DataFrame:
+    """(kind, owner, codes, reply) with ``reply = fn(owner, codes, counts)`` for every code."""
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                made = fn(r["owner"], np.frombuffer(r["codes"], np.int64), np.frombuffer(r["counts"], np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["kind"]], pa.int32()), pa.array([r["owner"]], pa.int32()), pa.array([r["codes"]]), pa.array([made.tobytes()])],
+                    ["kind", "owner", "codes", "reply"],
+                )
 
-    types = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
-    arrow = pa.schema([(part.split()[0], types[part.split()[1]]) for part in schema.split(", ")])
-    return asked.repartition("owner").sortWithinPartitions("owner", "block").mapInArrow(run, schema)
+    return totals.mapInArrow(run, "kind int, owner int, codes binary, reply binary")
 
 
-def answers(blocks: np.ndarray, codes: list[np.ndarray], known: np.ndarray, values: np.ndarray):
-    """(block, values for the distinct codes it asked for, in order); ``blocks`` is sorted."""
-    for start, end in zip(*bounds([blocks]), strict=True):
-        wanted = codes[start] if end - start == 1 else np.unique(np.concatenate(codes[start:end]))
-        yield int(blocks[start]), values[np.searchsorted(known, wanted)].tobytes()
+def answered(asked: DataFrame, replies: DataFrame, parts: int) -> DataFrame:
+    """(kind, owner, block, reply): to every block the values of the distinct codes it asked for, in order.
 
+    An owner answers in ``parts``, each for the blocks of one part, so a group is as large as
+    the blocks of a part and not as all.
+    """
 
-def word_totals(owner: int, blocks: np.ndarray, codes: list, counts: list):
-    """Answers for words, and for block NULL how many training tokens and distinct ones there are."""
-    codes = [np.frombuffer(c, np.uint64) for c in codes]
-    known, total = merged(codes, [np.frombuffer(c, np.int64) for c in counts])
-    yield WORD, owner, None, b"", int(total.sum()), int((total > 0).sum())
-    for block, values in answers(blocks, codes, known, total):
-        yield WORD, owner, block, values, None, None
+    def run(batches):
+        for (kind, owner, _), rows in groups(batches, ["kind", "owner", "part"]):
+            first = next(rows)
+            known, values = np.frombuffer(first["codes"], np.uint64), np.frombuffer(first["reply"], np.uint64)
+            out: list = []
+            for block, pieces in groupby(rows, key=lambda r: r["block"]):
+                codes = [np.frombuffer(r["codes"], np.uint64) for r in pieces]
+                wanted = codes[0] if len(codes) == 1 else np.unique(np.concatenate(codes))
+                out.append((kind, owner, block, values[np.searchsorted(known, wanted)].tobytes()))
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["kind", "owner", "block", "reply"])
+
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
+    lead = replies.select("kind", "owner", every, F.lit(None).cast("long").alias("block"), "codes", "reply")
+    rows = lead.unionByName(asked.select("kind", "owner", "part", "block", "codes", F.lit(None).cast("binary").alias("reply")))
+    keys = ["kind", "owner", "part"]
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("block").asc_nulls_first())
+    return dealt.mapInArrow(run, "kind int, owner int, block bigint, reply binary")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -253,14 +289,21 @@ def tree(codes: np.ndarray, counts: np.ndarray, place: int) -> tuple[list[Level]
     return levels, leaf, bit
 
 
-def upper_sums(owner: int, blocks: np.ndarray, codes: list, counts: list):
+def upper_sums(totals: DataFrame) -> DataFrame:
     """(last byte, node, zeros, ones, sum of log Pw) of the nodes with two bytes of context."""
-    known, n = merged([np.frombuffer(c, np.int64) for c in codes], [np.frombuffer(c, np.int64) for c in counts])
-    for place in range(8):
-        top = tree(known, n, place)[0][-1]
-        node = (1 << place) | (top.key & 255)
-        for row in zip(node.tolist(), top.a.tolist(), top.b.tolist(), top.pw.tolist(), strict=True):
-            yield owner >> 8, *row
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                codes, counts = np.frombuffer(r["codes"], np.int64), np.frombuffer(r["counts"], np.int64)
+                for place in range(8):
+                    top = tree(codes, counts, place)[0][-1]
+                    last = np.full(len(top.key), r["owner"] >> 8, np.int32)
+                    node = ((1 << place) | (top.key & 255)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (last, node, top.a, top.b, top.pw)], ["last", "node", "a", "b", "pw"])
+
+    found = totals.mapInArrow(run, "last int, node int, a double, b double, pw double").groupBy("last", "node")
+    return found.agg(*(F.sum(c).alias(c) for c in ("a", "b", "pw")))
 
 
 def upper_levels(rows: list) -> tuple[np.ndarray, np.ndarray]:
@@ -278,27 +321,35 @@ def upper_levels(rows: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def run_scores(mixture: np.ndarray, left: np.ndarray):
-    """Answers for byte runs: log10 of the byte's probability in its context."""
+    """log10 of every byte's probability in its context, given the upper two levels."""
 
-    def answer(owner: int, blocks: np.ndarray, codes: list, counts: list):
-        codes = [np.frombuffer(c, np.int64) for c in codes]
-        known, n = merged(codes, [np.frombuffer(c, np.int64) for c in counts])
-        score = np.zeros(len(known))
+    def values(owner: int, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        score = np.zeros(len(codes))
         for place in range(8):
-            levels, leaf, bit = tree(known, n, place)
+            levels, leaf, bit = tree(codes, counts, place)
             node = (1 << place) | (levels[-1].key & 255)
             mixed, rest = mixture[owner >> 8, node], left[owner >> 8, node]
-            for level in levels[:0:-1]:
-                share = rest * level.share()
-                mixed, rest = mixed + share * level.ones(), rest - share
-                below = levels[levels.index(level) - 1]
-                mixed, rest = mixed[below.up], rest[below.up]
+            for above, below in zip(levels[:0:-1], levels[-2::-1], strict=True):
+                share = rest * above.share()
+                mixed, rest = (mixed + share * above.ones())[below.up], (rest - share)[below.up]
             one = (mixed + rest * levels[0].ones())[leaf]
             score += np.log10(np.where(bit == 1, one, 1 - one))
-        for block, values in answers(blocks, codes, known, score):
-            yield RUN, owner, block, values, None, None
+        return score
+
+    return values
+
+
+def training_size(of_words: DataFrame) -> tuple[int, int]:
+    """Training tokens, and how many of them are distinct."""
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                n = np.frombuffer(r["counts"], np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])], ["n", "v"])
 
-    return answer
+    whole = of_words.mapInArrow(run, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
+    return int(whole[0] or 0), int(whole[1] or 0)
 
 
 def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -310,15 +361,15 @@ def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", te
     """
     kind = docs.schema[key].dataType
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), block.cast("long").alias("block"), F.coalesce(train, F.lit(False)).alias("train"))
-    asked = stored(requests(docs), "requests")
-    replied = "kind int, owner int, block bigint, answer binary, tokens bigint, terms bigint"
-    of_words = stored(owners(asked.where(F.col("kind") == WORD), word_totals, replied), "words")
-    byte_runs = asked.where(F.col("kind") == RUN)
-    upper = owners(byte_runs, upper_sums, "last int, node int, a double, b double, pw double").groupBy("last", "node")
-    upper = upper.agg(*(F.sum(c).alias(c) for c in ("a", "b", "pw"))).collect()  # 256 * 255 rows at most
-    of_runs = owners(byte_runs, run_scores(*upper_levels(upper)), replied)
-    whole = of_words.where("block IS NULL").agg(F.sum("tokens"), F.sum("terms")).first()
-    tokens, distinct = int(whole[0] or 0), int(whole[1] or 0)
+    blocks_ = docs.select("block").distinct().count()
+    parts = -(-max(1, blocks_) // BLOCKS)
+    asked = stored(requests(docs).withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")), "requests")
+    totals = stored(summed(summed(asked, ["owner", "part"]), ["owner"]), "totals")
+    of_words, of_runs = totals.where(F.col("kind") == WORD), totals.where(F.col("kind") == RUN)
+    counts = valued(of_words, lambda owner, codes, counts: counts)
+    tokens, distinct = training_size(of_words)
+    upper = upper_sums(of_runs).collect()  # 256 * 255 rows at most
+    replies = stored(counts.unionByName(valued(of_runs, run_scores(*upper_levels(upper)))), "replies")
     floor = np.log10(tokens + 0.1 * (distinct + 1))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -330,9 +381,9 @@ def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", te
         order = np.lexsort((right.column("owner").to_numpy(), right.column("kind").to_numpy()))
         right = right.take(pa.array(order))
         kinds = right.column("kind").to_numpy()
-        replies = right.column("answer").to_pylist()
+        answers = right.column("reply").to_pylist()
         for k, dtype in ((RUN, np.float64), (WORD, np.int64)):
-            value[k] = np.frombuffer(b"".join(r for r, is_ in zip(replies, kinds, strict=True) if is_ == k), dtype)
+            value[k] = np.frombuffer(b"".join(r for r, is_ in zip(answers, kinds, strict=True) if is_ == k), dtype)
         runs_, words = held.asked(RUN)[0], held.asked(WORD)[0]
         if len(runs_) != len(value[RUN]) or len(words) != len(value[WORD]):
             raise ValueError("a block was answered for other texts than it has")
@@ -364,7 +415,7 @@ def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", te
             "score": pa.array(out["score"], pa.float64()), "n_bytes": pa.array(out["n_bytes"], pa.int64()),
         })
 
-    replies = of_words.where("block IS NOT NULL").unionByName(of_runs).select("block", "kind", "owner", "answer")
+    sent = answered(asked, replies, parts).select("block", "kind", "owner", "reply")
     schema = f"key {kind.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint"
-    done = docs.select("block", "key", "text").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+    done = docs.select("block", "key", "text").groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, schema)
     return done.withColumnRenamed("key", key)
