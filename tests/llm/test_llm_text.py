@@ -407,6 +407,12 @@ def test_context_trees_by_their_definition(spark):
         assert math.isclose(got[i], log_probability(training, body(t)), rel_tol=1e-6)
 
 
+def test_context_trees_beat_the_unigrams_on_held_out_texts(spark):
+    scored = queries.QUERIES["op3_context_tree_scores"](spark, "/root/testdata/sf0.01").where("held_out")
+    trees, unigrams = scored.agg(F.sum("score"), F.sum("base_score")).first()
+    assert trees > unigrams
+
+
 def test_context_scores_of_odd_tables(spark, docs, none):
     got = contexts.score(docs, F.col("doc_id") % 2 == 0, F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4))).collect()
     assert len(got) == len(corpus()) and all(r["score"] < 0 for r in got)

@@ -37,7 +37,8 @@ from pyspark.sql import functions as F
 
 from turnpress.llm.common import bounds, stored, texts
 
-DEPTH = 4
+DEPTH = 6
+"""Bytes of context, about a word with its space; the code of a run with its last byte fits 64 bits up to 6."""
 END = b"\n"
 WORD_BITS = 12
 """Leading bits of a word's hash that name its owner."""
