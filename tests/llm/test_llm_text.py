@@ -189,6 +189,21 @@ def test_a_passage_inside_other_paragraphs_is_found_and_cut_once(spark):
         assert len(gone) >= substrings.RUN and gone <= set(passage.split())
 
 
+def test_wrapped_paragraphs_and_short_lines_are_compared(spark):
+    wrapped = lambda words: "\n".join(" ".join(words[i : i + 13]) for i in range(0, len(words), 13))
+    words = [f"h{j}" for j in range(160)]
+    near = [f"{w}z" if j % 55 == 8 else w for j, w in enumerate(words)]  # 5-word Jaccard 0.83
+    other = lambda i: "\n\n".join(" ".join(f"o{i}x{j}" for j in range(k, k + 30)) for k in (0, 30))
+    rows = [(0, wrapped(words)), (1, wrapped(near)), (2, other(2) + "\nfive words are just enough\n\n"), (3, "Five words are just  enough\n" + other(3)), (4, "four words are few\n" + other(4)), (5, "four words are few\n" + other(5))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = substrings.repeats(df)
+    assert {(r["doc_id"], r["kind"], r["class_id"], r["kept"]) for r in found.where("kind != 'run'").collect()} == {
+        (0, "block", 0, True), (1, "block", 0, False), (0, "line", 0, True), (1, "line", 0, False), (2, "line", 2, True), (3, "line", 2, False)
+    }
+    left = dict(rows_of(substrings.without_repeats(df, found)))
+    assert 1 not in left and left[3] == "\n" + other(3) and all(left[i] == rows[i][1] for i in (0, 2, 4, 5))
+
+
 def test_jaccard_is_exact_in_narrow_columns():
     draw = np.random.default_rng(4)
     sets = [np.unique(draw.integers(0, 60, draw.integers(1, 50))) for _ in range(40)]

@@ -1,12 +1,14 @@
 """Repeated passages: paragraph MinHash banding, and equal stretches inside paragraphs.
 
-Paragraphs are lines. Each one of at least ``shortest`` words gets MinHash values over its
-five-word shingles. Two of Jaccard similarity s agree on a band of ``ROWS`` values with
+Paragraphs are lines of at least ``shortest`` words, and blocks: consecutive shorter lines,
+as hard-wrapped text has them, that are ``shortest`` words together. Each one gets MinHash
+values over its five-word shingles. Two of Jaccard similarity s agree on a band of ``ROWS`` values with
 chance s**ROWS, so with ``BANDS`` bands a pair at 0.8 is missed with chance
 (1 - 0.8**2)**6 = 0.002. Distinct paragraphs that collide in a band are compared by their
 whole shingle sets, and those at ``similar`` or more are linked; copies are one class
 before that. Components of the links are the clusters, and all but the first paragraph of
-a cluster, by document and place, go.
+a cluster, by document and place, go. Shorter lines have too few shingles for a similarity
+and are linked where they are equal, from one shingle (five words) on.
 
 A passage also repeats inside otherwise different paragraphs. Every text is therefore cut
 at places that depend on the nearby words alone (the least hash of a word pair in each
@@ -69,46 +71,61 @@ def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 
 def lines(text: bytes, shortest: int):
-    """(start, end, hashes of words) of the lines that are paragraphs."""
-    at = 0
-    for line in text.split(b"\n"):
+    """(start, end, hashes of words, kind) of the paragraphs, blocks and shorter lines."""
+    at, held, block, upto = 0, [], 0, 0
+    for line in [*text.split(b"\n"), b""]:
         words = line.lower().split()
-        if len(words) >= shortest:
-            yield at, at + len(line), word_hashes(words)
-        at += len(line) + 1
+        end = at + len(line)
+        if 0 < len(words) < shortest:
+            if not held:
+                block = at
+            held.append(hashes := word_hashes(words))
+            upto = end
+            if len(words) >= SHINGLE:
+                yield at, end, hashes, "line"
+        else:
+            if len(held) > 1 and sum(map(len, held)) >= shortest:
+                yield block, upto, np.concatenate(held), "block"
+            held = []
+            if words:
+                yield at, end, word_hashes(words), "paragraph"
+        at = end + 1
 
 
 def paragraphs(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
-    """(key, first byte, end, n_words, hash, bands) of every paragraph."""
+    """(key, first byte, end, n_words, hash, kind, bands) of every paragraph, block and shorter line; the last have no bands."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = batch.column(0)
-        row, starts, ends, counts, hashes, grams, sizes = [], [], [], [], [], [], []
+        row, starts, ends, counts, hashes, kinds, grams, sizes = [], [], [], [], [], [], [], []
         for i, t in enumerate(texts(batch, text)):
-            for start, end, words in lines(t, shortest):
+            for start, end, words, kind in lines(t, shortest):
                 row.append(i)
                 starts.append(start)
                 ends.append(end)
                 counts.append(len(words))
                 hashes.append(xxhash.xxh3_64_intdigest(words.tobytes()))
-                grams.append(g := shingles(words))
-                sizes.append(len(g))
-        bands = np.zeros((len(row), BANDS), np.uint64)
-        if row:
+                kinds.append(kind)
+                if kind != "line":
+                    grams.append(g := shingles(words))
+                    sizes.append(len(g))
+        bands = np.zeros((len(grams), BANDS), np.uint64)
+        if grams:
             flat, cut = np.concatenate(grams), np.concatenate([[0], np.cumsum(sizes)[:-1]])
             for i, turn in enumerate(TURN):
                 least = np.minimum.reduceat(mixed(flat * turn), cut)
                 bands[:, i // ROWS] = mixed(bands[:, i // ROWS] * turn + least)
+        widths = [0 if kind == "line" else BANDS for kind in kinds]
         packed = pa.ListArray.from_arrays(
-            pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array((bands.ravel() >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            pa.array(np.cumsum([0, *widths], dtype=np.int32)), pa.array((bands.ravel() >> np.uint64(32)).astype(np.uint32).view(np.int32))
         )
         columns = [
             keys.take(pa.array(row, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(counts, pa.int32()),
-            pa.array(np.array(hashes, np.uint64).view(np.int64)), packed,
+            pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(kinds, pa.string()), packed,
         ]
-        return pa.RecordBatch.from_arrays(columns, [key, "first_byte", "end_byte", "n_words", "hash", "bands"])
+        return pa.RecordBatch.from_arrays(columns, [key, "first_byte", "end_byte", "n_words", "hash", "kind", "bands"])
 
-    return _rows(docs, key, text, run, "first_byte int, end_byte int, n_words int, hash bigint, bands array<int>")
+    return _rows(docs, key, text, run, "first_byte int, end_byte int, n_words int, hash bigint, kind string, bands array<int>")
 
 
 def _rows(docs: DataFrame, key: str, text: str, make, columns: str) -> DataFrame:
@@ -118,12 +135,14 @@ def _rows(docs: DataFrame, key: str, text: str, make, columns: str) -> DataFrame
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
-    """(hash, grams) of the paragraphs of ``docs``."""
+    """(hash, grams) of the paragraphs and blocks of ``docs``."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         hashes, grams = [], []
         for t in texts(batch, text):
-            for _, _, words in lines(t, shortest):
+            for _, _, words, kind in lines(t, shortest):
+                if kind == "line":
+                    continue
                 hashes.append(xxhash.xxh3_64_intdigest(words.tobytes()))
                 grams.append(np.unique(shingles(words)).view(np.int64))
         return pa.RecordBatch.from_arrays([pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(grams, pa.list_(pa.int64()))], ["hash", "grams"])
@@ -164,7 +183,7 @@ def jaccard_links(flat: np.ndarray, sizes: np.ndarray, one: np.ndarray, two: np.
 
 def clusters(parts: DataFrame, docs: DataFrame, key: str, text: str, shortest: int, similar: float, cap: int = 2048) -> DataFrame:
     """(hash, cluster) of the paragraphs linked to a different one; cluster is the least hash."""
-    firsts = parts.groupBy("hash").agg(F.min(F.struct(key, "bands")).alias("f")).select("hash", f"f.{key}", "f.bands")
+    firsts = parts.where("kind != 'line'").groupBy("hash").agg(F.min(F.struct(key, "bands")).alias("f")).select("hash", f"f.{key}", "f.bands")
     dealt = firsts.select(
         "hash", key, F.posexplode("bands").alias("_band", "_value")
     ).select("hash", key, F.xxhash64("_band", "_value").alias("bucket"))
@@ -259,19 +278,19 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", shortest:
     """Every passage that repeats: (key, first_byte, end_byte, n_words, class_id, kept, kind).
 
     ``class_id`` is the key of the document in which the passage comes first; that one is
-    ``kept`` and comes back too. ``kind`` is paragraph or run.
+    ``kept`` and comes back too. ``kind`` is paragraph, block, line or run.
     """
     parts = stored(paragraphs(docs, key, text, shortest), "paragraphs")
     named = clusters(parts, docs, key, text, shortest, similar)
     grouped = parts.drop("bands").join(named, "hash", "left").withColumn("cluster", F.coalesce("cluster", "hash"))
-    grouped = stored(grouped.select(key, "first_byte", "end_byte", "n_words", "cluster"), "clustered")
+    grouped = stored(grouped.select(key, "first_byte", "end_byte", "n_words", "kind", "cluster"), "clustered")
     place = F.struct(key, "first_byte")
     first = grouped.groupBy("cluster").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first != _last")
     same = (
         grouped.join(first, "cluster")
         .select(
             key, "first_byte", "end_byte", "n_words", F.col(f"_first.{key}").alias("class_id"),
-            (place == F.col("_first")).alias("kept"), F.lit("paragraph").alias("kind"),
+            (place == F.col("_first")).alias("kept"), "kind",
         )
         .distinct()
     )
