@@ -189,6 +189,23 @@ def test_a_passage_inside_other_paragraphs_is_found_and_cut_once(spark):
         assert len(gone) >= substrings.RUN and gone <= set(passage.split())
 
 
+def test_runs_reach_to_the_ends_of_the_passage(spark):
+    rows = []
+    for n, length in enumerate((51, 60, 90)):
+        passage = [f"P{n}x{i}" for i in range(length)]
+        rows += [(10 * n + i, [f"a{n}x{i}x{j}" for j in range(70 * (i != 1))], passage, [f"b{n}x{i}x{j}" for j in range(70 * (i != 2))]) for i in range(4)]
+    df = spark.createDataFrame([(i, " ".join([*a, *p, *b])) for i, a, p, b in rows], "doc_id bigint, text string")
+    spans = substrings.repeats(df).cache()
+    left = dict(rows_of(substrings.without_repeats(df, spans)))
+    found = {r["doc_id"]: r for r in spans.collect()}
+    assert len(found) == spans.count() == len(rows)
+    for i, a, p, b in rows:
+        assert found[i]["n_words"] == len(p) and found[i]["kept"] == (i % 10 == 0)
+        text = " ".join([*a, *p, *b])
+        assert text[found[i]["first_byte"] : found[i]["end_byte"]] == " ".join(p)
+        assert left[i].split() == (text.split() if i % 10 == 0 else [*a, *b])
+
+
 def test_wrapped_paragraphs_and_short_lines_are_compared(spark):
     wrapped = lambda words: "\n".join(" ".join(words[i : i + 13]) for i in range(0, len(words), 13))
     words = [f"h{j}" for j in range(160)]

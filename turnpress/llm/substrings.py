@@ -15,7 +15,8 @@ at places that depend on the nearby words alone (the least hash of a word pair i
 window of ``WINDOW`` pairs), so a shared passage is cut alike wherever it stands: between
 two cuts are at most WINDOW words, and of any passage of more than 50 words at least 9 lie
 in whole shared stretches. Stretches found before in another place go where an unbroken
-run of them has ``RUN`` words.
+run of them has ``RUN`` words; the run is then extended, word by word, to where its text and
+the one it repeats stop agreeing.
 
 Contract. NULL and empty texts have no passages. Letters A-Z are compared in lower case,
 white space as one space. Offsets are bytes of the UTF-8 text. Rows with a NULL key are
@@ -37,6 +38,8 @@ from turnpress.llm.common import Labels, blocks, bounds, components, map_batches
 BANDS, ROWS, SHINGLE = 6, 2, 5
 WINDOW, RUN, WIDE = 20, 9, 6
 """Word pairs per window; least words of a run; least words of the longest stretch in a run."""
+REACH = WINDOW + 1
+"""Most words by which a match goes on beyond its whole shared stretches on one side."""
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -254,24 +257,85 @@ def stretches(docs: DataFrame, key: str, text: str) -> DataFrame:
     return _rows(docs, key, text, run, "place int, first_byte int, end_byte int, n_words int, stretch bigint")
 
 
+def neighbours(docs: DataFrame, sites: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, at, ahead, words, edges) of sites (key, at, ahead): up to REACH words on one side of a byte.
+
+    ``words`` are hashes, the nearest first; ``edges`` are the bytes at their far ends.
+    """
+    asked = sites.groupBy(F.col(key).alias("_key")).agg(F.collect_set(F.struct("at", "ahead")).alias("_sites"))
+    held = docs.select(key, text).join(asked, F.col(key) == F.col("_key")).drop("_key")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, row, at, ahead, words, edges = batch.column(0), [], [], [], [], []
+        for i, (t, found) in enumerate(zip(texts(batch, text), batch.column(2), strict=True)):
+            starts, ends = word_spans(t)
+            for site in found.as_py():
+                n = int(np.searchsorted(starts, site["at"]))
+                near = np.arange(n, min(n + REACH, len(starts))) if site["ahead"] else np.arange(n - 1, max(n - REACH, 0) - 1, -1)
+                row.append(i)
+                at.append(site["at"])
+                ahead.append(site["ahead"])
+                words.append(word_hashes([t[a:b].lower() for a, b in zip(starts[near].tolist(), ends[near].tolist(), strict=True)]).view(np.int64))
+                edges.append((ends if site["ahead"] else starts)[near].astype(np.int32))
+        columns = [
+            keys.take(pa.array(row, pa.int64())), pa.array(at, pa.int32()), pa.array(ahead, pa.bool_()),
+            pa.array(words, pa.list_(pa.int64())), pa.array(edges, pa.list_(pa.int32())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, [key, "at", "ahead", "words", "edges"])
+
+    columns = "at int, ahead boolean, words array<bigint>, edges array<int>"
+    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), *T.StructType.fromDDL(columns).fields])
+    made = held.mapInArrow(lambda batches: map(run, batches), schema)
+    return made.groupBy(key, "at", "ahead").agg(F.min(F.struct("words", "edges")).alias("m")).select(key, "at", "ahead", "m.*")
+
+
+def extended(found: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Runs whose ends are where the texts stop agreeing, each with the first occurrence of its edge stretch.
+
+    The kept run reaches as far as any run that repeats it.
+    """
+    side = lambda ahead, at, of: F.struct(F.lit(ahead).alias("ahead"), F.col(at).alias("at"), f"{of}.of", F.col(f"{of}.at").alias("of_at"))
+    ends = found.where("NOT kept").select(key, F.explode(F.array(side(False, "first_byte", "_left"), side(True, "end_byte", "_right"))).alias("e")).select(key, "e.*")
+    ends = stored(ends, "ends")
+    sites = ends.select(key, "at", "ahead").union(ends.select("of", "of_at", "ahead")).distinct()
+    near = stored(neighbours(docs, sites, key, text), "neighbours")
+    other = near.select(F.col(key).alias("of"), F.col("at").alias("of_at"), "ahead", F.col("words").alias("_words"), F.col("edges").alias("_edges"))
+    apart = F.array_position(F.zip_with("words", "_words", lambda x, y: F.coalesce(x == y, F.lit(False))), False).cast("int")
+    both = ends.join(near, [key, "at", "ahead"]).join(other, ["of", "of_at", "ahead"])
+    both = both.withColumn("more", F.when(apart == 0, F.size("words")).otherwise(apart - 1)).where("more > 0")
+    both = stored(both.select(key, "at", "ahead", "of", "of_at", "more", F.get("edges", F.col("more") - 1).alias("edge"), F.get("_edges", F.col("more") - 1).alias("of_edge")), "grown")
+    first = both.groupBy("of", "of_at", "ahead").agg(F.max(F.struct("more", "of_edge")).alias("m"))
+    grown = both.select(key, "at", "ahead", "more", "edge", F.lit(False).alias("kept")).unionByName(
+        first.select(F.col("of").alias(key), F.col("of_at").alias("at"), "ahead", "m.more", F.col("m.of_edge").alias("edge"), F.lit(True).alias("kept"))
+    )
+    grown = grown.distinct()
+    out = found
+    for ahead, end in ((False, "first_byte"), (True, "end_byte")):
+        moved = grown.where(F.col("ahead") == ahead).select(key, F.col("at").alias(end), "kept", "more", "edge")
+        out = out.join(moved, [key, end, "kept"], "left").withColumn(end, F.coalesce("edge", end)).withColumn(
+            "n_words", F.col("n_words") + F.coalesce("more", F.lit(0))
+        ).drop("more", "edge")
+    return out
+
+
 def repeated_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Spans of stretches that occur more than once: (key, first byte, end, n_words, class_id, kept)."""
     parts = stretches(docs, key, text)
-    first = parts.groupBy("stretch").agg(
-        F.min(F.struct(key, "first_byte")).alias("_first"), F.max(F.struct(key, "first_byte")).alias("_last")
-    ).where("_first != _last").select("stretch", F.col(f"_first.{key}").alias("_doc"), F.col("_first.first_byte").alias("_at"))
+    place = F.struct(key, "first_byte", "end_byte")
+    first = parts.groupBy("stretch").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first != _last").select(
+        "stretch", F.col(f"_first.{key}").alias("_doc"), F.col("_first.first_byte").alias("_at"), F.col("_first.end_byte").alias("_end")
+    )
     again = parts.join(stored(first, "stretches"), "stretch").withColumn("kept", (F.col(key) == F.col("_doc")) & (F.col("first_byte") == F.col("_at")))
     order = Window.partitionBy(key, "kept").orderBy("place")
     run = again.dropDuplicates([key, "place"]).withColumn("_run", F.col("place") - F.row_number().over(order))
-    return (
-        run.groupBy(key, "kept", "_run")
-        .agg(
-            F.min("first_byte").alias("first_byte"), F.max("end_byte").alias("end_byte"), F.sum("n_words").cast("int").alias("n_words"),
-            F.min("_doc").alias("class_id"), F.max("n_words").alias("_wide"),
-        )
-        .where((F.col("n_words") >= RUN) & (F.col("_wide") >= WIDE))
-        .select(key, "first_byte", "end_byte", "n_words", "class_id", "kept")
+    found = run.groupBy(key, "kept", "_run").agg(
+        F.min("first_byte").alias("first_byte"), F.max("end_byte").alias("end_byte"), F.sum("n_words").cast("int").alias("n_words"),
+        F.min("_doc").alias("class_id"), F.max("n_words").alias("_wide"),
+        F.min_by(F.struct(F.col("_doc").alias("of"), F.col("_at").alias("at")), "place").alias("_left"),
+        F.max_by(F.struct(F.col("_doc").alias("of"), F.col("_end").alias("at")), "place").alias("_right"),
     )
+    found = stored(found.where((F.col("n_words") >= RUN) & (F.col("_wide") >= WIDE)), "found")
+    return extended(found, docs, key, text).select(key, "first_byte", "end_byte", "n_words", "class_id", "kept")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", shortest: int = 25, similar: float = 0.8) -> DataFrame:
