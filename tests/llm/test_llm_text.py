@@ -206,6 +206,14 @@ def test_runs_reach_to_the_ends_of_the_passage(spark):
         assert left[i].split() == (text.split() if i % 10 == 0 else [*a, *b])
 
 
+def test_a_long_passage_of_a_short_phrase_is_found(spark):
+    phrase = ["12", "x", "7", "y"] * 15
+    rows = [(i, " ".join([*(f"a{i}x{j}" for j in range(60)), *phrase, *(f"b{i}x{j}" for j in range(60))])) for i in range(2)]
+    found = substrings.repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    spans = [r for r in found.collect() if r["doc_id"] == 1 and not r["kept"]]
+    assert spans and max(r["n_words"] for r in spans) > substrings.LONG
+
+
 def test_wrapped_paragraphs_and_short_lines_are_compared(spark):
     wrapped = lambda words: "\n".join(" ".join(words[i : i + 13]) for i in range(0, len(words), 13))
     words = [f"h{j}" for j in range(160)]

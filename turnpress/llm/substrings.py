@@ -36,8 +36,8 @@ from pyspark.sql import types as T
 from turnpress.llm.common import Labels, blocks, bounds, components, map_batches, runs, stored, texts
 
 BANDS, ROWS, SHINGLE = 6, 2, 5
-WINDOW, RUN, WIDE = 20, 9, 6
-"""Word pairs per window; least words of a run; least words of the longest stretch in a run."""
+WINDOW, RUN, WIDE, LONG = 20, 9, 6, 50
+"""Word pairs per window; least words of a run; least words of the longest stretch in a run of up to LONG words."""
 REACH = WINDOW + 1
 """Most words by which a match goes on beyond its whole shared stretches on one side."""
 
@@ -334,8 +334,8 @@ def repeated_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
         F.min_by(F.struct(F.col("_doc").alias("of"), F.col("_at").alias("at")), "place").alias("_left"),
         F.max_by(F.struct(F.col("_doc").alias("of"), F.col("_end").alias("at")), "place").alias("_right"),
     )
-    found = stored(found.where((F.col("n_words") >= RUN) & (F.col("_wide") >= WIDE)), "found")
-    return extended(found, docs, key, text).select(key, "first_byte", "end_byte", "n_words", "class_id", "kept")
+    found = extended(stored(found.where(F.col("n_words") >= RUN), "found"), docs, key, text)
+    return found.where((F.col("_wide") >= WIDE) | (F.col("n_words") > LONG)).select(key, "first_byte", "end_byte", "n_words", "class_id", "kept")
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", shortest: int = 25, similar: float = 0.8) -> DataFrame:
