@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,10 +13,13 @@ from turnpress.llm import (
     bpe,
     chat,
     contexts,
+    licenses,
+    manifest,
     mixing,
     neighbours,
     quality,
     rules,
+    search,
     simhash,
     substrings,
     toxicity,
@@ -133,3 +137,32 @@ def op3_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"
     )
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    claims = F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) == 0)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    proved = manifest.manifest(docs, claimed={"text": lowered}, claims=claims)
+    return proved.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return search.search(docs, read(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+    result = F.col("licenses")
+    words = result["base"]["word"]
+    return scanned.select(
+        "doc_id", result["n_words"].alias("n_words"), F.size(words).cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
+        licenses.labels(result["base"]["label"]).alias("base_labels"),
+        licenses.labels(F.concat(result["base"]["label"], result["found"]["label"])).alias("labels"),
+        licenses.score(result).alias("score"),
+    )
