@@ -103,10 +103,10 @@ def test_dedup_does_not_depend_on_partitions(spark):
     assert kept(df.repartition(1)) == kept(df.repartition(13, F.rand(3))) == [("single_turn", i) for i in range(7)]
 
 
-def test_dedup_filters_before_the_shuffle(spark):
-    df = dedup.dedup_first(dedup.union_sources(examples(spark, example(1, [("user", "a", None)]))))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("WindowGroupLimit") == 2 and plan.index("WindowGroupLimit") < plan.index("Exchange")
+def test_dedup_sums_up_before_the_shuffle(spark):
+    df = dedup.union_sources(examples(spark, example(1, [("user", "a", None)])))
+    plan = dedup.first_rows(dedup.with_row_id(dedup.with_dedup_key(df)))._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and plan.index("Exchange") < plan.index("partial_min")
 
 
 def test_select_sources():

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnpress.functions.text import strip
 from turnpress.functions.tools import tool_names
+from turnpress.operators.order import content_tie
+from turnpress.operators.permutation import unused
 from turnpress.schemas import CALLS, SOURCE_ORDER
+from turnpress.session import stored
 
 
 def select_sources(sources: dict[str, DataFrame], single_only: bool = False, multi_only: bool = False) -> dict:
@@ -47,16 +50,46 @@ def with_dedup_key(examples: DataFrame) -> DataFrame:
     return examples.withColumn("key", dedup_key(F.col("messages"), F.col("tools")))
 
 
-def dedup_first(examples: DataFrame) -> DataFrame:
-    """First row per key in ``(source_rank, ord)`` order.
+ROW, TIE = "row_id", "row_tie"
+BROADCAST_ROWS = 1_000_000
+"""Most row numbers sent to every executor: some 30 MB as a hash table."""
 
-    The rank filter runs on the map side too, so a key that fills a third of the
-    table sends one row per input split to its reducer.
+
+def with_row_id(rows: DataFrame, row: str = ROW, tie: str = TIE) -> DataFrame:
+    """Adds a number per row and a hash of its content, for a table that is written next.
+
+    The number is fixed once the table is written.
+    """
+    return rows.withColumns({tie: content_tie(rows), row: F.monotonically_increasing_id()})
+
+
+def first_rows(keys: DataFrame, row: str = ROW, tie: str = TIE) -> DataFrame:
+    """``row`` of the first row per key by ``(source_rank, ord)``, then content; one row per key."""
+    least = F.min(F.struct("source_rank", "ord", tie, row)).alias("first")
+    return keys.select("key", "source_rank", "ord", tie, row).groupBy("key").agg(least).select(F.col(f"first.{row}").alias(row))
+
+
+def dedup_first(examples: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """First row per key in ``(source_rank, ord)`` order; of rows that tie, one stays.
+
+    Two phases. Keys and row numbers alone are shuffled, and summed up before that, so a key
+    with a third of all rows sends one row per input split. Whole rows are then chosen by number:
+    by the numbers that stay or, if these are more than ``limit``, those that go, as a broadcast;
+    where both are more, by a shuffle of evenly spread numbers, never by key. Rows that have no
+    number yet (``with_row_id``) are written to the shared folder first.
     """
-    w = Window.partitionBy("key").orderBy("source_rank", "ord")
     keyed = examples if "key" in examples.columns else with_dedup_key(examples)
-    return (
-        keyed.withColumn("_rn", F.row_number().over(w))
-        .where(F.col("_rn") == 1)
-        .drop("_rn")
-    )
+    row, tie, own = ROW, TIE, {ROW, TIE} <= set(keyed.columns)
+    if not own:
+        row, tie = unused(keyed, ROW, TIE)
+        keyed = stored(with_row_id(keyed, row, tie), "keyed")
+    first = stored(first_rows(keyed, row, tie), "first")
+    n_first = first.count()
+    if n_first <= limit:
+        kept = keyed.join(F.broadcast(first), row, "left_semi")
+    elif keyed.count() - n_first <= limit:
+        gone = keyed.select(row).join(first, row, "left_anti")
+        kept = keyed.join(F.broadcast(gone), row, "left_anti")
+    else:
+        kept = keyed.join(first, row, "left_semi")
+    return kept.select(*[c for c in keyed.columns if own or c not in (row, tie)])

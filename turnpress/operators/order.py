@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from turnpress.operators.permutation import Permutation, unused
+from turnpress.session import stored
 
 # Leading hex digits of a shuffle key: 65,536 equal buckets at four digits.
 PREFIX = 4
@@ -56,76 +62,223 @@ def seeded_shuffle(df: DataFrame, seed: int, *keys: str) -> DataFrame:
     return with_position(with_shuffle_key(df, seed, *keys), "shuffle_key")
 
 
-def holdout_cutoff(df: DataFrame, n: int, key: str = "shuffle_key", prefix: int = PREFIX) -> str | None:
-    """The n-th smallest key, or None when there are fewer than n rows.
+def holdout_cutoff(df: DataFrame, n: int, key: str = "shuffle_key", prefix: int = PREFIX) -> tuple[str, int, int] | None:
+    """The n-th smallest text key as an order statistic with ties; None when there are fewer than n rows.
 
-    Counts per key prefix find the one prefix that holds it; only keys of that prefix
-    are ordered. One short text reaches the driver.
+    ``(key, taken, count)``: of the ``count`` rows with that key, ``taken`` are among the n
+    smallest. Counts per key prefix find the one prefix that holds it; only the distinct keys of
+    that prefix are ordered. One row reaches the driver.
     """
-    running = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    counts = df.groupBy(F.substring(key, 1, prefix).alias("_prefix")).agg(F.count("*").alias("_n"))
-    hit = (
-        counts.withColumn("_upto", F.sum("_n").over(running))
-        .where(F.col("_upto") >= n)
-        .orderBy("_prefix")
-        .limit(1)
-        .collect()
-    )
-    if not hit:
+    bucket = _reached(df.groupBy(F.substring(key, 1, prefix).alias("_at")).agg(F.count("*").alias("_n")), n)
+    if bucket is None:
         return None
-    bucket = hit[0]
+    inside = df.where(F.substring(key, 1, prefix) == bucket["_at"]).groupBy(F.col(key).alias("_at")).agg(F.count("*").alias("_n"))
     rest = n - (bucket["_upto"] - bucket["_n"])
-    inside = df.where(F.substring(key, 1, prefix) == bucket["_prefix"]).select(key).orderBy(key).limit(rest)
-    return inside.agg(F.max(key)).first()[0]
+    hit = _reached(inside, rest)
+    return hit["_at"], rest - (hit["_upto"] - hit["_n"]), hit["_n"]
+
 
+def _reached(counts: DataFrame, n: int):
+    """The first row of ``(_at, _n)`` by ``_at`` where the running sum reaches n."""
+    upto = F.sum("_n").over(Window.orderBy("_at").rowsBetween(Window.unboundedPreceding, 0))
+    return counts.where("_at IS NOT NULL").withColumn("_upto", upto).where(F.col("_upto") >= n).orderBy("_at").first()
 
-def order_cutoff(df: DataFrame, n: int, order: str = "ord") -> int | None:
-    """The n-th smallest whole number in ``order``, or None when there are fewer than n.
+
+def order_cutoff(df: DataFrame, n: int, order: str | Column = "ord") -> tuple[int, int, int] | None:
+    """The n-th smallest whole number, as ``holdout_cutoff`` has it for texts.
 
     Counts over 4,096 equal ranges locate the range that holds it, which is then cut the
     same way. Only one column is read and only one range reaches the driver per round.
     """
-    low, high, total = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    numbers = df.select((F.col(order) if isinstance(order, str) else order).cast("bigint").alias("_v"))
+    low, high, total = numbers.agg(F.min("_v"), F.max("_v"), F.count("_v")).first()
     if total < n:
         return None
+    count = total
     while low < high:
         width = max(1, -(-(high - low + 1) // 4096))
-        inside = df.where(F.col(order).between(low, high))
-        counts = inside.groupBy(F.floor((F.col(order) - low) / width).cast("int").alias("_r")).agg(F.count("*").alias("_n"))
-        upto = F.sum("_n").over(Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0))
-        hit = counts.withColumn("_upto", upto).where(F.col("_upto") >= n).orderBy("_r").first()
-        n -= hit["_upto"] - hit["_n"]
-        low, high = low + hit["_r"] * width, min(high, low + (hit["_r"] + 1) * width - 1)
-    return low
+        cell = F.call_function("div", F.col("_v") - low, F.lit(width).cast("bigint"))
+        counts = numbers.where(F.col("_v").between(low, high)).groupBy(cell.cast("int").alias("_at")).agg(F.count("*").alias("_n"))
+        hit = _reached(counts, n)
+        count = hit["_n"]
+        n -= hit["_upto"] - count
+        low, high = low + hit["_at"] * width, min(high, low + (hit["_at"] + 1) * width - 1)
+    return low, n, count
+
+
+def _has_map(type_: T.DataType) -> bool:
+    if isinstance(type_, T.ArrayType):
+        return _has_map(type_.elementType)
+    if isinstance(type_, T.StructType):
+        return any(_has_map(f.dataType) for f in type_)
+    return isinstance(type_, T.MapType)
+
+
+def content_tie(df: DataFrame) -> Column:
+    """A number from all columns: it orders rows that a key leaves tied, and equal rows get equal ones.
+
+    61 bits, so that differences stay within 64.
+    """
+    columns = [(F.col(f"`{f.name}`"), f.dataType) for f in df.schema]
+    return F.shiftright(F.xxhash64(*[F.to_json(F.struct(c)) if _has_map(t) else c for c, t in columns]), 3)
+
+
+def with_first(df: DataFrame, n: int, order: str, cutoff: tuple | None, out: str) -> DataFrame:
+    """Adds boolean ``out``: the row is one of the ``n`` smallest by ``order``, exactly, ties and all.
+
+    ``cutoff`` is the order statistic of ``order``. Where it splits rows with equal keys, the next one,
+    of a hash over all columns, decides; where that splits rows too, they are equal rows, and any of
+    them will do: these alone are written down and numbered. All else is a comparison.
+    """
+    if cutoff is None:
+        return df.withColumn(out, F.lit(True))
+    value, taken, count = cutoff
+    key = F.col(order)
+    if taken == count:
+        return df.withColumn(out, F.coalesce(key <= F.lit(value), F.lit(False)))
+    tie = content_tie(df)
+    last, among, equal = order_cutoff(df.where(key == F.lit(value)), taken, tie)
+    inside = F.coalesce((key < F.lit(value)) | ((key == F.lit(value)) & (tie <= last)), F.lit(False))
+    if among == equal:
+        return df.withColumn(out, inside)
+    same = F.coalesce((key == F.lit(value)) & (tie == last), F.lit(False))
+    (place,) = unused(df, "place")
+    rows, _ = dense(stored(df.where(same).withColumn(place, F.monotonically_increasing_id()), "ties"), place, place)
+    chosen = rows.withColumn(out, F.col(place) < among).drop(place)
+    return df.where(~same).withColumn(out, inside).unionByName(chosen.select(*df.columns, out))
 
 
 def holdout_split(df: DataFrame, eval_size: int, key: str = "shuffle_key") -> DataFrame:
     """Adds ``split``: the ``eval_size`` smallest keys are ``eval``, the rest ``train``.
 
-    The split is a comparison with one cut-off key, so neither side is shuffled.
+    The split is a comparison with one cut-off key, so neither side is shuffled; of rows that
+    share that key, as many are ``eval`` as are missing.
     """
     if eval_size <= 0:
         return df.withColumn("split", F.lit("train"))
-    cutoff = holdout_cutoff(df, eval_size, key)
-    if cutoff is None:
-        return df.withColumn("split", F.lit("eval"))
-    return df.withColumn("split", F.when(F.col(key) <= cutoff, "eval").otherwise("train"))
+    (held,) = unused(df, "held")
+    marked = with_first(df, eval_size, key, holdout_cutoff(df, eval_size, key), held)
+    return marked.withColumn("split", F.when(F.col(held), "eval").otherwise("train")).drop(held)
 
 
 def sort_length_desc(df: DataFrame, length: str = "n_tokens", tie: str = "ord") -> DataFrame:
     return df.orderBy(F.col(length).desc(), F.col(tie))
 
 
-def epoch_shard_plan(ids: DataFrame, key: str, epochs: int, world: int, seed: int) -> DataFrame:
+def dense(rows: DataFrame, place: str, out: str) -> tuple[DataFrame, int]:
+    """Replaces ``place``, the ``monotonically_increasing_id`` of a stored table, by 0..n-1; also n.
+
+    The high bits of ``place`` name the task that wrote the row. Counts per task, one row each,
+    are summed up on the driver and sent back, so the broadcast is bounded by the number of tasks.
+    """
+    task = F.shiftright(F.col(place), 33)
+    counts = sorted(rows.groupBy(task.alias("t")).agg(F.count("*").alias("n")).collect())
+    offsets, n = [], 0
+    for r in counts:
+        offsets.append((r["t"], n - (r["t"] << 33)))
+        n += r["n"]
+    at, shift = unused(rows, "task", "shift")
+    table = rows.sparkSession.createDataFrame(offsets, f"{at} bigint, {shift} bigint")
+    joined = rows.withColumn(at, task).join(F.broadcast(table), at)
+    return joined.withColumn(out, F.col(place) + F.col(shift)).drop(*({at, shift, place} - {out})), n
+
+
+def numbered(ids: DataFrame, key: str, out: str = "number") -> tuple[DataFrame, int]:
+    """``(key, out)`` with the numbers 0..n-1 in key order, and n: one sort over ranges, written once."""
+    given = F.coalesce(F.col(key), F.raise_error(F.lit("NULL id in a plan")).cast(ids.schema[key].dataType))
+    rows = ids.select(given.alias(key)).repartitionByRange(key).sortWithinPartitions(key)
+    return dense(stored(rows.withColumn(out, F.monotonically_increasing_id()), "numbers"), out, out)
+
+
+def epoch_shard_plan(ids: DataFrame, key: str, epochs: int, world: int, seed: int, is_dense: bool = False) -> DataFrame:
     """``(epoch, position, rank, index)`` of every id in every training epoch.
 
-    Each epoch has its own permutation; the tail that would leave ranks uneven drops
-    out. ``total`` counts the rows before that.
+    Ids are numbered once (with ``is_dense`` they are 0..n-1 already, as bins are); a place in any
+    epoch is arithmetic on that number, so epochs cost no further scan or shuffle. Each epoch
+    has its own permutation; the tail that would leave ranks uneven drops out. ``total`` counts
+    the rows before that.
+    """
+    (number,) = unused(ids, "number")
+    if is_dense:
+        n = ids.count()
+        checked = F.when(F.col(key).between(0, n - 1), F.col(key)).otherwise(F.raise_error(F.lit("ids are not 0..n-1")).cast("bigint"))
+        rows = ids.select(key, checked.cast("bigint").alias(number))
+    else:
+        rows, n = numbered(ids, key, number)
+    each = rows.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    placed = Permutation(n, seed, epochs).with_place(each, number, "epoch").drop(number)
+    placed = placed.withColumn("total", F.lit(n).cast("bigint"))
+    return _on_ranks(placed.where(F.col("position") < n - n % world), world)
+
+
+def rank_plan(
+    spark: SparkSession, permutation: Permutation, rank: int, world: int, global_batch: int, micro_batch: int,
+    first_step: int, last_step: int,
+) -> DataFrame:
+    """``(number, epoch, position, rank, index, step, slot)`` of one rank from its steps alone.
+
+    The rows of ``batch_plan`` for that rank and these steps (counted over the epochs, from 1),
+    without any table: places follow from the steps, and numbers from places by the inverse
+    permutation. ``ids_of`` finds the ids where numbers are not the ids themselves.
+    """
+    slots = accumulation(global_batch, micro_batch, world)
+    per_epoch, own = permutation.n // global_batch, global_batch // world
+    last_step = min(last_step, per_epoch * permutation.epochs)
+    steps = spark.range(max(0, last_step - first_step + 1) * own)
+    div = lambda c, by: F.call_function("div", c, F.lit(max(by, 1)).cast("bigint"))
+    step = div(F.col("id"), own) + (first_step - 1)
+    rows = steps.select(
+        (step + 1).alias("step"), div(step, per_epoch).cast("int").alias("epoch"),
+        (step % max(per_epoch, 1) * own + F.col("id") % own).alias("index"),
+    )
+    placed = rows.withColumns({
+        "rank": F.lit(rank), "position": F.col("index") * world + rank,
+        "slot": (div(F.col("index"), micro_batch) % slots).cast("int"),
+    })
+    return permutation.with_number(placed, "position", "epoch")
+
+
+CHUNK = 1_000_000
+"""Numbers in a folder of a stored numbering."""
+ASKED = 100_000
+"""Most numbers that are worked out on the driver to choose folders, and sent to executors."""
+
+
+def write_numbering(ids: DataFrame, key: str, path: str, chunk: int = CHUNK) -> int:
+    """The numbering as Parquet in folders of ``chunk`` consecutive numbers; returns n."""
+    rows, n = numbered(ids, key)
+    folder = F.call_function("div", F.col("number"), F.lit(chunk).cast("bigint"))
+    rows.withColumn("chunk", folder).write.mode("errorifexists").partitionBy("chunk").parquet(path)
+    return n
+
+
+def ids_of(numbering: DataFrame, plan: DataFrame, asked: Iterable[int] | None = None, chunk: int = CHUNK) -> DataFrame:
+    """``plan`` with the ids of its numbers, from a stored numbering.
+
+    ``asked``, the plan's numbers where they are few (``Permutation.number`` gives them without a
+    job), limits the read to their folders and lets the plan be broadcast; both only up to
+    ``ASKED`` numbers, else it is a shuffled join.
     """
-    rows = ids.select(key).withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    keyed = rows.withColumn("_key", shuffle_key(F.col("epoch") + seed, F.col(key)))
-    placed = with_position(keyed, "_key", within=("epoch",)).drop("_key")
-    return _on_ranks(placed.where(F.col("position") < F.col("total") - F.col("total") % world), world)
+    asked = None if asked is None else set(asked)
+    if asked is None or len(asked) > ASKED:
+        return plan.join(numbering.drop("chunk"), "number")
+    folders = sorted({n // chunk for n in asked})
+    return numbering.where(F.col("chunk").isin(folders)).drop("chunk").join(F.broadcast(plan), "number")
+
+
+def asked_numbers(
+    permutation: Permutation, rank: int, world: int, global_batch: int, first_step: int, last_step: int
+) -> list[int] | None:
+    """The numbers that ``rank_plan`` gives, or None when they are more than ``ASKED``."""
+    per_epoch, own = permutation.n // global_batch, global_batch // world
+    last_step = min(last_step, per_epoch * permutation.epochs)
+    if (last_step - first_step + 1) * own > ASKED:
+        return None
+    found = []
+    for step in range(first_step - 1, last_step):
+        epoch, inside = divmod(step, per_epoch)
+        found += [permutation.number((inside * own + i) * world + rank, epoch) for i in range(own)]
+    return found
 
 
 def eval_shard_plan(ids: DataFrame, key: str, world: int, order: str = "shuffle_key") -> DataFrame:

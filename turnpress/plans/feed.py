@@ -10,8 +10,8 @@ from turnpress.operators.order import batch_plan, epoch_shard_plan, schedule
 
 def training_plan(packed: DataFrame, epochs: int, world: int, global_batch: int, micro_batch: int = 1,
                   seed: int = 42) -> DataFrame:
-    """``(bin, epoch, rank, step, slot)`` of every packed record in every epoch."""
-    shards = epoch_shard_plan(packed.select("bin"), "bin", epochs, world, seed)
+    """``(bin, epoch, rank, step, slot)`` of every packed record in every epoch; bins are 0..n-1."""
+    shards = epoch_shard_plan(packed.select("bin"), "bin", epochs, world, seed, is_dense=True)
     return batch_plan(shards, global_batch, micro_batch, world).select(
         "bin", "epoch", "rank", "index", "step", "slot"
     )

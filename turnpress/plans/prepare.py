@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnpress.operators.clean import flag_multi_turn, flag_single_turn
-from turnpress.operators.dedup import dedup_first, select_sources, with_dedup_key
+from turnpress.operators.dedup import dedup_first, select_sources, with_dedup_key, with_row_id
 from turnpress.operators.report import (
     dedup_report, final_by_source, keep_rate, source_counts, stats_table,
 )
@@ -30,7 +30,7 @@ def prepare(
 
     Publishes ``table/`` (Parquet, what ``pack`` reads), ``examples/`` (the same rows as JSON
     lines), ``rates/`` and ``stats/``. The corpora are parsed once into a stage table with
-    reasons and keys. Every output is put in place by a rename when it is whole, so a run
+    reasons, keys and row numbers, so duplicates are found on narrow rows. Every output is put in place by a rename when it is whole, so a run
     that died goes on from the last output; the stage table goes when all are there.
     """
     caps = caps or {}
@@ -42,7 +42,7 @@ def prepare(
             for rank, name in enumerate(SOURCE_ORDER) if name in enabled
         ])
         stage = f"{output}/_flagged"
-        flags = materialize_once(spark, stage, lambda: with_dedup_key(flagged()))
+        flags = materialize_once(spark, stage, lambda: with_row_id(with_dedup_key(flagged())))
         valid = flags.where(F.col("reject_reason").isNull()).drop("reject_reason")
         columns = EXAMPLE.fieldNames()
         kept = materialize_once(spark, outputs[0], lambda: dedup_first(valid).select(*columns))

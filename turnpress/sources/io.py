@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from turnpress.functions.text import spaced_json
 from turnpress.functions.tokens import tool_json
-from turnpress.operators.order import order_cutoff
+from turnpress.operators.order import order_cutoff, with_first
+from turnpress.operators.permutation import unused
 from turnpress.schemas import EVAL, EXAMPLE, INTS, METRICS, PACKED, RAW_MULTI_TURN, RAW_SINGLE_TURN, STATS, TOOLS
 
 
@@ -72,14 +73,15 @@ def without_nulls(df: DataFrame) -> DataFrame:
 def cap_rows(df: DataFrame, max_rows: int | None, order: str = "ord") -> DataFrame:
     """The first rows in source order, for trial runs; None keeps all.
 
-    The cut-off number is found by counting, so the cap itself is a filter and no sort.
+    The cut-off number is found by counting, so the cap itself is a filter and no sort. Of rows
+    with that number, as many stay as are missing.
     """
     if max_rows is None:
         return df
     if max_rows <= 0:
         return df.limit(0)
-    last = order_cutoff(df, max_rows, order)
-    return df if last is None else df.where(F.col(order) <= last)
+    (first,) = unused(df, "first")
+    return with_first(df, max_rows, order, order_cutoff(df, max_rows, order), first).where(first).drop(first)
 
 
 def example_line(tools: Column) -> Column:
