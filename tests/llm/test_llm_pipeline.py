@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from turnpress.llm import mixing, queries, simhash
+from turnpress.llm import mixing, queries, simhash, substrings
 from turnpress.llm.common import fold, read
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +73,33 @@ def test_stages_take_empty_and_odd_rows(spark):
         for _, stage in pipeline.STAGES:
             assert stage(spark, docs, SF).count() <= 3 * max(1, len(rows))
     assert fold(F.col("doc_id"), 4) is not None
+
+
+ROWS = "doc_id bigint, text string, source string"
+
+
+def test_one_id_with_two_texts_is_two_documents(spark):
+    passage = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, passage + ".", "a"), (2, passage + " and more", "a"), (2, "é" * 400 + " aé", "a"), (2, "é" * 400 + " aé", "a"), (3, "a" + "é" * 500, "b")]
+    docs = spark.createDataFrame(rows, ROWS).repartition(3)
+    spans = substrings.repeats(docs)
+    assert {(r["doc_id"], r["class_id"]) for r in spans.where("NOT kept").collect()} == {(2, 1)}
+    left = sorted(r["text"] for r in substrings.without_repeats(docs, spans).collect())
+    assert left == sorted([passage + ".", "é" * 400 + " aé", "é" * 400 + " aé", "a" + "é" * 500])
+    kept = pipeline.drop_near_duplicates(spark, docs, "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"] != 3) == sorted({(i, t) for i, t, _ in rows if i == 1 or t.startswith("é")})
+
+
+@pytest.mark.parametrize("names", [
+    ["_score", "_key", "_spans", "_touched", "_cut", "_name", "_size"],
+    ["score", "key", "size", "found", "touched", "named", "of", "document", "digest", "source_size", "target"],
+])
+def test_stages_keep_columns_of_any_name(spark, names):
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 97}" for k in range(40)), "ab"[i % 2]) for i in range(30)]
+    docs = spark.createDataFrame(rows, ROWS).withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    labels = "/root/testdata/sf0.001"
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, labels)
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert all(r[n] == f"{n}{r['doc_id']}" for n in names)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnpress.llm.common import WORD, stored
+from turnpress.operators.permutation import unused
 
 STEPS, BITS = 4, 12
 """Rounds of the radix selection and bits of the key that each one opens."""
@@ -90,13 +91,16 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 
 def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The documents themselves, each as often as it enters the mix, with all columns."""
+    """The documents themselves, each as often as it enters the mix, with all columns, whatever their names."""
     rows = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size"), document_key(key, text).alias("_key"))
     chosen = plan(stored(rows, "sizes"))
-    sized = docs.withColumns({"_size": word_count(F.col(text)), "_key": document_key(key, text)})
-    times = entries(F.col("_size"))
-    out = _joined(sized, chosen.select("source", "_epochs", "_cut", "_enters"), source)
-    return out.withColumn("_once", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(docs.columns)
+    (whole,) = unused(docs, "document")
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)).select(
+        whole, F.col(f"{whole}.`{source}`").alias("source"), word_count(F.col(f"{whole}.`{text}`")).alias("size"),
+        document_key(f"{whole}.`{key}`", f"{whole}.`{text}`").alias("_key"),
+    )
+    out = _joined(sized, chosen.select("source", "_epochs", "_cut", "_enters"))
+    return out.select(whole, F.explode(F.array_repeat(F.lit(1), entries().cast("int")))).select(f"{whole}.*")
 
 
 def document_key(key: str, text: str) -> Column:
@@ -104,9 +108,9 @@ def document_key(key: str, text: str) -> Column:
     return exponential_key(identity, quality_weight(F.col(text)))
 
 
-def entries(size: Column | None = None) -> Column:
+def entries() -> Column:
     """How often a document enters, from its size and key and its source's epochs and cut-off."""
-    size = F.col("size") if size is None else size
+    size = F.col("size")
     below = (F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & F.col("_enters"))
     return F.when(size == 0, 0).otherwise(F.col("_epochs") + F.coalesce(below, F.lit(False)).cast("int")).cast("long")
 

@@ -54,8 +54,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
     def run(batch: pa.RecordBatch) -> dict:
         return {"fp": pa.array([fingerprint(t, shingle) for t in texts(batch, text)], pa.int64())}
 
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("fp", T.LongType())])
-    return map_batches(docs.select(key, text), run, schema)
+    schema = T.StructType([
+        T.StructField(key, docs.schema[key].dataType), T.StructField("fp", T.LongType()), T.StructField("text_hash", T.LongType()),
+    ])
+    return map_batches(docs.select(key, text, F.xxhash64(text).alias("text_hash")), run, schema)
 
 
 def tree_links(points: np.ndarray, queries: np.ndarray, radius: int):
@@ -127,11 +129,21 @@ def links(fps: DataFrame, radius: int = 4, bands: int = 6, cap: int = 4096) -> D
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4, shingle: int = 4, bands: int = 6) -> DataFrame:
     """(key, fp, component_id): the smallest key reachable over linked fingerprints."""
+    return groups(docs, key, text, radius, shingle, bands).select(key, "fp", "component_id")
+
+
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = 4, shingle: int = 4, bands: int = 6) -> DataFrame:
+    """(key, fp, component_id, group, text_hash): the smallest key reachable over linked fingerprints.
+
+    Groups are of fingerprints, so rows with one key and different texts are in the group of their
+    own text each; ``group`` is its least fingerprint, ``text_hash`` the xxhash64 of the text.
+    """
     prints = stored(fingerprints(docs, key, text, shingle), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min(key).alias("id"))
-    classes = stored(classes.where("id IS NOT NULL"), "classes")
-    joined = components(links(classes, radius, bands))
-    named = classes.join(joined, "id", "left").select("fp", F.coalesce("component_id", "id").alias("component_id"))
-    return prints.join(named, "fp", "left").select(
-        key, "fp", F.when(F.col(key).isNotNull(), F.col("component_id")).alias("component_id")
-    )
+    classes = prints.groupBy("fp").agg(F.min(key).alias("least")).where("least IS NOT NULL")
+    classes = stored(classes.withColumn("id", F.col("fp")), "classes")
+    joined = components(links(classes.select("fp", "id"), radius, bands))
+    named = stored(classes.join(joined, "id", "left").select("fp", "least", F.coalesce("component_id", "fp").alias("group")), "groups")
+    smallest = named.groupBy("group").agg(F.min("least").alias("component_id"))
+    known = prints.join(named.join(smallest, "group").select("fp", "component_id", "group"), "fp", "left")
+    mine = lambda c: F.when(F.col(key).isNotNull(), F.col(c)).alias(c)
+    return known.select(key, "fp", mine("component_id"), mine("group"), "text_hash")

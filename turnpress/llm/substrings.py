@@ -20,8 +20,9 @@ the one it repeats stop agreeing.
 
 Contract. NULL and empty texts have no passages. Letters A-Z are compared in lower case,
 white space as one space. Offsets are bytes of the UTF-8 text. Rows with a NULL key are
-left out of the comparison and never changed; rows with one key are one document, so a
-repeated row is no repetition of itself. Empty tables give empty results.
+left out of the comparison and never changed; equal rows are one document, so a repeated row
+is no repetition of itself, and rows with one key and different texts are different
+documents. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnpress.llm.common import Labels, blocks, bounds, components, map_batches, runs, stored, texts
+from turnpress.operators.permutation import unused
 
 BANDS, ROWS, SHINGLE = 6, 2, 5
 WINDOW, RUN, WIDE, LONG = 20, 9, 6, 50
@@ -59,9 +61,21 @@ def word_spans(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+class _Hashes(dict):
+    """Hashes of the words a worker has met lately; most words of a text are among them."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= 1 << 17:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_KNOWN = _Hashes()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter(map(digest, words), np.uint64, len(words))
+    return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -73,9 +87,13 @@ def shingles(hashes: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return out
 
 
-def lines(text: bytes, shortest: int):
-    """(start, end, hashes of words, kind) of the paragraphs, blocks and shorter lines."""
+def lines(text: bytes, shortest: int, every: list[np.ndarray] | None = None):
+    """(start, end, hashes of words, kind) of the paragraphs, blocks and shorter lines.
+
+    ``every`` collects the hashes of all words of the text, line by line.
+    """
     at, held, block, upto = 0, [], 0, 0
+    every = [] if every is None else every
     for line in [*text.split(b"\n"), b""]:
         words = line.lower().split()
         end = at + len(line)
@@ -83,6 +101,7 @@ def lines(text: bytes, shortest: int):
             if not held:
                 block = at
             held.append(hashes := word_hashes(words))
+            every.append(hashes)
             upto = end
             if len(words) >= SHINGLE:
                 yield at, end, hashes, "line"
@@ -91,18 +110,28 @@ def lines(text: bytes, shortest: int):
                 yield block, upto, np.concatenate(held), "block"
             held = []
             if words:
-                yield at, end, word_hashes(words), "paragraph"
+                every.append(hashes := word_hashes(words))
+                yield at, end, hashes, "paragraph"
         at = end + 1
 
 
-def paragraphs(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
-    """(key, first byte, end, n_words, hash, kind, bands) of every paragraph, block and shorter line; the last have no bands."""
+PIECE = ["first_byte", "end_byte", "n_words", "hash", "kind", "place", "bands"]
+
+
+def pieces(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
+    """(key, first byte, end, n_words, hash, kind, place, bands) of all that is compared, in one pass over the texts.
+
+    That is every paragraph and block, with its bands, every shorter line, and every stretch, with
+    its ``place`` in the text.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = batch.column(0)
         row, starts, ends, counts, hashes, kinds, grams, sizes = [], [], [], [], [], [], [], []
+        cut_row, cut = [], [[], [], [], [], []]
         for i, t in enumerate(texts(batch, text)):
-            for start, end, words, kind in lines(t, shortest):
+            every: list[np.ndarray] = []
+            for start, end, words, kind in lines(t, shortest, every):
                 row.append(i)
                 starts.append(start)
                 ends.append(end)
@@ -112,23 +141,47 @@ def paragraphs(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame
                 if kind != "line":
                     grams.append(g := shingles(words))
                     sizes.append(len(g))
+            if every:
+                found = stretches(t, np.concatenate(every))
+                cut_row += [i] * len(found[0])
+                for to, v in zip(cut, found, strict=True):
+                    to.append(np.asarray(v, np.uint64))
         bands = np.zeros((len(grams), BANDS), np.uint64)
         if grams:
-            flat, cut = np.concatenate(grams), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            flat, first = np.concatenate(grams), np.concatenate([[0], np.cumsum(sizes)[:-1]])
             for i, turn in enumerate(TURN):
-                least = np.minimum.reduceat(mixed(flat * turn), cut)
+                least = np.minimum.reduceat(mixed(flat * turn), first)
                 bands[:, i // ROWS] = mixed(bands[:, i // ROWS] * turn + least)
-        widths = [0 if kind == "line" else BANDS for kind in kinds]
+        n = len(cut_row)
+        widths = [*(0 if kind == "line" else BANDS for kind in kinds), *[0] * n]
         packed = pa.ListArray.from_arrays(
             pa.array(np.cumsum([0, *widths], dtype=np.int32)), pa.array((bands.ravel() >> np.uint64(32)).astype(np.uint32).view(np.int32))
         )
+        cut_at = [np.concatenate(v) if v else np.zeros(0, np.uint64) for v in cut]
+        number = lambda one, two: pa.array(np.concatenate([np.array(one, np.uint64), two]).astype(np.int32))
         columns = [
-            keys.take(pa.array(row, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(counts, pa.int32()),
-            pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(kinds, pa.string()), packed,
+            keys.take(pa.array(row + cut_row, pa.int64())), number(starts, cut_at[1]), number(ends, cut_at[2]), number(counts, cut_at[3]),
+            pa.array(np.concatenate([np.array(hashes, np.uint64), cut_at[4]]).view(np.int64)),
+            pa.concat_arrays([pa.array(kinds, pa.string()), pa.repeat(pa.scalar("stretch"), n)]),
+            number([0] * len(row), cut_at[0]), packed,
         ]
-        return pa.RecordBatch.from_arrays(columns, [key, "first_byte", "end_byte", "n_words", "hash", "kind", "bands"])
+        return pa.RecordBatch.from_arrays(columns, [key, *PIECE])
+
+    return _rows(docs, key, text, run, "first_byte int, end_byte int, n_words int, hash bigint, kind string, place int, bands array<int>")
+
 
-    return _rows(docs, key, text, run, "first_byte int, end_byte int, n_words int, hash bigint, kind string, bands array<int>")
+def stretches(text: bytes, hashes: np.ndarray) -> tuple:
+    """(place, first byte, end, n_words, hash) of the stretches of a text, cut by its own words."""
+    starts, ends = word_spans(text)
+    n = len(starts)
+    cuts = np.array([0])
+    if n > WINDOW:
+        pair = mixed(hashes[:-1] * ODD + hashes[1:])
+        view = np.lib.stride_tricks.sliding_window_view(pair, WINDOW)
+        cuts = np.unique(np.concatenate([[0], view.argmin(1) + np.arange(len(view))]))
+    stops = np.append(cuts[1:], n)
+    made = [xxhash.xxh3_64_intdigest(hashes[a:b].tobytes()) for a, b in zip(cuts.tolist(), stops.tolist(), strict=True)]
+    return np.arange(len(cuts)), starts[cuts], ends[stops - 1], stops - cuts, np.array(made, np.uint64)
 
 
 def _rows(docs: DataFrame, key: str, text: str, make, columns: str) -> DataFrame:
@@ -228,35 +281,6 @@ def clusters(parts: DataFrame, docs: DataFrame, key: str, text: str, shortest: i
     return components(packed.mapInArrow(compare, "a bigint, b bigint")).select(F.col("id").alias("hash"), F.col("component_id").alias("cluster"))
 
 
-def stretches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, place, first byte, end, n_words, stretch) for every text, cut by its own words."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keys, row, made = batch.column(0), [], [[], [], [], [], []]
-        for i, t in enumerate(texts(batch, text)):
-            starts, ends = word_spans(t)
-            n = len(starts)
-            if not n:
-                continue
-            hashes = word_hashes(t.lower().split())
-            cuts = np.array([0])
-            if n > WINDOW:
-                pair = mixed(hashes[:-1] * ODD + hashes[1:])
-                view = np.lib.stride_tricks.sliding_window_view(pair, WINDOW)
-                cuts = np.unique(np.concatenate([[0], view.argmin(1) + np.arange(len(view))]))
-            stops = np.append(cuts[1:], n)
-            row += [i] * len(cuts)
-            values = (np.arange(len(cuts)), starts[cuts], ends[stops - 1], stops - cuts,
-                      [xxhash.xxh3_64_intdigest(hashes[a:b].tobytes()) for a, b in zip(cuts.tolist(), stops.tolist(), strict=True)])
-            for to, v in zip(made, values, strict=True):
-                to.append(np.asarray(v, np.uint64))
-        flat = [np.concatenate(v) if v else np.zeros(0, np.uint64) for v in made]
-        columns = [keys.take(pa.array(row, pa.int64())), *(pa.array(v.astype(np.int32)) for v in flat[:4]), pa.array(flat[4].view(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, [key, "place", "first_byte", "end_byte", "n_words", "stretch"])
-
-    return _rows(docs, key, text, run, "place int, first_byte int, end_byte int, n_words int, stretch bigint")
-
-
 def neighbours(docs: DataFrame, sites: DataFrame, key: str, text: str) -> DataFrame:
     """(key, at, ahead, words, edges) of sites (key, at, ahead): up to REACH words on one side of a byte.
 
@@ -318,9 +342,9 @@ def extended(found: DataFrame, docs: DataFrame, key: str, text: str) -> DataFram
     return out
 
 
-def repeated_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
+def repeated_runs(parts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """Spans of stretches that occur more than once: (key, first byte, end, n_words, class_id, kept)."""
-    parts = stretches(docs, key, text)
+    parts = parts.select(key, "place", "first_byte", "end_byte", "n_words", F.col("hash").alias("stretch"))
     place = F.struct(key, "first_byte", "end_byte")
     first = parts.groupBy("stretch").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first != _last").select(
         "stretch", F.col(f"_first.{key}").alias("_doc"), F.col("_first.first_byte").alias("_at"), F.col("_first.end_byte").alias("_end")
@@ -339,12 +363,26 @@ def repeated_runs(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", shortest: int = 25, similar: float = 0.8) -> DataFrame:
-    """Every passage that repeats: (key, first_byte, end_byte, n_words, class_id, kept, kind).
+    """Every passage that repeats: (key, first_byte, end_byte, n_words, class_id, kept, kind, text_hash).
 
     ``class_id`` is the key of the document in which the passage comes first; that one is
-    ``kept`` and comes back too. ``kind`` is paragraph, block, line or run.
+    ``kept`` and comes back too. ``kind`` is paragraph, block, line or run. Where any key has two
+    different texts, each of these is a document of its own, and ``text_hash`` (xxhash64 of the text)
+    says which one a span belongs to; elsewhere it is NULL.
     """
-    parts = stored(paragraphs(docs, key, text, shortest), "paragraphs")
+    digest = F.xxhash64(text)
+    several = docs.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(digest).alias("low"), F.max(digest).alias("high"))
+    if not several.where("low != high").limit(1).collect():
+        return _repeats(docs.select(key, text), key, text, shortest, similar).withColumn("text_hash", F.lit(None).cast("bigint"))
+    rows = docs.where(F.col(key).isNotNull()).select(F.struct(F.col(key).alias("key"), digest.alias("digest")).alias("document"), F.col(text).alias("body"))
+    found = _repeats(rows, "document", "body", shortest, similar)
+    columns = ["first_byte", "end_byte", "n_words", F.col("class_id.key").alias("class_id"), "kept", "kind"]
+    return found.select(F.col("document.key").alias(key), *columns, F.col("document.digest").alias("text_hash"))
+
+
+def _repeats(docs: DataFrame, key: str, text: str, shortest: int, similar: float) -> DataFrame:
+    every = stored(pieces(docs, key, text, shortest), "pieces")
+    parts = every.where("kind != 'stretch'").drop("place")
     named = clusters(parts, docs, key, text, shortest, similar)
     grouped = parts.drop("bands").join(named, "hash", "left").withColumn("cluster", F.coalesce("cluster", "hash"))
     grouped = stored(grouped.select(key, "first_byte", "end_byte", "n_words", "kind", "cluster"), "clustered")
@@ -358,33 +396,37 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", shortest:
         )
         .distinct()
     )
-    return same.unionByName(repeated_runs(docs, key, text).withColumn("kind", F.lit("run")))
+    runs_ = repeated_runs(every.where("kind = 'stretch'"), docs, key, text).withColumn("kind", F.lit("run"))
+    return same.unionByName(runs_)
 
 
 def without_repeats(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the spans that are not kept cut out; documents of which no word is left go.
 
-    All columns stay. Text without a span is not touched.
+    All columns stay, whatever their names. Text without a span is not touched.
     """
-    cut = spans.where("NOT kept").groupBy(F.col(key).alias("_key")).agg(F.array_sort(F.collect_list(F.struct("first_byte", "end_byte"))).alias("_spans"))
-    joined = docs.join(cut, docs[key] == cut["_key"], "left").drop("_key")
+    found, touched, named, of = unused(docs, "found", "touched", "named", "of")
+    span = F.struct("first_byte", "end_byte")
+    cut = spans.where("NOT kept").groupBy(F.col(key).alias(named), F.col("text_hash").alias(of)).agg(F.array_sort(F.collect_list(span)).alias(found))
+    same = (F.col(key) == F.col(named)) & (F.col(of).isNull() | (F.col(of) == F.xxhash64(text)))
+    joined = docs.join(cut, same, "left").drop(named, of)
 
     def shorter(batch: pa.RecordBatch) -> dict:
-        spans_of = batch.column(batch.schema.get_field_index("_spans"))
+        spans_of = batch.column(batch.schema.get_field_index(found))
         column = batch.column(batch.schema.get_field_index(text))
         out = []
-        for value, found in zip(column, spans_of, strict=True):
-            if not found.is_valid or not value.is_valid:
+        for value, own in zip(column, spans_of, strict=True):
+            if not own.is_valid or not value.is_valid:
                 out.append(value.as_py())
                 continue
             raw, kept, at = value.as_buffer().to_pybytes(), [], 0
-            for span in found.as_py():
+            for span in own.as_py():
                 if span["first_byte"] > at:
                     kept.append(raw[at : span["first_byte"]])
                 at = max(at, span["end_byte"])
             out.append(b"".join([*kept, raw[at:]]).decode())
-        return {text: pa.array(out, column.type), "_touched": pa.array([v.is_valid for v in spans_of])}
+        return {text: pa.array(out, column.type), touched: pa.array([v.is_valid for v in spans_of])}
 
-    schema = T.StructType([*joined.schema.fields, T.StructField("_touched", T.BooleanType())])
+    schema = T.StructType([*joined.schema.fields, T.StructField(touched, T.BooleanType())])
     done = map_batches(joined, shorter, schema)
-    return done.where(~F.col("_touched") | F.col(text).rlike(r"[^\x20\x09-\x0D]")).drop("_spans", "_touched")
+    return done.where(~F.col(touched) | F.col(text).rlike(r"[^\x20\x09-\x0D]")).drop(found, touched)
