@@ -14,25 +14,30 @@ from pyspark.sql import functions as F
 
 from turnpress.llm import bpe, mixing, quality, queries, simhash, substrings
 from turnpress.llm.common import fold, read, stored
+from turnpress.operators.permutation import unused
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; it learns from the labelled ones among ``docs``."""
     features = stored(quality.feature_table(docs.where(fold(F.col("doc_id"), 4) != 2)), "features")
     model = quality.fit(features, read(spark, sf_dir, "labels"))
-    return quality.with_score(docs, model, out="_score").where(quality.good(F.col("_score"))).drop("_score")
+    (score,) = unused(docs, "score")
+    return quality.with_score(docs, model, out=score).where(quality.good(F.col(score))).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of linked SimHash fingerprints.
+    """The document with the smallest id (then text hash) of every group of linked SimHash fingerprints.
 
-    Rows that repeat that id are one document and stay once; rows without an id are in no
-    group and stay.
+    Equal ids and texts are one document and stay once; rows with one id and different texts are
+    different documents. Rows without an id are in no group and stay.
     """
-    found = simhash.near_duplicates(docs)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    return named.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    found = simhash.groups(docs)
+    (digest,) = unused(docs, "digest")
+    least = F.min(F.struct("doc_id", F.col("text_hash").alias(digest))).alias("least")
+    kept = found.where("doc_id IS NOT NULL").groupBy("group").agg(least).select("least.*")
+    named = docs.where("doc_id IS NOT NULL").withColumn(digest, F.xxhash64("text")).dropDuplicates(["doc_id", digest])
+    chosen = named.join(kept, ["doc_id", digest], "left_semi").select(docs.columns)
+    return chosen.unionByName(docs.where("doc_id IS NULL"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
