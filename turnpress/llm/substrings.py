@@ -345,11 +345,14 @@ def extended(found: DataFrame, docs: DataFrame, key: str, text: str) -> DataFram
 def repeated_runs(parts: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
     """Spans of stretches that occur more than once: (key, first byte, end, n_words, class_id, kept)."""
     parts = parts.select(key, "place", "first_byte", "end_byte", "n_words", F.col("hash").alias("stretch"))
+    # A plain count finds the few stretches that occur again; only these are ordered by place.
+    crowded = parts.groupBy("stretch").agg(F.count("*").alias("n")).where("n > 1").select("stretch")
+    again = stored(parts.join(crowded.hint("shuffle_hash"), "stretch"), "again")
     place = F.struct(key, "first_byte", "end_byte")
-    first = parts.groupBy("stretch").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first != _last").select(
+    first = again.groupBy("stretch").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first != _last").select(
         "stretch", F.col(f"_first.{key}").alias("_doc"), F.col("_first.first_byte").alias("_at"), F.col("_first.end_byte").alias("_end")
     )
-    again = parts.join(stored(first, "stretches"), "stretch").withColumn("kept", (F.col(key) == F.col("_doc")) & (F.col("first_byte") == F.col("_at")))
+    again = again.join(stored(first, "stretches"), "stretch").withColumn("kept", (F.col(key) == F.col("_doc")) & (F.col("first_byte") == F.col("_at")))
     order = Window.partitionBy(key, "kept").orderBy("place")
     run = again.dropDuplicates([key, "place"]).withColumn("_run", F.col("place") - F.row_number().over(order))
     found = run.groupBy(key, "kept", "_run").agg(
