@@ -176,3 +176,51 @@ def con():
 def test_registered_query(spark, con, name):
     problem, n = compare(spark, con, SMALL, QUERIES[name], CHECKS.get(name))
     assert problem is None and n > 0
+
+
+def test_a_folder_of_other_parameters_or_inputs_is_an_error(spark, prepared, tmp_path):
+    out, tables = prepared
+    target = str(tmp_path / "packed")
+    first = pack(spark, tables["examples"], target, seq_len=4096, eval_size=50)
+    again = pack(spark, spark.read.parquet(f"{out}/table"), target, seq_len=4096, eval_size=50)
+    assert again["train"].count() == first["train"].count() and again["eval"].count() == first["eval"].count()
+    for changed in ({"seq_len": 8192, "eval_size": 50}, {"seq_len": 4096, "eval_size": 4}, {"seq_len": 4096, "eval_size": 50, "seed": 1}):
+        with pytest.raises(ValueError, match="other parameters or inputs"):
+            pack(spark, tables["examples"], target, **changed)
+    tables["examples"].limit(100).write.parquet(str(tmp_path / "other"))
+    with pytest.raises(ValueError, match="other parameters or inputs"):
+        pack(spark, spark.read.parquet(str(tmp_path / "other")), target, seq_len=4096, eval_size=50)
+    sources = {SINGLE_TURN: inputs.raw_single_turn(spark, SMALL), MULTI_TURN: inputs.raw_multi_turn(spark, SMALL)}
+    with pytest.raises(ValueError, match="other parameters or inputs"):
+        prepare(spark, sources, out, caps={SINGLE_TURN: 10})
+
+
+def test_materialize_once_knows_what_it_was_made_from(spark, tmp_path):
+    path = str(tmp_path / "once")
+    data = str(tmp_path / "data")
+    spark.range(3).write.parquet(data)
+    made = lambda n: {"n": n, "inputs": io.inputs_of(spark.read.parquet(data))}
+    build = lambda: spark.read.parquet(data)
+    assert io.materialize_once(spark, path, build, made(1)).count() == io.materialize_once(spark, path, build, made(1)).count() == 3
+    with pytest.raises(ValueError, match="other parameters"):
+        io.materialize_once(spark, path, build, made(2))
+    spark.range(4).write.mode("append").parquet(data)
+    with pytest.raises(ValueError, match="other parameters"):
+        io.materialize_once(spark, path, build, made(1))
+
+
+def test_a_repeated_append_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = spark.createDataFrame([(5, 1.0, 0.1, 2.0)], "step bigint, loss double, lr double, elapsed_s double")
+    assert io.read_metrics(spark, path).count() == 0
+    for _ in range(2):
+        io.append_metrics(rows, path, "train/step 5")
+    assert io.read_metrics(spark, path).count() == 1
+    io.append_metrics(rows, path, "train/step 10")
+    with pytest.raises(Exception, match="lost"):  # dies before the manifest names its rows
+        io.append_metrics(rows.withColumn("loss", F.raise_error(F.lit("lost")).cast("double")), path, "train/step 15")
+    rows.write.json(f"{path}/rows/left-behind")
+    assert io.read_metrics(spark, path).count() == 2
+    io.append_metrics(rows, path)
+    io.append_metrics(rows, path)
+    assert io.read_metrics(spark, path).count() == 4

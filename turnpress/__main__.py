@@ -59,29 +59,31 @@ def main(argv=None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"turnpress {args.command}").getOrCreate()
     if args.command == "prepare":
-        if is_complete(spark, f"{args.output_dir}/stats"):
-            print(f"{args.output_dir} is complete, nothing to do")
-            return
         scans = {SINGLE_TURN: (scan_single_turn, args.single_turn), MULTI_TURN: (scan_multi_turn, args.multi_turn)}
         sources = {
             name: scan(spark, path, args.format, not args.file_order) for name, (scan, path) in scans.items() if path
         }
         caps = {SINGLE_TURN: args.max_single_turn, MULTI_TURN: args.max_multi_turn}
+        there = is_complete(spark, f"{args.output_dir}/stats")
         out = prepare(spark, sources, args.output_dir, caps, args.single_turn_only, args.multi_turn_only)
+        if there:
+            print(f"{args.output_dir} is complete, nothing to do")
+            return
         out["rates"].show()
     elif args.command == "pack":
-        if is_complete(spark, f"{args.out_dir}/eval"):
-            print(f"{args.out_dir} is complete, nothing to do")
-            return
         tokenizer = FileTokenizer(args.tokenizer, args.pad_id, args.eos_id) if args.tokenizer else None
         examples = (
             spark.read.parquet(args.examples) if args.format == "parquet"
             else read_jsonl(spark, args.examples, not args.file_order)
         )
+        there = is_complete(spark, f"{args.out_dir}/eval")
         out = pack(
             spark, examples, args.out_dir, args.seq_len, args.eval_size, args.seed, tokenizer,
             ChatTemplate(quoted_arguments=args.quoted_arguments),
         )
+        if there:
+            print(f"{args.out_dir} is complete, nothing to do")
+            return
         for name in ("drops", "lengths", "density"):
             out[name].show()
     else:

@@ -10,7 +10,7 @@ from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.packing import build_eval, build_packed, place
 from turnpress.operators.report import drop_reasons, packing_density, token_length_profile
 from turnpress.operators.tokenize import fits, tokenize
-from turnpress.sources.io import materialize_once, read_packed, write_packed
+from turnpress.sources.io import inputs_of, is_complete, materialize_once, publish, read_packed, write_packed
 
 
 def pack(
@@ -25,20 +25,25 @@ def pack(
 ) -> dict[str, DataFrame]:
     """Split, tokenise, pack and write ``train/`` and ``eval/``.
 
-    Tokens are stored once, under ``tokens/``, and found again by a run that goes on after a
+    A folder of an earlier run with other parameters or inputs is an error. Tokens are stored once, under ``tokens/``, and found again by a run that goes on after a
     failure; ``train/`` and ``eval/`` are put in place when whole. Reports and the length histogram read one narrow column of
     that table. Bins are found on keys and lengths alone; token arrays are shuffled only
     to join their bins and to meet in them.
     """
     tokenizer = tokenizer or ByteTokenizer()
     pad = resolve_pad(tokenizer)
+    coded_from = {"eval_size": eval_size, "seed": seed, "tokenizer": tokenizer, "template": template, "inputs": inputs_of(examples)}
+    made_from = {**coded_from, "seq_len": seq_len}
+    for part in ("train", "eval"):  # before any work: a folder of another run is an error
+        if is_complete(spark, f"{output}/{part}"):
+            publish(spark, f"{output}/{part}", lambda at: None, made_from)
     keyed = holdout_split(with_shuffle_key(examples, seed, "source", "ord"), eval_size)
-    tokens = materialize_once(spark, f"{output}/tokens", lambda: tokenize(keyed, tokenizer, template))
+    tokens = materialize_once(spark, f"{output}/tokens", lambda: tokenize(keyed, tokenizer, template), coded_from)
     usable = tokens.where(fits(F.col("n_tokens"), seq_len))
     train = usable.where(F.col("split") == "train")
     bins, placed = place(train, seq_len)
     held = usable.where(F.col("split") == "eval").select("input_ids", "labels")
-    write_packed(build_packed(placed, seq_len, pad), build_eval(held, seq_len, pad), output, seq_len)
+    write_packed(build_packed(placed, seq_len, pad), build_eval(held, seq_len, pad), output, seq_len, made_from)
     packed, records = read_packed(spark, output)
     return {
         "train": packed, "eval": records,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -137,13 +140,16 @@ def _checked(df: DataFrame, columns: tuple[str, ...], seq_len: int) -> DataFrame
     return df.withColumns(checks)
 
 
-def write_packed(packed: DataFrame, records: DataFrame, path: str, seq_len: int) -> None:
-    """``train/`` (packed) and ``eval/`` (one conversation per row) as Parquet; what is complete stays."""
+def write_packed(packed: DataFrame, records: DataFrame, path: str, seq_len: int, made_from: dict | None = None) -> None:
+    """``train/`` (packed) and ``eval/`` (one conversation per row) as Parquet; what is complete stays.
+
+    What is there from other parameters or inputs is an error.
+    """
     train = _checked(packed, ("input_ids", "labels", "position_ids"), seq_len)
     held = _checked(records, ("input_ids", "labels", "attention_mask"), seq_len)
     spark = packed.sparkSession
-    publish(spark, f"{path}/train", lambda at: train.write.parquet(at))
-    publish(spark, f"{path}/eval", lambda at: held.write.parquet(at))
+    publish(spark, f"{path}/train", lambda at: train.write.parquet(at), made_from)
+    publish(spark, f"{path}/eval", lambda at: held.write.parquet(at), made_from)
 
 
 def read_packed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -159,13 +165,74 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+MADE_FROM = "_made_from"
+
+
+def inputs_of(*inputs: DataFrame) -> dict[str, list]:
+    """What tells inputs apart: schema and files, with sizes and times as the file system has them.
+
+    One listing per folder. Rows that come from no file are known by their schema alone.
+    """
+    found = {}
+    for i, df in enumerate(inputs):
+        hadoop = df.sparkSession._jvm.org.apache.hadoop.fs
+        conf = df.sparkSession._jsc.hadoopConfiguration()
+        names = {hadoop.Path(f).toString() for f in df.inputFiles()}
+        files = []
+        for folder in {hadoop.Path(f).getParent().toString() for f in names}:
+            path = hadoop.Path(folder)
+            for status in path.getFileSystem(conf).listStatus(path):
+                if (name := status.getPath().toString()) in names or name.replace("file:/", "file:///") in names:
+                    files.append([name, status.getLen(), status.getModificationTime()])
+        found[str(i)] = [df.schema.json(), sorted(files)]
+    return found
+
+
+def _said(value) -> str:
+    """A value as text that is the same in every session; an object without one of its own is its fields."""
+    if type(value).__repr__ is not object.__repr__:
+        return repr(value)
+    return f"{type(value).__name__}({', '.join(f'{k}={_said(v)}' for k, v in sorted(vars(value).items()))})"
+
+
+def fingerprint(made_from: dict) -> str:
+    """One line: the parameters as text, and a digest of everything, inputs too."""
+    plain = {k: _said(v) for k, v in sorted(made_from.items()) if k != "inputs"}
+    whole = json.dumps([plain, made_from.get("inputs")], sort_keys=True)
+    return json.dumps({**plain, "digest": hashlib.sha256(whole.encode()).hexdigest()}, sort_keys=True)
+
+
+def _marker(spark: SparkSession, path: str):
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, MADE_FROM)
+    return marker, marker.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _same_origin(spark: SparkSession, path: str, wanted: str) -> None:
+    """An error unless ``path`` was made from the same parameters and inputs; one that says nothing is taken as it is."""
+    marker, fs = _marker(spark, path)
+    if not fs.exists(marker):
+        return
+    stream = fs.open(marker)
+    try:
+        there = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    if there != wanted:
+        raise ValueError(f"{path} was made from other parameters or inputs ({there}, now {wanted}): choose another folder or remove it")
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None], made_from: dict | None = None) -> None:
     """``write`` to a fresh folder beside ``path`` and rename it; nothing if ``path`` is complete.
 
     A run that dies leaves at most a folder of its own name, never a part of ``path``, so
     the next run writes the whole again. An incomplete ``path`` of someone else is an error.
+    ``made_from``, parameters and ``inputs_of`` the inputs, is kept beside the data; a complete
+    ``path`` that was made from anything else is an error, not a result.
     """
+    said = None if made_from is None else fingerprint(made_from)
     if is_complete(spark, path):
+        if said is not None:
+            _same_origin(spark, path, said)
         return
     hadoop = spark._jvm.org.apache.hadoop.fs
     target, building = hadoop.Path(path), hadoop.Path(f"{path}.building-{uuid.uuid4().hex}")
@@ -175,28 +242,69 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> Non
     write(building.toString())
     if not is_complete(spark, building.toString()):
         raise RuntimeError(f"no output for {path}")
+    if said is not None:
+        _written(spark, hadoop.Path(building, MADE_FROM), said)
     if not fs.rename(building, target):
         raise RuntimeError(f"{path} could not be put in place")
 
 
+def _written(spark: SparkSession, path, text: str) -> None:
+    """Writes a small new file; an existing one is an error."""
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Removes the data of a stage whose results are published."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def materialize_once(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
+def materialize_once(spark: SparkSession, path: str, build: Callable[[], DataFrame], made_from: dict | None = None) -> DataFrame:
     """The table at ``path``; built and written first if no complete output is there."""
-    publish(spark, path, lambda at: build().write.parquet(at))
+    publish(spark, path, lambda at: build().write.parquet(at), made_from)
     return spark.read.parquet(path)
 
 
-def append_metrics(rows: DataFrame, path: str) -> None:
-    """Appends metric rows; columns a row does not have are left out of its line."""
-    rows.write.mode("append").json(path)
+def append_metrics(rows: DataFrame, path: str, attempt: str | None = None) -> None:
+    """Appends metric rows; columns a row does not have are left out of its line.
+
+    Rows go to a folder of their own, and the log's manifest then names it under ``attempt``. The
+    entry is created once and for all, so a job that runs again with its attempt adds nothing,
+    and rows of a job that died are in no manifest and never read. Without an attempt every call
+    adds its rows.
+    """
+    spark = rows.sparkSession
+    folder = uuid.uuid4().hex
+    entry = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest", quote(attempt, safe="") if attempt else folder)
+    fs = entry.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(entry):
+        return
+    rows.write.mode("errorifexists").json(f"{path}/rows/{folder}")
+    try:
+        _written(spark, entry, folder)
+    except Exception:
+        if not fs.exists(entry):
+            raise
+        discard(spark, f"{path}/rows/{folder}")  # the same attempt was quicker
+
+
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    """Folders that the manifest of a log names: one small file per append."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = spark.read.text(folder.toString()).collect()
+    return sorted(f"{path}/rows/{r['value']}" for r in names)
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
     """Training and evaluation rows of one log, told apart by ``kind``."""
     kind = F.when(F.col("eval_loss").isNotNull(), "eval").otherwise("train")
-    return spark.read.schema(METRICS).json(path).withColumn("kind", kind)
+    listed = _listed(spark, path)
+    rows = spark.read.schema(METRICS).json(listed) if listed else spark.createDataFrame([], METRICS)
+    return rows.withColumn("kind", kind)
