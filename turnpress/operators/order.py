@@ -95,6 +95,9 @@ def order_cutoff(df: DataFrame, n: int, order: str | Column = "ord") -> tuple[in
     if total < n:
         return None
     count = total
+    if high - low >= 1 << 62:  # one half first, so that differences fit 64 bits
+        below = numbers.where("_v < 0").count()
+        low, high, n, count = (low, -1, n, below) if n <= below else (0, high, n - below, total - below)
     while low < high:
         width = max(1, -(-(high - low + 1) // 4096))
         cell = F.call_function("div", F.col("_v") - low, F.lit(width).cast("bigint"))
