@@ -56,6 +56,13 @@ def test_production_parameters_reach_the_recall(spark):
     assert found >= 0.97 * 800
 
 
+def test_one_id_with_two_vectors(spark):
+    """Vectors link by what they are; an id that two rows share links nothing by itself."""
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [0.0, 2.0, 0.0]), (3, [0.0, 0.0, 1.0])]
+    found = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted((r["id"], r["n_links"], r["component_id"]) for r in found) == [(1, 0, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 def test_no_vectors(spark):
     assert neighbours.near_duplicates(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
 

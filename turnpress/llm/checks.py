@@ -22,18 +22,37 @@ FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 """
 
 _MEASURES = {
-    "word_length": "word_chars / greatest(n_words, 1)", "symbol_rate": "n_symbols / greatest(n_words, 1)",
-    "dup_line_rate": "n_dup_lines / greatest(n_lines, 1)", "repeat_rate": "n_repeat_words / greatest(n_words, 1)",
+    "word_length": ("word_chars / greatest(n_words, 1)", "greatest(n_words, 1)"),
+    "symbol_rate": ("n_symbols / greatest(n_words, 1)", "greatest(n_words, 1)"),
+    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", "greatest(n_lines, 1)"),
+    "repeat_rate": ("n_repeat_words / greatest(n_words, 1)", f"greatest(n_words, 1) / {rules.EVENT}"),
 }
 _LONG = " UNION ALL ".join(
-    f"SELECT doc_id, grp, '{name}' AS measure, CAST({value} AS DOUBLE) AS v, {rules.GRAINS[name]} AS grain FROM counted" for name, value in _MEASURES.items()
+    f"SELECT doc_id, lang, source, '{name}' AS measure, CAST({value} AS DOUBLE) AS v, CAST({units} AS DOUBLE) AS u FROM judged WHERE NOT base_failed"
+    for name, (value, units) in _MEASURES.items()
 )
 _ZERO = -(1 << 20)
-_CENTRE = f"CASE WHEN {{0}} = {_ZERO} THEN 0.0 ELSE exp(({{0}} - 0.5) * {rules.GAMMA!r}) END"
+_HIGH = f"CASE WHEN {{0}} = {_ZERO} THEN {rules.LEAST!r} ELSE exp(({{0}} + 0.01) * {rules.GAMMA!r}) END"
+_LOW = f"CASE WHEN {{0}} = {_ZERO} THEN 0.0 ELSE exp(({{0}} - 1.01) * {rules.GAMMA!r}) END"
+
+
+def _leaned(keys: str, wider: str, table: str) -> str:
+    """Sketches by ``keys`` (each followed by a comma), merged with the scaled ones of the wider ``table``."""
+    own = f"SELECT {keys} measure, bucket, CAST({rules.PARTS} * n AS BIGINT) AS n FROM sketch"
+    share = f"n / sum(n) OVER (PARTITION BY {wider} measure)"
+    lent = f"SELECT {wider} measure, bucket, CAST(floor(CAST({rules.WEIGHT * rules.PARTS} AS DOUBLE) * ({share})) AS BIGINT) AS n FROM {table}"
+    groups = f"SELECT DISTINCT {keys} measure FROM sketch"
+    return f"""
+  SELECT {keys} measure, bucket, CAST(sum(n) AS BIGINT) AS n
+  FROM ({own} UNION ALL SELECT {keys} measure, bucket, n FROM ({groups}) g JOIN ({lent}) l USING ({wider} measure)) x GROUP BY ALL"""
+
+
+_AT = "min(bucket) FILTER (100 * upto >= {0} * total)"
+
 
 CHECKS["op5_adaptive_rules"] = f"""
 WITH docs AS (
-  SELECT doc_id, coalesce(text, '') AS text, coalesce('s' || lang, 'n') || '/' || coalesce('s' || source, 'n') AS grp FROM documents),
+  SELECT doc_id, coalesce(text, '') AS text, coalesce('s' || lang, 'n') AS lang, coalesce('s' || source, 'n') AS source FROM documents),
 word AS (
   SELECT doc_id, unnest(words) AS w, generate_subscripts(words, 1) AS i
   FROM (SELECT doc_id, regexp_extract_all(text, '{WORD}+') AS words FROM docs) x),
@@ -46,25 +65,34 @@ line AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM docs) x WHERE regexp_matches(l, '{WORD}') GROUP BY doc_id),
 counted AS (
-  SELECT d.doc_id, d.grp, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+  SELECT d.doc_id, d.lang, d.source, CAST(coalesce(n_words, 0) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
     CAST(length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
     coalesce(n_lines, 0) AS n_lines, CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
   FROM docs d LEFT JOIN sized USING (doc_id) LEFT JOIN line USING (doc_id) LEFT JOIN covered c USING (doc_id)),
+judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted),
 long AS ({_LONG}),
 sketch AS (
-  SELECT grp, measure, grain, bucket, count(*) AS n FROM (
+  SELECT lang, source, measure, bucket, count(*) AS n FROM (
     SELECT *, CASE WHEN v <= {rules.LEAST} THEN {_ZERO} ELSE CAST(ceil(ln(v) / {rules.GAMMA!r}) AS INTEGER) END AS bucket FROM long) x
   GROUP BY ALL),
+whole AS (SELECT measure, bucket, CAST({rules.PARTS} * sum(n) AS BIGINT) AS n FROM sketch GROUP BY ALL),
+by_lang AS ({_leaned("lang,", "", "whole")}),
+by_source AS ({_leaned("lang, source,", "lang,", "by_lang")}),
 ranked AS (
-  SELECT *, sum(n) OVER (PARTITION BY grp, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY grp, measure) AS total FROM sketch),
-quarter AS (
-  SELECT grp, measure, grain, min(bucket) FILTER (upto >= 0.25 * total) AS b1, min(bucket) FILTER (upto >= 0.75 * total) AS b3
+  SELECT *, sum(n) OVER (PARTITION BY lang, source, measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY lang, source, measure) AS total
+  FROM by_source),
+spots AS (
+  SELECT lang, source, measure, {_AT.format(rules.TAIL)} AS b1, {_AT.format(50)} AS b2, {_AT.format(100 - rules.TAIL)} AS b3
   FROM ranked GROUP BY ALL),
 fence AS (
-  SELECT grp, measure, q1 - 4 * greatest(q3 - q1, grain) AS low, q3 + 4 * greatest(q3 - q1, grain) AS high
-  FROM (SELECT *, {_CENTRE.format("b1")} AS q1, {_CENTRE.format("b3")} AS q3 FROM quarter) x),
-outside AS (SELECT doc_id, count(*) AS n FROM long JOIN fence USING (grp, measure) WHERE v NOT BETWEEN low AND high GROUP BY doc_id),
-judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+  SELECT *, bottom - {rules.REACH} * (below - bottom) AS low, top + {rules.REACH} * (top - above) AS high
+  FROM (
+    SELECT lang, source, measure, {_LOW.format("b1")} AS bottom, {_HIGH.format("b2")} AS below, {_LOW.format("b2")} AS above, {_HIGH.format("b3")} AS top
+    FROM spots) x),
+outside AS (
+  SELECT doc_id, count(*) AS n FROM long JOIN fence USING (lang, source, measure)
+  WHERE CASE measure WHEN '{rules.LEVEL}' THEN v NOT BETWEEN low AND high ELSE v * u > high * u + {rules.ERRORS} * sqrt(high * u + 1) END
+  GROUP BY doc_id)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND o.n IS NULL AS kept
 FROM judged LEFT JOIN outside o USING (doc_id)
 """

@@ -9,11 +9,11 @@ which the running sum passes the rest is opened further, and after all bits each
 has one cut-off key. Nothing is sorted but one source's buckets.
 
 Contract. NULL and empty texts have size 0 and are never taken; sources are ordered by
-code point, a NULL source is a source of its own and the last. Documents with one key
-(repeated rows) enter together or not at all. Documents are never cut: at the edge the
-last key enters if the sum comes nearer to the rest with it than without it, so a source
-is off its target by at most half the size of one document or group of equal rows. The
-same rows give the same mix under any partitioning. Empty tables give empty results.
+code point, a NULL source is a source of its own and the last. Documents with one key are
+repeated rows; those at the cut-off are numbered, and as many enter as bring the sum nearest
+to the rest. Documents are never cut, so a source is off its target by at most half the size
+of one document. The same rows give the same mix under any partitioning. Empty tables give
+empty results.
 """
 
 from __future__ import annotations
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         "sizes",
     )
     times = entries()
-    return _joined(rows, plan(rows)).select(
+    return placed(rows, plan(rows)).select(
         key, "source", "size", "source_size", "target", times.alias("times"), (times * F.col("size")).alias("taken")
     )
 
@@ -99,7 +99,7 @@ def repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: s
         whole, F.col(f"{whole}.`{source}`").alias("source"), word_count(F.col(f"{whole}.`{text}`")).alias("size"),
         document_key(f"{whole}.`{key}`", f"{whole}.`{text}`").alias("_key"),
     )
-    out = _joined(sized, chosen.select("source", "_epochs", "_cut", "_enters"))
+    out = placed(sized, chosen.select("source", "_epochs", "_cut", "_copies", "_take"))
     return out.select(whole, F.explode(F.array_repeat(F.lit(1), entries().cast("int")))).select(f"{whole}.*")
 
 
@@ -109,43 +109,74 @@ def document_key(key: str, text: str) -> Column:
 
 
 def entries() -> Column:
-    """How often a document enters, from its size and key and its source's epochs and cut-off."""
+    """How often a document enters, from its size, key and place and its source's epochs and cut-off."""
     size = F.col("size")
-    below = (F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & F.col("_enters"))
+    below = (F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & (F.col("_place") < F.col("_take")))
     return F.when(size == 0, 0).otherwise(F.col("_epochs") + F.coalesce(below, F.lit(False)).cast("int")).cast("long")
 
 
 def plan(rows: DataFrame) -> DataFrame:
-    """Per source of the stored ``rows`` (source, size, _key): sizes, target, epochs, cut-off key and whether it enters."""
+    """Per source of the stored ``rows`` (source, size, _key): sizes, target, epochs, cut-off key, its rows and how many enter."""
     aims = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0)
     aims = aims.withColumn("_epochs", whole)
     aims = stored(aims.withColumn("_left", F.greatest(F.col("target") - F.col("_epochs") * F.col("source_size"), F.lit(0.0))), "targets")
     none = F.lit(0).cast("long")
-    cut = aims.select("source", none.alias("_prefix"), F.col("_left").alias("_need"), none.alias("_size"))
+    cut = aims.select("source", none.alias("_prefix"), F.col("_left").alias("_need"), none.alias("_size"), none.alias("_copies"))
     rising = Window.partitionBy("source").orderBy("_bucket")
     for step in range(1, STEPS + 1):
         shift = BITS * (STEPS - step)
         sums = (
-            _joined(rows, cut.drop("_size"))
+            _joined(rows.where("size > 0"), cut.drop("_size", "_copies"))
             .where(F.shiftright("_key", shift + BITS) == F.col("_prefix"))
             .groupBy("source", F.shiftright("_key", shift).alias("_bucket"))
-            .agg(F.sum("size").alias("_size"), F.max("_need").alias("_need"))
+            .agg(F.sum("size").alias("_size"), F.max("_need").alias("_need"), F.count("*").alias("_copies"))
         )
         passed = (
             sums.withColumn("_upto", F.sum("_size").over(rising.rowsBetween(Window.unboundedPreceding, 0)))
             .where(F.col("_upto") > F.col("_need"))
             .groupBy("source")
-            .agg(F.min(F.struct("_bucket", "_upto", "_size", "_need")).alias("_b"))
+            .agg(F.min(F.struct("_bucket", "_upto", "_size", "_need", "_copies")).alias("_b"))
         )
         need = F.col("_b._need") - (F.col("_b._upto") - F.col("_b._size"))
-        cut = stored(passed.select("source", F.col("_b._bucket").alias("_prefix"), need.alias("_need"), F.col("_b._size").alias("_size")), "cuts")
-    # _need is now what the keys below the cut-off leave open, _size what the cut-off key itself brings
-    ends = cut.select(F.col("source").alias("_s"), F.col("_prefix").alias("_cut"), (2 * F.col("_need") > F.col("_size")).alias("_enters"))
+        cut = stored(
+            passed.select(
+                "source", F.col("_b._bucket").alias("_prefix"), need.alias("_need"), F.col("_b._size").alias("_size"),
+                F.col("_b._copies").alias("_copies"),
+            ),
+            "cuts",
+        )
+    # _need is now what the keys below the cut-off leave open, _size what the rows of the cut-off key bring together
+    take = F.least(F.ceil(F.col("_need") * F.col("_copies") / F.col("_size") - 0.5), "_copies")
+    ends = cut.select(F.col("source").alias("_s"), F.col("_prefix").alias("_cut"), "_copies", take.alias("_take"))
     return aims.join(ends, aims["source"].eqNullSafe(ends["_s"]), "left").drop("_s")
 
 
-def _joined(rows: DataFrame, per_source: DataFrame, source: str = "source") -> DataFrame:
+def placed(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows with their source's values and ``_place``, a number from 0 for those of a key that only some rows enter by.
+
+    Only these rows are numbered, from a table of them: within each of its parts, plus the rows
+    of earlier parts, so that no task holds all copies of a document.
+    """
+    joined = _joined(rows, chosen, keep=True)
+    some = "_copies > 1 AND _take > 0 AND _take < _copies"
+    if not chosen.where(some).head(1):
+        return joined.withColumn("_place", F.lit(0).cast("long")).drop("_name")
+    edge = F.coalesce(F.expr(f"_key = _cut AND size > 0 AND {some}"), F.lit(False))
+    shared = stored(joined.where(edge).withColumn("_row", F.monotonically_increasing_id()), "edge")
+    shared = shared.withColumn("_part", F.shiftright("_row", 33))
+    parts = Window.partitionBy("_name").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = shared.groupBy("_name", "_part").agg(F.count("*").alias("_n")).select(
+        "_name", "_part", F.coalesce(F.sum("_n").over(parts), F.lit(0)).alias("_before")
+    )
+    inside = F.row_number().over(Window.partitionBy("_name", "_part").orderBy("_row")) - 1
+    numbered = shared.withColumn("_inside", inside).join(before, ["_name", "_part"])
+    numbered = numbered.withColumn("_place", F.col("_before") + F.col("_inside")).select(*joined.columns, "_place")
+    return joined.where(~edge).withColumn("_place", F.lit(0).cast("long")).unionByName(numbered).drop("_name")
+
+
+def _joined(rows: DataFrame, per_source: DataFrame, keep: bool = False) -> DataFrame:
     """Rows with their source's values; a join on one column that is never NULL, so that Spark may split a hot source."""
-    named = lambda df, c: df.withColumn("_name", F.coalesce(F.concat(F.lit("s"), F.col(c)), F.lit("n")))
-    return named(rows, source).join(named(per_source, "source").drop("source"), "_name").drop("_name")
+    named = lambda df: df.withColumn("_name", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
+    joined = named(rows).join(named(per_source).drop("source"), "_name")
+    return joined if keep else joined.drop("_name")

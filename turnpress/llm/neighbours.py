@@ -11,6 +11,9 @@ size, every two of its chunks meeting in one. A pair that shares several buckets
 the first of its tables only, so links are counted where they are found and only sums and a
 spanning forest leave a block, never the pairs.
 
+Classes have numbers of their own, so rows with one id and different vectors stay apart until
+each class gets the smallest id of its component.
+
 Contract. Vectors that are NULL, empty or zero, or hold a NULL, NaN or infinite value, link
 with nothing, and vectors of different lengths do not link. Rows with a NULL id link with
 nothing and have no component. Repeated rows are vectors of their own. Empty tables give
@@ -142,16 +145,17 @@ def near_duplicates(
     """(id, n_links, component_id, kept) for every row of ``vectors``."""
     rows = stored(classed(vectors, key, vector), "vectors")
     usable = rows.where("digest IS NOT NULL AND id IS NOT NULL")
-    classes = usable.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.min("unit").alias("unit"))
-    named = stored(classes, "classes")
+    classes = usable.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.min("unit").alias("unit"))
+    named = stored(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
     found = stored(linked(stored(signed(named, tables, width, step), "signed"), least, cap), "linked")
-    joined = components(found.select("a", "b"))
+    joined = components(found.select("a", "b")).withColumnRenamed("component_id", "group")
     counts = found.groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
-    about = named.select("digest", "id", "n").join(counts, "id", "left").join(joined, "id", "left").select(
-        "digest",
-        (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component_id", "id").alias("component_id"),
+    about = named.select("digest", "id", "least", "n").join(counts, "id", "left").join(joined, "id", "left").select(
+        "digest", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "least", F.coalesce("group", "id").alias("group"),
     )
+    about = stored(about, "links")
+    smallest = about.groupBy("group").agg(F.min("least").alias("component_id"))
+    about = about.join(smallest, "group").select("digest", "n_links", "component_id")
     out = rows.withColumn("digest", F.when(F.col("id").isNotNull(), F.col("digest"))).join(about, "digest", "left")
     component = F.coalesce("component_id", "id")
     return out.select(
