@@ -71,8 +71,8 @@ def test_no_vectors(spark):
 def test_every_query_covers_its_table(spark, name):
     sf = "/root/testdata/sf0.001"
     df = queries.QUERIES[name](spark, sf)
-    table = {"op1": "embeddings", "op9": "conversations"}.get(name.split("_")[0], "documents")
-    key = {"embeddings": "vec_id", "conversations": "conv_id"}.get(table, "doc_id")
+    table = {"op1": "embeddings", "op9": "conversations", "op12": "benchmark"}.get(name.split("_")[0], "documents")
+    key = {"embeddings": "vec_id", "conversations": "conv_id", "benchmark": "item_id"}.get(table, "doc_id")
     ids = {r[0] for r in df.select(key).collect()}
     want = set(pq.read_table(f"{sf}/{table}.parquet").column(key).to_pylist())
     if name.startswith("op10"):
