@@ -43,3 +43,16 @@ def test_one_source_and_cap(spark, tmp_path):
 def test_restrictions_exclude_each_other():
     with pytest.raises(SystemExit):
         arguments(["prepare", "--output-dir", "x", "--single-turn-only", "--multi-turn-only"])
+
+
+def test_a_vocabulary_is_chosen_by_its_file(tmp_path):
+    import public_tokenizers
+
+    from turnpress.__main__ import arguments, tokenizer_of
+
+    def chosen(*more):
+        return tokenizer_of(arguments(["pack", "--examples", "x", "--out-dir", str(tmp_path), *more]))
+
+    assert chosen() is None
+    assert type(chosen("--tokenizer", public_tokenizers.path("byte_bpe_50k.tiktoken"), "--pad-id", "7")).__name__ == "VocabularyTokenizer"
+    assert type(chosen("--tokenizer", public_tokenizers.path("word_bpe_49k.json"))).__name__ == "FileTokenizer"

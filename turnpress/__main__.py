@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from turnpress.functions.tokens import ChatTemplate, FileTokenizer
+from turnpress.functions.vocabulary import VocabularyTokenizer
 from turnpress.plans.feed import training_plan, training_schedule, write_plan
 from turnpress.plans.pack import pack
 from turnpress.plans.prepare import prepare
@@ -36,7 +37,7 @@ def arguments(argv=None) -> argparse.Namespace:
     p.add_argument("--file-order", action="store_true", help="JSON lines without ord: order by file and line")
     p.add_argument("--quoted-arguments", action="store_true", help="render call arguments as a JSON string")
     p.add_argument("--out-dir", required=True)
-    p.add_argument("--tokenizer", help="tokenizer.json readable on every executor; byte ids if left out")
+    p.add_argument("--tokenizer", help="rank file (.tiktoken) or tokenizer.json; byte ids if left out")
     p.add_argument("--pad-id", type=int)
     p.add_argument("--eos-id", type=int)
     p.add_argument("--seq-len", type=int, default=2048)
@@ -55,6 +56,18 @@ def arguments(argv=None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def tokenizer_of(args: argparse.Namespace):
+    """Byte-level vocabularies are read here; a ``tokenizer.json`` of another kind needs its library on the executors."""
+    if not args.tokenizer:
+        return None
+    try:
+        return VocabularyTokenizer(args.tokenizer, pad_id=args.pad_id, eos_id=args.eos_id)
+    except ValueError:
+        if not args.tokenizer.endswith(".json"):
+            raise
+        return FileTokenizer(args.tokenizer, args.pad_id, args.eos_id)
+
+
 def main(argv=None) -> None:
     args = arguments(argv)
     spark = SparkSession.builder.appName(f"turnpress {args.command}").getOrCreate()
@@ -71,7 +84,7 @@ def main(argv=None) -> None:
             return
         out["rates"].show()
     elif args.command == "pack":
-        tokenizer = FileTokenizer(args.tokenizer, args.pad_id, args.eos_id) if args.tokenizer else None
+        tokenizer = tokenizer_of(args)
         examples = (
             spark.read.parquet(args.examples) if args.format == "parquet"
             else read_jsonl(spark, args.examples, not args.file_order)

@@ -6,11 +6,12 @@ from turnpress.catalog import inputs, sqltext
 from turnpress.catalog.registry import query
 from turnpress.catalog.reports import CONV_ITEMS, EVAL_SIZE, PACK_LEN, SEED, SEQ_LEN, first_fit, packed_conversations
 from turnpress.functions.tokens import TOOLS_FOOT, TOOLS_HEAD, ByteTokenizer, ChatTemplate, resolve_pad
+from turnpress.functions.vocabulary import VocabularyTokenizer
 from turnpress.operators import packing
 from turnpress.operators.clean import normalize_single_turn
 from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.tokenize import fits, tokenize, with_segments
-from turnpress.session import stored
+from turnpress.session import sealed, stored
 
 PAD = resolve_pad(ByteTokenizer())
 
@@ -100,6 +101,23 @@ def tokenize_query(spark, sf_dir):
     )
 
 
+@query("tokenize_vocabulary")
+def tokenize_vocabulary(spark, sf_dir):
+    """Ids of every whole document text by a public vocabulary; the moment weighs each id with its place."""
+    import public_tokenizers
+
+    tokenizer = VocabularyTokenizer(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.array(F.struct("text")).alias("segments"))
+    ids = F.flatten(tokenizer.segment_ids(F.col("segments")))
+    return sealed(docs.select("ord", ids.alias("ids"))).select(
+        "ord", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.aggregate("ids", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("id_sum"),
+        F.aggregate(
+            F.transform("ids", lambda x, i: x.cast("bigint") * (i + 1)), F.lit(0).cast("bigint"), lambda s, x: s + x
+        ).alias("id_moment"),
+    )
+
+
 @query("mask_labels", f"""
 WITH {_CONV_IDS}
 SELECT ord, array_to_string(input_ids, ',') AS input_ids, array_to_string(labels, ',') AS labels FROM rows2
