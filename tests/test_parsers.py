@@ -75,21 +75,40 @@ def test_brace_spans_are_those_that_were_put_in(apply):
     built = [[span(rng.randrange(6)) for _ in range(rng.choice([0, 1, 3, 300]))] for _ in range(300)]
     texts = ["".join(rng.choice(fillers) + s for s in spans_) + rng.choice(["", "{ never closed", "tail"]) for spans_ in built]
     assert apply(texts, spans.brace_spans) == built
-    offsets = apply(texts, spans.brace_offsets)
+    offsets = apply(texts, spans.brace_objects)
+    assert [[o["span"] for o in found] for found in offsets] == built
     assert [[t[o["start"] - 1 : o["start"] - 1 + o["len"]] for o in found] for t, found in zip(texts, offsets)] == built
 
 
+def test_spans_of_any_depth_and_behind_open_braces(apply):
+    """Deeper than one expression goes, and all that follows such an object, are folded."""
+    deep = ["{" * n + '"}"' + "}" * n for n in (1, spans.DEPTH, spans.DEPTH + 1, 500)]
+    texts = ["é" + " \U0001f600 ".join(deep) + " {a} {", '{"open} ' + "{}" * 5, "{a{b}", '{a} {"b\\', "{\n}{\r\n}\n"]
+    want = [[*deep, "{a}"], [], [], ["{a}"], ["{\n}", "{\r\n}"]]
+    assert apply(texts, spans.brace_spans) == want
+    found = apply(texts, spans.brace_objects)
+    assert [[o["span"] for o in row] for row in found] == want
+    assert [[t[o["start"] - 1 : o["start"] - 1 + o["len"]] for o in row] for t, row in zip(texts, found)] == want
+
+
 def test_many_spans_take_linear_time(apply):
     import time
 
     def seconds(n):
         start = time.perf_counter()
-        assert apply(["{} " * n], lambda c: F.struct(F.size(spans.brace_spans(c)), F.size(spans.brace_offsets(c)).alias("m")))[0]["m"] == n
+        assert apply(["{} " * n], lambda c: F.struct(F.size(spans.brace_spans(c)), F.size(spans.brace_objects(c)).alias("m")))[0]["m"] == n
         return time.perf_counter() - start
 
     seconds(1000)
     assert seconds(100_000) < 10 * max(seconds(25_000), 0.5)
 
+    def unclosed(n):
+        start = time.perf_counter()
+        assert apply(["{ " * n], spans.brace_spans) == [[]]
+        return time.perf_counter() - start
+
+    assert unclosed(100_000) < 10 * max(unclosed(25_000), 0.5)
+
 
 def _objects(spark, texts):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")

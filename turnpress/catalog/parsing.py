@@ -110,9 +110,8 @@ def extract_json_objects(spark, sf_dir):
     docs = inputs.table(spark, sf_dir, "documents").select(F.col("doc_id") + 1000000000, "text")
     prompts = inputs.raw_multi_turn(spark, sf_dir).select(F.col("ord") + 2000000000, F.coalesce("system", F.lit("")))
     texts = spread(pages.union(docs)).union(prompts).where(F.instr("txt", "{") > 0)
-    found = spans.with_objects(
-        texts.select("id", spans.brace_offsets(F.col("txt")).alias("at"), spans.brace_spans(F.col("txt")).alias("span")), "span", "object"
-    )
+    cut = sealed(texts.select("id", spans.brace_objects(F.col("txt")).alias("at")))
+    found = spans.with_objects(cut.withColumn("span", F.col("at.span")), "span", "object")
     each = found.select("id", F.posexplode(F.arrays_zip("at", "span", "object")).alias("n", "s"))
     return each.where("s.object IS NOT NULL").select(
         "id", (F.col("n") + 1).cast("bigint").alias("position"),

@@ -17,6 +17,20 @@ from turnpress.session import sealed
 _ONE = r'"(?:[^"\\]++|\\.)*+"?|[{}]|[^"{}]++'
 TOKEN = f"(?s){_ONE}"
 
+# Nesting up to which an object is found whole by one linear expression. What is deeper, and
+# a text behind a brace that never closes, is folded token by token instead: same spans.
+DEPTH = 12
+
+
+def _object(depth: int) -> str:
+    inner = "" if depth == 1 else "|" + _object(depth - 1)
+    return r'\{(?:[^{}"]++|"(?:[^"\\]++|\\.)*+"' + inner + r")*+\}"
+
+
+# Objects, the rest of the text from a brace that opens none, and all that lies between.
+_OBJECT = f"(?s){_object(DEPTH)}"
+_PIECE = _OBJECT + r'|\{.*+|(?:"(?:[^"\\]++|\\.)*+"?|[^{"]++)++'
+
 # Tokens that are folded together. Arrays grow inside one chunk only, so the work on a
 # text grows with its length and not with its square.
 CHUNK = 128
@@ -31,6 +45,7 @@ _LITERAL_ONLY = r"true|false|null|NaN|INF|Infinity|\\[/u]"
 _SUM = "struct<net:int,low:int,size:int>"
 _AT = "struct<pos:int,depth:int>"
 _EDGES = "array<struct<pos:int,opens:boolean>>"
+_FOUND = "array<struct<start:int,len:int,span:string>>"
 
 
 def _tokens(chunk: Column) -> Column:
@@ -94,7 +109,7 @@ def _edges(chunk: Column, begin: Column) -> Column:
     return F.aggregate(_tokens(chunk), zero, step, lambda s: s["edges"])
 
 
-def brace_offsets(text: Column) -> Column:
+def _folded_offsets(text: Column) -> Column:
     """``(start, len)`` of every balanced top-level span; braces in strings do not count.
 
     Offsets count from one. Strings are single tokens; chunks of tokens are folded for
@@ -114,7 +129,7 @@ def brace_offsets(text: Column) -> Column:
     return F.when(F.instr(text, "{") > 0, bind(_chunks(text), found)).otherwise(F.array().cast(SPANS))
 
 
-def brace_spans(text: Column) -> Column:
+def _folded_spans(text: Column) -> Column:
     """Texts of the balanced top-level spans, in order of appearance.
 
     A copy of the text with a mark at every edge is split at the marks: every second piece
@@ -144,6 +159,80 @@ def brace_spans(text: Column) -> Column:
     return F.when(F.instr(text, "{") > 0, whole).otherwise(F.array().cast(TEXTS))
 
 
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+
+
+def _placed(pieces: Column) -> Column:
+    """Objects among the pieces of a text with their offsets; work grows with the number of pieces."""
+    blocks = F.when(F.size(pieces) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / CHUNK).cast("int")),
+        lambda k: F.slice(pieces, k * CHUNK + 1, F.lit(CHUNK)),
+    )).otherwise(F.array().cast("array<array<string>>"))
+
+    def begins(sizes):
+        state = "struct<pos:int,at:array<int>>"
+        zero = F.struct(F.lit(1).alias("pos"), F.array().cast("array<int>").alias("at")).cast(state)
+        return F.aggregate(sizes, zero, lambda s, n: F.struct(
+            (s["pos"] + n).alias("pos"), F.concat(s["at"], F.array(s["pos"])).alias("at")
+        ).cast(state), lambda s: s["at"])
+
+    def found(block, begin):
+        state = f"struct<pos:int,found:{_FOUND}>"
+        zero = F.struct(begin.alias("pos"), F.array().cast(_FOUND).alias("found")).cast(state)
+
+        def step(s, piece):
+            here = F.array(F.struct(s["pos"].alias("start"), F.length(piece).alias("len"), piece.alias("span"))).cast(_FOUND)
+            return F.struct(
+                (s["pos"] + F.length(piece)).alias("pos"),
+                F.when(F.startswith(piece, F.lit("{")), F.concat(s["found"], here)).otherwise(s["found"]).alias("found"),
+            ).cast(state)
+
+        return F.aggregate(block, zero, step, lambda s: s["found"])
+
+    def size(block):
+        return F.aggregate(block, F.lit(0), lambda n, piece: n + F.length(piece))
+
+    return bind(blocks, lambda bs: F.flatten(F.zip_with(bs, begins(F.transform(bs, size)), found)))
+
+
+def _split_rest(pieces: Column) -> Column:
+    """``(closed, rest)``: the last piece is taken off where its brace opens no object of ``DEPTH`` levels."""
+    last = F.get(pieces, F.size(pieces) - 1)
+    left = F.startswith(last, F.lit("{")) & ~F.regexp_like(last, F.lit(f"^(?:{_OBJECT})$"))
+    return F.when(left, F.struct(F.slice(pieces, F.lit(1), F.size(pieces) - 1).alias("closed"), last.alias("rest"))).otherwise(
+        F.struct(pieces.alias("closed"), F.lit(None).cast("string").alias("rest"))
+    )
+
+
+def brace_objects(text: Column) -> Column:
+    """``(start, len, span)`` of every balanced top-level span; braces in strings do not count.
+
+    Offsets count from one. One expression cuts the text into objects and what lies between.
+    """
+
+    def both(p):
+        before = F.length(text) - F.length(p["rest"])
+        deep = bind(p["rest"], lambda rest: F.zip_with(_folded_offsets(rest), _folded_spans(rest), lambda at, span: F.struct(
+            (at["start"] + before).alias("start"), at["len"].alias("len"), span.alias("span")
+        ))).cast(_FOUND)
+        return F.when(p["rest"].isNull(), _placed(p["closed"])).otherwise(F.concat(_placed(p["closed"]), deep))
+
+    whole = bind(_pieces(text), lambda pieces: bind(_split_rest(pieces), both))
+    return F.when(F.instr(text, "{") > 0, whole).otherwise(F.array().cast(_FOUND))
+
+
+def brace_spans(text: Column) -> Column:
+    """Texts of the balanced top-level spans, in order of appearance; see ``brace_objects``."""
+
+    def both(p):
+        closed = F.filter(p["closed"], lambda piece: F.startswith(piece, F.lit("{")))
+        return F.when(p["rest"].isNull(), closed).otherwise(F.concat(closed, _folded_spans(p["rest"])))
+
+    whole = bind(_pieces(text), lambda pieces: bind(_split_rest(pieces), both))
+    return F.when(F.instr(text, "{") > 0, whole).otherwise(F.array().cast(TEXTS))
+
+
 def _parses(text: Column, options: dict) -> Column:
     parsed = F.from_json(text, f"name string, {CORRUPT} string", options)
     return F.coalesce(parsed.isNotNull() & parsed[CORRUPT].isNull() & (F.length(text) > 0), F.lit(False))
