@@ -437,3 +437,34 @@ def test_repeated_keys_are_not_packed(spark):
     tokens = spark.createDataFrame([("k", 3, [1, 2, 3], [1, 2, 3])] * 2, "shuffle_key string, n_tokens int, input_ids array<int>, labels array<int>")
     with pytest.raises(ValueError, match="not unique"):
         packing.place(tokens, 8)
+
+
+def test_token_arrays_move_once(spark, tmp_path):
+    """Rows in buckets of their key: bins come to them, and only the groups by bin shuffle arrays."""
+    import re
+
+    from turnpress.sources.io import stored_in_buckets
+
+    rows = [(f"{i * 7919 % 1000:03d}", i % 5 + 1, [i] * (i % 5 + 1), [i] * (i % 5 + 1)) for i in range(300)]
+    df = spark.createDataFrame(rows, "shuffle_key string, n_tokens int, input_ids array<int>, labels array<int>")
+    path = str(tmp_path / "it's 100% here" / "tokens")
+    tables = {t.name for t in spark.catalog.listTables()}
+    stored_in_buckets(spark, path, "shuffle_key", lambda n: df.repartition(n, "shuffle_key"))
+    tokens = stored_in_buckets(spark, path, "shuffle_key", lambda n: pytest.fail("built again"))
+    assert {t.name for t in spark.catalog.listTables()} == tables
+    assert sorted(map(tuple, tokens.collect())) == sorted(rows)
+
+    def exchanges(frame):
+        return re.findall(r"Exchange hashpartitioning\((\w+?)#", frame._jdf.queryExecution().executedPlan().toString())
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert exchanges(tokens.groupBy("shuffle_key").count()) == []
+        bins, placed = packing.place(tokens, 8)
+        packed = packing.build_packed(placed, 8, 99)
+        assert sorted(exchanges(packed)) == ["bin", "shuffle_key"]
+        plain = packing.build_packed(packing.place(df, 8)[1], 8, 99)
+        assert sorted(map(str, packed.collect())) == sorted(map(str, plain.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -11,7 +11,8 @@ from turnpress.operators import packing
 from turnpress.operators.clean import normalize_single_turn
 from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.tokenize import fits, tokenize, with_segments
-from turnpress.session import sealed, stored
+from turnpress.session import new_path, sealed
+from turnpress.sources.io import stored_in_buckets
 
 PAD = resolve_pad(ByteTokenizer())
 
@@ -140,7 +141,9 @@ def pack_ffd(spark, sf_dir):
 def packed_records(spark, sf_dir):
     """Packed records of all conversations; tokens are stored, bins found on lengths."""
     keyed = with_shuffle_key(inputs.conversations(spark, sf_dir), SEED, "ord")
-    tokens = stored(tokenize(keyed), "tokens").where(fits(F.col("n_tokens"), PACK_LEN))
+    tokens = stored_in_buckets(
+        spark, new_path(spark, "tokens"), "shuffle_key", lambda n: tokenize(keyed.repartition(n, "shuffle_key"))
+    ).where(fits(F.col("n_tokens"), PACK_LEN))
     _, placed = packing.place(tokens, PACK_LEN)
     return packing.build_packed(placed, PACK_LEN, PAD)
 

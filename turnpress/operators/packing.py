@@ -145,7 +145,9 @@ def pack_ffd(lengths: DataFrame, capacity: int, key: str = "shuffle_key") -> Dat
 def place(tokens: DataFrame, seq_len: int, key: str = "shuffle_key") -> tuple[DataFrame, DataFrame]:
     """Bins of a stored token table, found on keys and lengths alone, and the placed tokens.
 
-    Token arrays are shuffled once to join their bin; ``build_packed`` gathers them.
+    With tokens in buckets of ``key`` (``stored_in_buckets``) neither the test for repeated keys
+    nor the join moves a token: bins come to the buckets, and ``build_packed`` has the only
+    shuffle of token arrays.
     """
     if tokens.groupBy(key).count().where("count > 1").limit(1).collect():
         raise ValueError(f"{key} is not unique")

@@ -10,7 +10,7 @@ from turnpress.operators.order import holdout_split, with_shuffle_key
 from turnpress.operators.packing import build_eval, build_packed, place
 from turnpress.operators.report import drop_reasons, packing_density, token_length_profile
 from turnpress.operators.tokenize import fits, tokenize
-from turnpress.sources.io import inputs_of, is_complete, materialize_once, publish, read_packed, write_packed
+from turnpress.sources.io import inputs_of, is_complete, publish, read_packed, stored_in_buckets, write_packed
 
 
 def pack(
@@ -27,8 +27,8 @@ def pack(
 
     A folder of an earlier run with other parameters or inputs is an error. Tokens are stored once, under ``tokens/``, and found again by a run that goes on after a
     failure; ``train/`` and ``eval/`` are put in place when whole. Reports and the length histogram read one narrow column of
-    that table. Bins are found on keys and lengths alone; token arrays are shuffled only
-    to join their bins and to meet in them.
+    that table. Conversations are dealt out by key before they become tokens; bins are found on
+    keys and lengths alone and come to the buckets, and token arrays move once, to meet in them.
     """
     tokenizer = tokenizer or ByteTokenizer()
     pad = resolve_pad(tokenizer)
@@ -38,7 +38,10 @@ def pack(
         if is_complete(spark, f"{output}/{part}"):
             publish(spark, f"{output}/{part}", lambda at: None, made_from)
     keyed = holdout_split(with_shuffle_key(examples, seed, "source", "ord"), eval_size)
-    tokens = materialize_once(spark, f"{output}/tokens", lambda: tokenize(keyed, tokenizer, template), coded_from)
+    tokens = stored_in_buckets(
+        spark, f"{output}/tokens", "shuffle_key",
+        lambda n: tokenize(keyed.repartition(n, "shuffle_key"), tokenizer, template), coded_from,
+    )
     usable = tokens.where(fits(F.col("n_tokens"), seq_len))
     train = usable.where(F.col("split") == "train")
     bins, placed = place(train, seq_len)

@@ -212,11 +212,7 @@ def _same_origin(spark: SparkSession, path: str, wanted: str) -> None:
     marker, fs = _marker(spark, path)
     if not fs.exists(marker):
         return
-    stream = fs.open(marker)
-    try:
-        there = bytes(stream.readAllBytes()).decode()
-    finally:
-        stream.close()
+    there = _read(fs, marker)
     if there != wanted:
         raise ValueError(f"{path} was made from other parameters or inputs ({there}, now {wanted}): choose another folder or remove it")
 
@@ -248,6 +244,14 @@ def publish(spark: SparkSession, path: str, write: Callable[[str], None], made_f
         raise RuntimeError(f"{path} could not be put in place")
 
 
+def _read(fs, path) -> str:
+    stream = fs.open(path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def _written(spark: SparkSession, path, text: str) -> None:
     """Writes a small new file; an existing one is an error."""
     stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, False)
@@ -269,6 +273,42 @@ def materialize_once(spark: SparkSession, path: str, build: Callable[[], DataFra
     return spark.read.parquet(path)
 
 
+BUCKETS = "_buckets"
+
+
+def stored_in_buckets(
+    spark: SparkSession, path: str, key: str, build: Callable[[int], DataFrame], made_from: dict | None = None
+) -> DataFrame:
+    """The table at ``path`` in buckets of ``key``, so that joins and groups by the key move none of its rows.
+
+    ``build`` is given the number of buckets (the session's shuffle partitions at the first run,
+    kept beside the data) and returns rows that it dealt out by ``key`` into as many partitions
+    before its wide columns were computed. Every task then writes the one file of its bucket. The
+    session's catalog knows the table for a moment only; what is returned reads the files.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+
+    def whole(at: str) -> str:
+        return hadoop.Path(at).getFileSystem(conf).makeQualified(hadoop.Path(at)).toString()
+
+    def write(at: str) -> None:
+        n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"turnpress_{uuid.uuid4().hex}"
+        build(n).write.format("parquet").bucketBy(n, key).option("path", whole(at)).saveAsTable(name)
+        spark.sql(f"DROP TABLE {name}")  # its files have a path of their own and stay
+        _written(spark, hadoop.Path(at, BUCKETS), str(n))
+
+    publish(spark, path, write, made_from)
+    note = hadoop.Path(path, BUCKETS)
+    n = int(_read(note.getFileSystem(conf), note))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    name, place = f"turnpress_{uuid.uuid4().hex}", whole(path).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {n} BUCKETS LOCATION '{place}'")
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
+
+
 def append_metrics(rows: DataFrame, path: str, attempt: str | None = None) -> None:
     """Appends metric rows; columns a row does not have are left out of its line.
 
