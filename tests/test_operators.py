@@ -446,13 +446,20 @@ def test_token_arrays_move_once(spark, tmp_path):
     from turnpress.sources.io import stored_in_buckets
 
     rows = [(f"{i * 7919 % 1000:03d}", i % 5 + 1, [i] * (i % 5 + 1), [i] * (i % 5 + 1)) for i in range(300)]
-    df = spark.createDataFrame(rows, "shuffle_key string, n_tokens int, input_ids array<int>, labels array<int>")
+    columns = "shuffle_key string, n_tokens int, input_ids array<int>, labels array<int>"
+    df = spark.createDataFrame(rows, columns)
     path = str(tmp_path / "it's 100% here" / "tokens")
+    df.write.parquet(str(tmp_path / "plain"))
+    with pytest.raises(ValueError, match="not written in buckets"):
+        stored_in_buckets(spark, str(tmp_path / "plain"), "shuffle_key", lambda n: df)
     tables = {t.name for t in spark.catalog.listTables()}
     stored_in_buckets(spark, path, "shuffle_key", lambda n: df.repartition(n, "shuffle_key"))
     tokens = stored_in_buckets(spark, path, "shuffle_key", lambda n: pytest.fail("built again"))
     assert {t.name for t in spark.catalog.listTables()} == tables
     assert sorted(map(tuple, tokens.collect())) == sorted(rows)
+    odd = df.selectExpr("shuffle_key", "named_struct('a b', n_tokens, 'c:d', labels) AS `e ``f`")
+    there = stored_in_buckets(spark, str(tmp_path / "odd"), "shuffle_key", lambda n: odd.repartition(n, "shuffle_key"))
+    assert sorted(map(str, there.collect())) == sorted(map(str, odd.collect()))
 
     def exchanges(frame):
         return re.findall(r"Exchange hashpartitioning\((\w+?)#", frame._jdf.queryExecution().executedPlan().toString())

@@ -293,15 +293,18 @@ def stored_in_buckets(
         return hadoop.Path(at).getFileSystem(conf).makeQualified(hadoop.Path(at)).toString()
 
     def write(at: str) -> None:
-        n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"turnpress_{uuid.uuid4().hex}"
+        n = min(int(spark.conf.get(f"spark.sql.{k}")) for k in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
+        name = f"turnpress_{uuid.uuid4().hex}"
         build(n).write.format("parquet").bucketBy(n, key).option("path", whole(at)).saveAsTable(name)
         spark.sql(f"DROP TABLE {name}")  # its files have a path of their own and stay
         _written(spark, hadoop.Path(at, BUCKETS), str(n))
 
     publish(spark, path, write, made_from)
     note = hadoop.Path(path, BUCKETS)
+    if not note.getFileSystem(conf).exists(note):
+        raise ValueError(f"{path} was not written in buckets: choose another folder or remove it")
     n = int(_read(note.getFileSystem(conf), note))
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema)
+    columns = spark.read.parquet(path).schema.toDDL()
     name, place = f"turnpress_{uuid.uuid4().hex}", whole(path).replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY (`{key}`) INTO {n} BUCKETS LOCATION '{place}'")
     table = spark.table(name)
