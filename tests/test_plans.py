@@ -224,3 +224,25 @@ def test_a_repeated_append_adds_nothing(spark, tmp_path):
     io.append_metrics(rows, path)
     io.append_metrics(rows, path)
     assert io.read_metrics(spark, path).count() == 4
+
+
+def test_packed_row_groups_are_bounded(spark, tmp_path):
+    """A reader decodes up to a row group at once: it holds a bounded number of tokens, whatever a task writes."""
+    import pyarrow.parquet as pq
+
+    seq_len, n = io.GROUP_TOKENS // 4, 10
+    ints = lambda fill: F.array_repeat(F.lit(fill).cast("int"), seq_len)
+    rows = spark.range(n).coalesce(1)
+    train = rows.select(F.col("id").alias("bin"), ints(1).alias("input_ids"), ints(1).alias("labels"), ints(0).alias("position_ids"), F.array(F.lit(seq_len)).alias("seq_lens"))
+    held = rows.select(ints(1).alias("input_ids"), ints(1).alias("labels"), ints(1).alias("attention_mask"))
+    io.write_packed(train, held, str(tmp_path / "packed"), seq_len)
+    for part in ("train", "eval"):
+        for file in (tmp_path / "packed" / part).glob("*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            assert max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) * seq_len <= io.GROUP_TOKENS
+    assert [df.count() for df in io.read_packed(spark, str(tmp_path / "packed"))] == [n, n]
+
+    keyed = spark.range(io.GROUP_ROWS * 8).select(F.col("id").alias("k"), ints(1)[0].alias("v"))
+    table = io.stored_in_buckets(spark, str(tmp_path / "tokens"), "k", lambda b: keyed.repartition(b, "k"))
+    groups = [pq.ParquetFile(f).metadata.row_group(0).num_rows for f in (tmp_path / "tokens").glob("*.parquet")]
+    assert max(groups) <= io.GROUP_ROWS and table.count() == io.GROUP_ROWS * 8

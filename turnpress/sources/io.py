@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Callable
 from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -140,16 +140,29 @@ def _checked(df: DataFrame, columns: tuple[str, ...], seq_len: int) -> DataFrame
     return df.withColumns(checks)
 
 
+GROUP_TOKENS = 1 << 20
+"""Tokens per column of a row group. Readers decode a whole batch of rows, which ends with its row group, into memory."""
+GROUP_ROWS = 256
+"""Rows of a row group where their lengths vary."""
+
+
+def _grouped(write: DataFrameWriter, rows: int) -> DataFrameWriter:
+    """Parquet in row groups of at most ``rows`` rows, so that no reader meets thousands of arrays at once."""
+    return write.option("parquet.block.row.count.limit", max(1, rows))
+
+
 def write_packed(packed: DataFrame, records: DataFrame, path: str, seq_len: int, made_from: dict | None = None) -> None:
     """``train/`` (packed) and ``eval/`` (one conversation per row) as Parquet; what is complete stays.
 
-    What is there from other parameters or inputs is an error.
+    What is there from other parameters or inputs is an error. Row groups hold about
+    ``GROUP_TOKENS`` tokens a column, however many rows a task writes.
     """
+    rows = GROUP_TOKENS // seq_len
     train = _checked(packed, ("input_ids", "labels", "position_ids"), seq_len)
     held = _checked(records, ("input_ids", "labels", "attention_mask"), seq_len)
     spark = packed.sparkSession
-    publish(spark, f"{path}/train", lambda at: train.write.parquet(at), made_from)
-    publish(spark, f"{path}/eval", lambda at: held.write.parquet(at), made_from)
+    publish(spark, f"{path}/train", lambda at: _grouped(train.write, rows).parquet(at), made_from)
+    publish(spark, f"{path}/eval", lambda at: _grouped(held.write, rows).parquet(at), made_from)
 
 
 def read_packed(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -283,7 +296,8 @@ def stored_in_buckets(
 
     ``build`` is given the number of buckets (the session's shuffle partitions at the first run,
     kept beside the data) and returns rows that it dealt out by ``key`` into as many partitions
-    before its wide columns were computed. Every task then writes the one file of its bucket. The
+    before its wide columns were computed. Every task then writes the one file of its bucket, in
+    row groups of ``GROUP_ROWS`` rows. The
     session's catalog knows the table for a moment only; what is returned reads the files.
     """
     hadoop = spark._jvm.org.apache.hadoop.fs
@@ -295,7 +309,7 @@ def stored_in_buckets(
     def write(at: str) -> None:
         n = min(int(spark.conf.get(f"spark.sql.{k}")) for k in ("shuffle.partitions", "sources.bucketing.maxBuckets"))
         name = f"turnpress_{uuid.uuid4().hex}"
-        build(n).write.format("parquet").bucketBy(n, key).option("path", whole(at)).saveAsTable(name)
+        _grouped(build(n).write, GROUP_ROWS).format("parquet").bucketBy(n, key).option("path", whole(at)).saveAsTable(name)
         spark.sql(f"DROP TABLE {name}")  # its files have a path of their own and stay
         _written(spark, hadoop.Path(at, BUCKETS), str(n))
 
