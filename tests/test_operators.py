@@ -475,3 +475,20 @@ def test_token_arrays_move_once(spark, tmp_path):
         assert sorted(map(str, packed.collect())) == sorted(map(str, plain.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, tmp_path, monkeypatch):
+    from turnpress import session
+
+    monkeypatch.setattr(session, "TASK_ROWS", 100, raising=False)
+    spark.range(2000).coalesce(1).write.parquet(str(tmp_path / "rows"))
+    rows = session.spread(spark.read.parquet(str(tmp_path / "rows")))
+    sizes = rows.rdd.glom().map(len).collect()
+    assert max(sizes) <= 110 and sum(sizes) == 2000 and rows.distinct().count() == 2000
+
+
+def test_nested_to_json_parses_once(spark):
+    from turnpress.catalog import QUERIES
+
+    found = QUERIES["nested_to_json"](spark, "/root/testdata/sf0.001")
+    assert all("/nested-" in f for f in found.inputFiles()) and found.where("NOT same_key").count() == 0 < found.count()

@@ -8,7 +8,7 @@ from turnpress.functions import chat, spans, text, tools
 from turnpress.operators.clean import normalize_multi_turn, normalize_single_turn
 from turnpress.operators.dedup import dedup_key
 from turnpress.operators.tokenize import nested_from_json, nested_to_json
-from turnpress.session import sealed, spread
+from turnpress.session import sealed, spread, stored
 
 
 def spec_text(t):
@@ -27,12 +27,12 @@ def message_line(m):
     return F.concat(m["role"], F.lit(":"), m["content"], F.lit(":"), calls)
 
 
-def flat_examples(examples):
-    """Examples as texts: tools joined by ``;``, messages by line ends."""
+def flat_examples(examples, *more):
+    """Examples as texts: tools joined by ``;``, messages by line ends; ``more`` columns follow."""
     return examples.select(
         "ord", "source",
         F.array_join(F.transform("tools", spec_text), ";").alias("tools"),
-        F.array_join(F.transform("messages", message_line), "\n").alias("messages"),
+        F.array_join(F.transform("messages", message_line), "\n").alias("messages"), *more,
     )
 
 
@@ -245,7 +245,8 @@ def nested_to_json_query(spark, sf_dir):
     """Nested columns to JSON texts and back; the key must not change on the way."""
     examples = normalize_single_turn(inputs.raw_single_turn(spark, sf_dir))
     keyed = examples.withColumn("_before", dedup_key(F.col("messages"), F.col("tools")))
-    back = nested_from_json(nested_to_json(keyed))
-    flat = flat_examples(back).drop("source")
-    same = back.select("ord", (dedup_key(F.col("messages"), F.col("tools")) == F.col("_before")).alias("same_key"))
-    return flat.join(same, "ord")
+    back = sealed(nested_from_json(nested_to_json(keyed)))
+    same = (dedup_key(F.col("messages"), F.col("tools")) == F.col("_before")).alias("same_key")
+    # Stored: both sides of the join read one parse.
+    both = stored(flat_examples(back, same).drop("source"), "nested")
+    return both.drop("same_key").join(both.select("ord", "same_key"), "ord")

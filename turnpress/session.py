@@ -49,14 +49,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+TASK_ROWS = 100_000
+"""Most rows of a task in costly row-wise work, on average."""
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """A scan with at least one partition per core, for row-wise work that is CPU-bound.
+    """A scan with at least one partition per core and per ``TASK_ROWS`` rows, for row-wise work that is CPU-bound.
 
-    A few small files would otherwise keep most cores idle. A scan that already has the
-    partitions, as any large table has, is left alone and not shuffled.
+    A few small files would otherwise keep most cores idle, and splits by bytes hold millions of
+    rows where these are short; splits also end with row groups, so that some hold none. Rows
+    are counted in the files' footers. A scan that already has the partitions is left alone and
+    not shuffled.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    wanted = max(scan.sparkSession.sparkContext.defaultParallelism, -(-scan.count() // TASK_ROWS))
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
 
 
 def sealed(df: DataFrame) -> DataFrame:
