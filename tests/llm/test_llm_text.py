@@ -565,3 +565,24 @@ def test_chat_digests(spark):
     text = "</s>[INST] ok [/INST]"
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert [tuple(r)[1:5] for r in rows] == [(2, sha(f"user\n{text}\nassistant\n{text}\n"), len(text), sha(text))]
+
+
+def test_stretches_of_many_texts_are_those_of_each():
+    """Cuts by the first least word pair of every window, found for texts laid end to end."""
+    S, rng, held = substrings, np.random.default_rng(3), []
+    for row, n in enumerate((1, 2, 20, 21, 22, 60, 400, 5)):
+        words = [b"w%d" % i for i in rng.integers(0, 4 if row % 2 else 50, n)]
+        held.append((2 * row, b" \n" * (row % 3) + b" ".join(words) + b"\t" * (row % 2), S.word_hashes(words)))
+    found = list(zip(*(v.tolist() for v in S.stretches(held)), strict=True))
+    wanted, known = [], {}
+    for row, text, hashes in held:
+        starts, ends = S.word_spans(text)
+        pair = S.mixed(hashes[:-1] * S.ODD + hashes[1:])
+        cuts = sorted({0, *(j + int(pair[j : j + S.WINDOW].argmin()) for j in range(len(pair) - S.WINDOW + 1))})
+        for place, (a, b) in enumerate(zip(cuts, [*cuts[1:], len(starts)], strict=True)):
+            wanted.append((row, place, int(starts[a]), int(ends[b - 1]), b - a))
+            known.setdefault(hashes[a:b].tobytes(), set()).add(found[len(wanted) - 1][5])
+    assert [f[:5] for f in found] == wanted
+    assert all(len(v) == 1 for v in known.values()) and len({h for v in known.values() for h in v}) == len(known)
+    swapped = S.word_hashes([b"a", b"b"]), S.word_hashes([b"b", b"a"])
+    assert len({int(S.stretches([(0, b"x y", h)])[5][0]) for h in swapped}) == 2

@@ -40,6 +40,8 @@ from turnpress.operators.permutation import unused
 BANDS, ROWS, SHINGLE = 6, 2, 5
 WINDOW, RUN, WIDE, LONG = 20, 9, 6, 50
 """Word pairs per window; least words of a run; least words of the longest stretch in a run of up to LONG words."""
+TOGETHER = 1 << 17
+"""Words, of several texts or of one, whose stretches are found together."""
 REACH = WINDOW + 1
 """Most words by which a match goes on beyond its whole shared stretches on one side."""
 
@@ -128,7 +130,7 @@ def pieces(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = batch.column(0)
         row, starts, ends, counts, hashes, kinds, grams, sizes = [], [], [], [], [], [], [], []
-        cut_row, cut = [], [[], [], [], [], []]
+        cut, held, size = [], [], 0
         for i, t in enumerate(texts(batch, text)):
             every: list[np.ndarray] = []
             for start, end, words, kind in lines(t, shortest, every):
@@ -142,25 +144,29 @@ def pieces(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
                     grams.append(g := shingles(words))
                     sizes.append(len(g))
             if every:
-                found = stretches(t, np.concatenate(every))
-                cut_row += [i] * len(found[0])
-                for to, v in zip(cut, found, strict=True):
-                    to.append(np.asarray(v, np.uint64))
+                held.append((i, t, np.concatenate(every)))
+                size += len(held[-1][2])
+            if size > TOGETHER:
+                cut.append(stretches(held))
+                held, size = [], 0
+        if held:
+            cut.append(stretches(held))
         bands = np.zeros((len(grams), BANDS), np.uint64)
         if grams:
             flat, first = np.concatenate(grams), np.concatenate([[0], np.cumsum(sizes)[:-1]])
             for i, turn in enumerate(TURN):
                 least = np.minimum.reduceat(mixed(flat * turn), first)
                 bands[:, i // ROWS] = mixed(bands[:, i // ROWS] * turn + least)
+        none = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, np.uint64)]
+        cut_row, *cut_at = map(np.concatenate, zip(*cut, strict=True)) if cut else none
         n = len(cut_row)
         widths = [*(0 if kind == "line" else BANDS for kind in kinds), *[0] * n]
         packed = pa.ListArray.from_arrays(
             pa.array(np.cumsum([0, *widths], dtype=np.int32)), pa.array((bands.ravel() >> np.uint64(32)).astype(np.uint32).view(np.int32))
         )
-        cut_at = [np.concatenate(v) if v else np.zeros(0, np.uint64) for v in cut]
-        number = lambda one, two: pa.array(np.concatenate([np.array(one, np.uint64), two]).astype(np.int32))
+        number = lambda one, two: pa.array(np.concatenate([np.array(one, np.int64), two]).astype(np.int32))
         columns = [
-            keys.take(pa.array(row + cut_row, pa.int64())), number(starts, cut_at[1]), number(ends, cut_at[2]), number(counts, cut_at[3]),
+            keys.take(pa.array(np.concatenate([np.array(row, np.int64), cut_row]))), number(starts, cut_at[1]), number(ends, cut_at[2]), number(counts, cut_at[3]),
             pa.array(np.concatenate([np.array(hashes, np.uint64), cut_at[4]]).view(np.int64)),
             pa.concat_arrays([pa.array(kinds, pa.string()), pa.repeat(pa.scalar("stretch"), n)]),
             number([0] * len(row), cut_at[0]), packed,
@@ -170,18 +176,48 @@ def pieces(docs: DataFrame, key: str, text: str, shortest: int) -> DataFrame:
     return _rows(docs, key, text, run, "first_byte int, end_byte int, n_words int, hash bigint, kind string, place int, bands array<int>")
 
 
-def stretches(text: bytes, hashes: np.ndarray) -> tuple:
-    """(place, first byte, end, n_words, hash) of the stretches of a text, cut by its own words."""
-    starts, ends = word_spans(text)
-    n = len(starts)
-    cuts = np.array([0])
-    if n > WINDOW:
-        pair = mixed(hashes[:-1] * ODD + hashes[1:])
-        view = np.lib.stride_tricks.sliding_window_view(pair, WINDOW)
-        cuts = np.unique(np.concatenate([[0], view.argmin(1) + np.arange(len(view))]))
-    stops = np.append(cuts[1:], n)
-    made = [xxhash.xxh3_64_intdigest(hashes[a:b].tobytes()) for a, b in zip(cuts.tolist(), stops.tolist(), strict=True)]
-    return np.arange(len(cuts)), starts[cuts], ends[stops - 1], stops - cuts, np.array(made, np.uint64)
+def stretches(held: list[tuple[int, bytes, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """(row, place, first byte, end, n_words, hash) of the stretches of texts (row, text, hashes of all its words).
+
+    Every text is cut by its own words; the texts are only laid end to end so that one step of
+    array work is for many of them.
+    """
+    rows, bodies, every = zip(*held, strict=True)
+    starts, ends = word_spans(b"\n".join(bodies))
+    hashes = np.concatenate(every)
+    n = np.fromiter(map(len, every), np.int64, len(every))
+    head = np.cumsum(n) - n
+    cut = np.zeros(len(hashes), bool)
+    cut[head] = True
+    if len(hashes) > WINDOW:
+        least = least_places(mixed(hashes[:-1] * ODD + hashes[1:]))
+        inside = np.arange(len(least)) + WINDOW < np.repeat(head + n, n)[: len(least)]
+        cut[least[inside]] = True
+    cuts = np.flatnonzero(cut)
+    stops = np.append(cuts[1:], len(hashes))
+    text = np.searchsorted(head, cuts, "right") - 1
+    place = np.arange(len(cuts)) - np.searchsorted(cuts, head)[text]
+    sizes = np.fromiter(map(len, bodies), np.int64, len(bodies)) + 1
+    before = (np.cumsum(sizes) - sizes)[text]
+    return np.array(rows)[text], place, starts[cuts] - before, ends[stops - 1] - before, stops - cuts, run_hashes(hashes, cuts, stops)
+
+
+def least_places(values: np.ndarray) -> np.ndarray:
+    """Where the first least value of every window of ``WINDOW`` values stands, by windows of doubled size."""
+    place, size = np.arange(len(values)), 1
+    while size < WINDOW:
+        step = min(size, WINDOW - size)
+        place = np.where(values[step:] < values[:-step], place[step:], place[:-step])
+        values = np.minimum(values[step:], values[:-step])
+        size += step
+    return place
+
+
+def run_hashes(hashes: np.ndarray, cuts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """One hash per run of words, of the words and their places in it."""
+    place = np.arange(len(hashes)) - np.repeat(cuts, stops - cuts)
+    of_word = mixed(mixed(hashes + (place + 1).astype(np.uint64) * ODD))
+    return mixed(np.add.reduceat(of_word, cuts) + (stops - cuts).astype(np.uint64) * ODD)
 
 
 def _rows(docs: DataFrame, key: str, text: str, make, columns: str) -> DataFrame:
