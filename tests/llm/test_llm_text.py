@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -505,6 +506,49 @@ def test_context_trees_beat_the_unigrams_on_held_out_texts(spark):
     assert trees > unigrams
 
 
+def test_context_tables_take_few_bytes_a_code(spark):
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abcdefgh", k=draw.randint(1, 6))) for _ in range(20_000)]
+    rows = [(" ".join(draw.choices(words, k=150)), i % 2, i % 3 > 0) for i in range(2000)]
+    windows = [collections.Counter() for _ in range(2)]
+    for text, block, _ in rows:
+        data = b"\n" * contexts.DEPTH + contexts.body(text.encode().split())
+        windows[block].update(data[i : i + contexts.DEPTH + 1] for i in range(len(data) - contexts.DEPTH))
+    asked = contexts.requests(spark.createDataFrame(rows, "text string, block bigint, train boolean").coalesce(1).sortWithinPartitions("block"))
+    runs = asked.where(F.col("kind") == contexts.RUN).select(F.sum(F.length("codes") + F.length("counts"))).first()[0]
+    assert runs < 5 * sum(map(len, windows))  # 16 as plain numbers
+
+
+def test_context_scores_do_not_depend_on_the_parts(spark, monkeypatch):
+    rows = [(i, " ".join(f"{w}{i % 7}" for w in ("Abra", "cad", "é", "the")) if i % 5 else None, i % 6) for i in range(60)]
+    df = spark.createDataFrame([*rows, (60, "no block", None)], "doc_id bigint, text string, block bigint")
+    train = F.col("doc_id") % 3 > 0
+    at_once = {r["doc_id"]: r for r in contexts.score(df, train, F.col("block")).collect()}
+    asked, real = [], contexts.answered
+
+    def answered(sums, replies, keys, to):
+        back = real(sums, replies, keys, to)
+        asked.append((to, sums.select("kind", "owner", to, "codes").collect(), back.select("kind", "owner", to, "codes").collect()))
+        return back
+
+    monkeypatch.setattr(contexts, "answered", answered)
+    monkeypatch.setattr(contexts, "BLOCKS", 1)
+    got = contexts.score(df, train, F.col("block")).collect()
+    assert {r["doc_id"]: r for r in got} == at_once and len(got) == 61
+    assert [to for to, _, _ in asked] == ["part", "block"]
+    whole = lambda rows, to: collections.Counter((r["kind"], r["owner"], r[to], c) for r in rows for c in contexts.unpacked_codes(r["codes"]).tolist())
+    for to, sent, back in asked:  # a part and a block get what they asked for and no copy of the rest
+        assert set(whole(back, to)) == set(whole(sent, to)) and max(whole(back, to).values()) == 1
+
+
+def test_counts_and_codes_are_packed_without_loss():
+    for values in (np.array([], np.uint64), np.array([7, 2**63, 2**64 - 1], np.uint64), np.arange(0, 2**50, 2**33, dtype=np.uint64)):
+        assert np.array_equal(contexts.unpacked_codes(contexts.packed_codes(values)), values)
+        assert np.array_equal(contexts.unpacked(contexts.packed(values), np.uint64), values)
+    n = np.array([[0.0, 3.0], [4095.0, 4096.0]])
+    assert np.array_equal(contexts.log_gamma_of(n, 0.5), contexts.log_gamma(n + 0.5))
+
+
 def test_context_scores_of_odd_tables(spark, docs, none):
     got = contexts.score(docs, F.col("doc_id") % 2 == 0, F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(4))).collect()
     assert len(got) == len(corpus()) and all(r["score"] < 0 for r in got)

@@ -15,9 +15,11 @@ Counting is exact and distributed. Documents come in blocks of rows. A block sen
 distinct byte runs and words it holds, with their training counts, to the partition that
 owns them: runs by the last two bytes of context, words by leading bits of a hash. The
 owner adds up all blocks, and answers each block with what it asked for. Requests are added
-up, and answered, for 64 blocks at a time, and distinct codes only go on from there; groups
-are read as streams. So a model of any size reaches the texts in parts as large as their own
-vocabulary, and nothing is broadcast but the upper two levels of the trees, 256 * 255 nodes.
+up for 64 blocks at a time, a part, and distinct codes only go on from there; answers come back
+the same way, to the parts and from there to their blocks. Groups are read as streams. So a model
+of any size reaches the texts in parts as large as their own vocabulary, and nothing is broadcast
+but the upper two levels of the trees, 256 * 255 nodes. Codes travel as differences, and all
+numbers with their bytes of equal weight side by side, compressed; texts as compressed pieces.
 
 Contract. NULL and empty texts are the end mark alone. Documents are scored each on its
 own, repeated rows equally; rows with a NULL id take part like any other. With no training
@@ -27,7 +29,7 @@ documents every bit has probability 1/2. Empty tables give empty results.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -40,21 +42,72 @@ from turnpress.llm.common import bounds, stored, texts
 DEPTH = 6
 """Bytes of context, about a word with its space; the code of a run with its last byte fits 64 bits up to 6."""
 END = b"\n"
-WORD_BITS = 12
+WORD_BITS = 9
 """Leading bits of a word's hash that name its owner."""
 RUN, WORD = 0, 1
 BLOCKS = 64
 """Blocks whose requests to one owner are added up, and answered, together."""
 PIECE = 1 << 20
 """Bytes of text that are looked up at a time, which bounds memory and changes no score."""
+FOLD = 4 * PIECE
+"""Bytes of text whose runs are made distinct at a time, and most bytes of cells in a batch."""
 
 HALF = np.log(0.5)
+ZSTD = {level: pa.Codec("zstd", compression_level=level) for level in (1, 3)}
 
 
 def body(words: list[bytes]) -> bytes:
     return b" ".join(words) + END
 
 
+def squeezed(data: bytes, level: int) -> bytes:
+    """Compressed bytes after their own length."""
+    return len(data).to_bytes(8, "little") + ZSTD[level].compress(data, asbytes=True)
+
+
+def restored(cell: bytes) -> bytes:
+    size = int.from_bytes(cell[:8], "little")
+    return ZSTD[1].decompress(cell[8:], size, asbytes=True) if size else b""
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers of eight bytes each, their bytes of equal weight side by side, compressed."""
+    return squeezed(np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpacked(cell: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(restored(cell), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(kind).ravel()
+
+
+def packed_codes(codes: np.ndarray) -> bytes:
+    """Ascending codes, packed as differences."""
+    steps = codes.copy()
+    steps[1:] -= codes[:-1]
+    return packed(steps)
+
+
+def unpacked_codes(cell: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(cell, np.uint64), dtype=np.uint64)
+
+
+def batched(rows, names: list[str], kinds: list[pa.DataType]):
+    """Record batches of rows, at most 2,000 and about ``FOLD`` bytes of cells in one."""
+
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), kinds, strict=True)], names)
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(c) for c in row if isinstance(c, bytes))
+        if len(held) == 2000 or size > FOLD:
+            yield made()
+            held, size = [], 0
+    if held:
+        yield made()
+
+
 def run_codes(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Per byte of all texts the code (last byte, byte before it, ..., the byte itself), and the bytes per text."""
     lead = END * DEPTH
@@ -89,20 +142,18 @@ class Block:
 
     def __init__(self):
         self.runs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.words: dict[bytes, int] = {}
+        self.words: dict[bool, Counter] = {True: Counter(), False: Counter()}
         self.bodies: dict[bool, list[bytes]] = {True: [], False: []}
         self.size = 0
 
     def add(self, text: bytes, train: bool) -> None:
         words = text.lower().split()
-        times = Counter(words)
-        times[END] = 1
-        for w, n in times.items():
-            self.words[w] = self.words.get(w, 0) + (n if train else 0)
+        self.words[train].update(words)
+        self.words[train][END] += 1
         b = body(words)
         self.bodies[train].append(b)
         self.size += len(b)
-        if self.size > PIECE:
+        if self.size > FOLD:
             self.fold()
 
     def fold(self) -> None:
@@ -123,8 +174,11 @@ class Block:
             self.fold()
             self.gather()
             return self.runs[0] if self.runs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        codes = np.fromiter(map(word_code, self.words), np.uint64, len(self.words))
-        return merged([codes], [np.fromiter(self.words.values(), np.int64, len(codes))])
+        learned, others = self.words[True], self.words[False]
+        codes = np.fromiter(map(word_code, chain(learned, others)), np.uint64, len(learned) + len(others))
+        counts = np.zeros(len(codes), np.int64)
+        counts[: len(learned)] = np.fromiter(learned.values(), np.int64, len(learned))
+        return merged([codes], [counts])
 
     def owned(self, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes, counts and owners, in order of the codes."""
@@ -137,17 +191,12 @@ def requests(docs: DataFrame) -> DataFrame:
     """(kind, owner, block, codes, counts) of docs (text, block, train)."""
 
     def rows(block: int, held: Block):
-        out = []
         for kind in (RUN, WORD):
             codes, counts, owner = held.owned(kind)
             for start, end in zip(*bounds([owner]), strict=True):
-                out.append((kind, int(owner[start]), block, codes[start:end].tobytes(), counts[start:end].tobytes()))
-        names = ["kind", "owner", "block", "codes", "counts"]
-        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
-        for i in range(0, len(out), 2000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[i : i + 2000], strict=True), kinds, strict=True)], names)
+                yield kind, int(owner[start]), block, packed_codes(codes[start:end]), packed(counts[start:end])
 
-    def run(batches):
+    def found(batches):
         held, current = Block(), None
         for batch in batches:
             blocks, train = batch.column(1).to_pylist(), batch.column(2).to_pylist()
@@ -160,6 +209,10 @@ def requests(docs: DataFrame) -> DataFrame:
         if current is not None:
             yield from rows(current, held)
 
+    def run(batches):
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        yield from batched(found(batches), ["kind", "owner", "block", "codes", "counts"], kinds)
+
     return docs.select("text", "block", "train").mapInArrow(run, "kind int, owner int, block bigint, codes binary, counts binary")
 
 
@@ -172,22 +225,24 @@ def groups(batches, keys: list[str]):
 def summed(asked: DataFrame, keys: list[str]) -> DataFrame:
     """(kind, keys, codes, counts): one row per group with its distinct codes; memory holds those and little more."""
 
-    def run(batches):
+    def found(batches):
         for key, rows in groups(batches, ["kind", *keys]):
             codes, counts, size = [], [], 0
             for r in rows:
-                codes.append(np.frombuffer(r["codes"], np.uint64))
-                counts.append(np.frombuffer(r["counts"], np.int64))
+                codes.append(unpacked_codes(r["codes"]))
+                counts.append(unpacked(r["counts"], np.int64))
                 size += len(codes[-1])
                 if size > PIECE and len(codes) > 8:
                     one, many = merged(codes, counts)
                     codes, counts, size = [one], [many], 0
             one, many = merged(codes, counts)
-            columns = [*([k] for k in key), [one.tobytes()], [many.tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+            yield *key, packed_codes(one), packed(many)
+
+    def run(batches):
+        kinds = [pa.int32()] * (1 + len(keys)) + [pa.binary(), pa.binary()]
+        yield from batched(found(batches), names, kinds)
 
     names = ["kind", *keys, "codes", "counts"]
-    kinds = [pa.int32()] * (1 + len(keys)) + [pa.binary(), pa.binary()]
     dealt = asked.select(*names).repartition("kind", *keys).sortWithinPartitions("kind", *keys)
     return dealt.mapInArrow(run, ", ".join(f"{k} int" for k in ["kind", *keys]) + ", codes binary, counts binary")
 
@@ -196,43 +251,63 @@ def valued(totals: DataFrame, fn) -> DataFrame:
     """(kind, owner, codes, reply) with ``reply = fn(owner, codes, counts)`` for every code."""
 
     def run(batches):
-        for batch in batches:
-            for r in batch.to_pylist():
-                made = fn(r["owner"], np.frombuffer(r["codes"], np.int64), np.frombuffer(r["counts"], np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["kind"]], pa.int32()), pa.array([r["owner"]], pa.int32()), pa.array([r["codes"]]), pa.array([made.tobytes()])],
-                    ["kind", "owner", "codes", "reply"],
-                )
+        found = (
+            (r["kind"], r["owner"], r["codes"], packed(fn(r["owner"], unpacked_codes(r["codes"]).view(np.int64), unpacked(r["counts"], np.int64))))
+            for batch in batches
+            for r in batch.to_pylist()
+        )
+        yield from batched(found, ["kind", "owner", "codes", "reply"], [pa.int32(), pa.int32(), pa.binary(), pa.binary()])
 
-    return totals.mapInArrow(run, "kind int, owner int, codes binary, reply binary")
+    return totals.select("kind", "owner", "codes", "counts").mapInArrow(run, "kind int, owner int, codes binary, reply binary")
 
 
-def answered(asked: DataFrame, replies: DataFrame, parts: int) -> DataFrame:
-    """(kind, owner, block, reply): to every block the values of the distinct codes it asked for, in order.
+def answered(asked: DataFrame, replies: DataFrame, keys: list[str], to: str) -> DataFrame:
+    """(kind, owner, ``to``, codes, reply): to every ``to`` the distinct codes it asked for and their values.
 
-    An owner answers in ``parts``, each for the blocks of one part, so a group is as large as
-    the blocks of a part and not as all.
+    ``replies`` has one row per group of ``keys`` with all the codes that the group asks for.
     """
 
-    def run(batches):
-        for (kind, owner, _), rows in groups(batches, ["kind", "owner", "part"]):
+    def found(batches):
+        for key, rows in groups(batches, keys):
             first = next(rows)
-            known, values = np.frombuffer(first["codes"], np.uint64), np.frombuffer(first["reply"], np.uint64)
-            out: list = []
-            for block, pieces in groupby(rows, key=lambda r: r["block"]):
-                codes = [np.frombuffer(r["codes"], np.uint64) for r in pieces]
+            known, values = unpacked_codes(first["codes"]), unpacked(first["reply"], np.uint64)
+            for one, pieces in groupby(rows, key=lambda r: r["to"]):
+                cells = [r["codes"] for r in pieces]
+                codes = [unpacked_codes(c) for c in cells]
                 wanted = codes[0] if len(codes) == 1 else np.unique(np.concatenate(codes))
-                out.append((kind, owner, block, values[np.searchsorted(known, wanted)].tobytes()))
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["kind", "owner", "block", "reply"])
+                cell = cells[0] if len(codes) == 1 else packed_codes(wanted)
+                yield key[0], key[1], one, cell, packed(values[np.searchsorted(known, wanted)])
 
-    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part")
-    lead = replies.select("kind", "owner", every, F.lit(None).cast("long").alias("block"), "codes", "reply")
-    rows = lead.unionByName(asked.select("kind", "owner", "part", "block", "codes", F.lit(None).cast("binary").alias("reply")))
-    keys = ["kind", "owner", "part"]
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("block").asc_nulls_first())
-    return dealt.mapInArrow(run, "kind int, owner int, block bigint, reply binary")
+    def run(batches):
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+        yield from batched(found(batches), ["kind", "owner", "to", "codes", "reply"], kinds)
+
+    lead = replies.select(*keys, F.lit(None).cast("long").alias("to"), "codes", "reply")
+    rows = lead.unionByName(asked.select(*keys, F.col(to).cast("long").alias("to"), "codes", F.lit(None).cast("binary").alias("reply")))
+    dealt = rows.repartition(*keys).sortWithinPartitions(*keys, F.col("to").asc_nulls_first())
+    sent = dealt.mapInArrow(run, "kind int, owner int, to bigint, codes binary, reply binary")
+    return sent.select("kind", "owner", F.col("to").cast(asked.schema[to].dataType).alias(to), "codes", "reply")
+
+
+def pieces(docs: DataFrame) -> DataFrame:
+    """(block, keys, bodies) of docs (block, key, text): keys of a few rows, and their texts as they are scored, compressed."""
+    kind = docs.schema["key"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            keys, blocks = batch.column(1), batch.column(0).to_numpy()
+            for start, end in zip(*bounds([blocks]), strict=True):
+                held, size = [], 0
+                for i, text in enumerate(texts(batch.slice(start, end - start)), start + 1):
+                    held.append(body(text.lower().split()))
+                    size += len(held[-1])
+                    if size > PIECE or i == end:
+                        of = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), keys.slice(i - len(held), len(held)))
+                        cell = squeezed(b"".join(held), 3)
+                        yield pa.RecordBatch.from_arrays([pa.array(blocks[start : start + 1]), of, pa.array([cell], pa.binary())], ["block", "keys", "bodies"])
+                        held, size = [], 0
+
+    return docs.select("block", "key", "text").mapInArrow(run, f"block bigint, keys array<{kind}>, bodies binary")
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -246,9 +321,21 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(low)
 
 
+SMALL = {plus: log_gamma(np.arange(4096.0) + plus) for plus in (0.5, 1.0)}
+
+
+def log_gamma_of(n: np.ndarray, plus: float) -> np.ndarray:
+    """log_gamma(n + plus) of counts n, the small ones looked up."""
+    small = SMALL[plus]
+    out = small[np.minimum(n, len(small) - 1).astype(np.int64)]
+    large = np.nonzero(n >= len(small))
+    out[large] = log_gamma(n[large] + plus)
+    return out
+
+
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """log Pe of a zeros and b ones."""
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - np.log(np.pi)
+    return log_gamma_of(a, 0.5) + log_gamma_of(b, 0.5) - log_gamma_of(a + b, 1.0) - np.log(np.pi)
 
 
 def weighted(pe: np.ndarray, below: np.ndarray) -> np.ndarray:
@@ -281,7 +368,9 @@ def tree(codes: np.ndarray, counts: np.ndarray, place: int) -> tuple[list[Level]
     """Levels from full depth up to two bytes of context for one bit place; the codes' leaves and bits."""
     byte, context = codes & 255, codes >> 8
     prefix, bit = byte >> (8 - place), (byte >> (7 - place)) & 1
-    keys, leaf = np.unique(context << 8 | prefix, return_inverse=True)
+    flat = context << 8 | prefix  # ascends with the codes
+    starts, ends = bounds([flat])
+    keys, leaf = flat[starts], np.repeat(np.arange(len(starts)), ends - starts)
     add = lambda v: np.bincount(leaf, v, len(keys))
     levels = [Level(keys, add(counts * (1 - bit)), add(counts * bit), None)]
     for _ in range(DEPTH - 2):
@@ -296,7 +385,7 @@ def upper_sums(totals: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                codes, counts = np.frombuffer(r["codes"], np.int64), np.frombuffer(r["counts"], np.int64)
+                codes, counts = unpacked_codes(r["codes"]).view(np.int64), unpacked(r["counts"], np.int64)
                 for place in range(8):
                     top = tree(codes, counts, place)[0][-1]
                     last = np.full(len(top.key), r["owner"] >> 8, np.int32)
@@ -346,7 +435,7 @@ def training_size(of_words: DataFrame) -> tuple[int, int]:
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                n = np.frombuffer(r["counts"], np.int64)
+                n = unpacked(r["counts"], np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])], ["n", "v"])
 
     whole = of_words.mapInArrow(run, "n bigint, v bigint").agg(F.sum("n"), F.sum("v")).first()
@@ -360,63 +449,69 @@ def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", te
     best a few thousand rows that stand together in a file. ``base_score`` is the smoothed
     unigram score of the same tokens; ``score`` is the trees' log10 probability.
     """
-    kind = docs.schema[key].dataType
-    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), block.cast("long").alias("block"), F.coalesce(train, F.lit(False)).alias("train"))
+    kind = docs.schema[key].dataType.simpleString()
+    block = F.coalesce(block.cast("long"), F.lit(0))
+    docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), block.alias("block"), F.coalesce(train, F.lit(False)).alias("train"))
     blocks_ = docs.select("block").distinct().count()
     parts = -(-max(1, blocks_) // BLOCKS)
     asked = stored(requests(docs).withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)).cast("int")), "requests")
-    totals = stored(summed(summed(asked, ["owner", "part"]), ["owner"]), "totals")
+    sums = stored(summed(asked, ["owner", "part"]), "sums")
+    totals = stored(summed(sums, ["owner"]), "totals") if parts > 1 else sums
     of_words, of_runs = totals.where(F.col("kind") == WORD), totals.where(F.col("kind") == RUN)
     counts = valued(of_words, lambda owner, codes, counts: counts)
     tokens, distinct = training_size(of_words)
     upper = upper_sums(of_runs).collect()  # 256 * 255 rows at most
     replies = stored(counts.unionByName(valued(of_runs, run_scores(*upper_levels(upper)))), "replies")
     floor = np.log10(tokens + 0.1 * (distinct + 1))
+    names = ["key", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"]
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        value: dict[int, np.ndarray] = {}
-        held = Block()
-        raw = [v.as_buffer().to_pybytes() if v.is_valid else b"" for c in left.column("text").chunks for v in c]
-        for t in raw:
-            held.add(t, False)
-        order = np.lexsort((right.column("owner").to_numpy(), right.column("kind").to_numpy()))
-        right = right.take(pa.array(order))
-        kinds = right.column("kind").to_numpy()
-        answers = right.column("reply").to_pylist()
-        for k, dtype in ((RUN, np.float64), (WORD, np.int64)):
-            value[k] = np.frombuffer(b"".join(r for r, is_ in zip(answers, kinds, strict=True) if is_ == k), dtype)
-        runs_, words = held.asked(RUN)[0], held.asked(WORD)[0]
-        if len(runs_) != len(value[RUN]) or len(words) != len(value[WORD]):
+    def looked_up(codes: np.ndarray, known: np.ndarray, values: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+        if not np.array_equal(known[at], codes):
             raise ValueError("a block was answered for other texts than it has")
-        count = dict(zip(held.words, value[WORD][np.searchsorted(words, np.fromiter(map(word_code, held.words), np.uint64, len(held.words)))].tolist(), strict=True))
-        out: dict[str, list] = {n: [] for n in ("n_tokens", "n_known", "base_score", "score", "n_bytes")}
-        at = 0
-        while at < len(raw):
-            stop, size, lists = at, 0, []
-            while stop < len(raw) and (stop == at or size < PIECE):
-                lists.append(raw[stop].lower().split())
-                size += len(raw[stop])
-                stop += 1
+        return values[at]
+
+    def found(rows):
+        """The scores of a block's pieces, which follow its answers."""
+        answers: dict[int, list] = {RUN: [], WORD: []}
+        count: dict[bytes, int] = {}
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for r in rows:
+            if (bodies := r["bodies"].as_py()) is None:
+                answers[r["kind"].as_py()].append((r["codes"].as_py(), r["reply"].as_py()))
+                continue
+            if not known:
+                for k, value in ((RUN, np.float64), (WORD, np.int64)):
+                    known[k] = np.concatenate([unpacked_codes(c) for c, _ in answers[k]]), np.concatenate([unpacked(v, value) for _, v in answers[k]])
+                answers.clear()
+            lines = restored(bodies).split(END)[:-1]
+            lists = [line.split() for line in lines]
+            new = list({END}.union(*lists) - count.keys())
+            codes = np.fromiter(map(word_code, new), np.uint64, len(new))
+            count.update(zip(new, looked_up(codes, *known[WORD]).tolist(), strict=True))
             sizes = np.fromiter((len(w) + 1 for w in lists), np.int64, len(lists))
-            c = np.fromiter((count[w] for ws in lists for w in (*ws, END)), np.int64, int(sizes.sum()))
+            c = np.fromiter(map(count.__getitem__, chain.from_iterable((*ws, END) for ws in lists)), np.int64, int(sizes.sum()))
             heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            out["n_tokens"] += sizes.tolist()
-            out["n_known"] += np.add.reduceat((c > 0).astype(np.int64), heads).tolist()
-            out["base_score"] += (np.add.reduceat(np.log10(c + 0.1), heads) - sizes * floor).tolist()
-            codes, length = run_codes([body(ws) for ws in lists])
+            n_known = np.add.reduceat((c > 0).astype(np.int64), heads)
+            base = np.add.reduceat(np.log10(c + 0.1), heads) - sizes * floor
+            codes, length = run_codes([line + END for line in lines])
             heads = np.concatenate([[0], np.cumsum(length)[:-1]])
-            distinct_, where = np.unique(codes, return_inverse=True)
-            out["score"] += np.add.reduceat(value[RUN][np.searchsorted(runs_, distinct_)][where], heads).tolist()
-            out["n_bytes"] += length.tolist()
-            at = stop
-        n = len(raw)
-        return pa.table({
-            "key": left.column("key"), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
-            "train_tokens": pa.array([tokens] * n, pa.int64()), "base_score": pa.array(out["base_score"], pa.float64()),
-            "score": pa.array(out["score"], pa.float64()), "n_bytes": pa.array(out["n_bytes"], pa.int64()),
-        })
-
-    sent = answered(asked, replies, parts).select("block", "kind", "owner", "reply")
-    schema = f"key {kind.simpleString()}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint"
-    done = docs.select("block", "key", "text").groupBy("block").cogroup(sent.groupBy("block")).applyInArrow(run, schema)
-    return done.withColumnRenamed("key", key)
+            some, where = np.unique(codes, return_inverse=True)
+            scores = np.add.reduceat(looked_up(some.view(np.uint64), *known[RUN])[where], heads)
+            made = (sizes, n_known, np.full(len(lines), tokens, np.int64), base, scores, length)
+            yield pa.RecordBatch.from_arrays([r["keys"].values, *map(pa.array, made)], names)
+
+    def run(batches):
+        rows = ({n: batch.column(n)[i] for n in batch.schema.names} for batch in batches for i in range(batch.num_rows))
+        for _, of_block in groupby(rows, key=lambda r: r["block"].as_py()):
+            yield from found(of_block)
+
+    if parts > 1:  # an owner answers the parts, and these their blocks
+        replies = answered(sums, replies, ["kind", "owner"], "part")
+    sent = answered(asked, replies, ["kind", "owner", "part"] if parts > 1 else ["kind", "owner"], "block")
+    nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    sent = sent.select("block", "kind", "owner", "codes", "reply", nothing(f"array<{kind}>", "keys"), nothing("binary", "bodies"))
+    given = pieces(docs).select("block", nothing("int", "kind"), nothing("int", "owner"), nothing("binary", "codes"), nothing("binary", "reply"), "keys", "bodies")
+    dealt = sent.unionByName(given).repartition("block").sortWithinPartitions("block", F.col("kind").asc_nulls_last(), "owner")
+    schema = f"key {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, n_bytes bigint"
+    return dealt.mapInArrow(run, schema).withColumnRenamed("key", key)

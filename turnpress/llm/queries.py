@@ -132,7 +132,7 @@ def op6_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "_metadata.file_path", "_metadata.row_index")
     held_out = fold(F.col("doc_id"), 10) == 0
-    block = F.xxhash64("file_path", F.floor(F.col("row_index") / 4000))
+    block = F.xxhash64("file_path", F.floor(F.col("row_index") / 8192))
     scored = contexts.score(docs, ~held_out, block)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes"
