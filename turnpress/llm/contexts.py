@@ -28,11 +28,11 @@ documents every bit has probability 1/2. Empty tables give empty results.
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import chain, groupby
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,8 +124,12 @@ def run_codes(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[inside], sizes
 
 
-def word_code(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
+def word_codes(bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the distinct words of all texts, the end mark among them; the place there of every token, and the tokens per text."""
+    words = pc.split_pattern(pa.array([b[:-1] + b" " + END if len(b) > 1 else b for b in bodies], pa.binary()), " ")
+    found = words.flatten().dictionary_encode()
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, found.dictionary.to_numpy(zero_copy_only=False)), np.uint64, len(found.dictionary))
+    return codes, found.indices.to_numpy(), words.value_lengths().to_numpy().astype(np.int64)
 
 
 def merged(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -141,16 +145,12 @@ class Block:
     """Distinct codes of a block of documents, and their training counts."""
 
     def __init__(self):
-        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
-        self.words: dict[bool, Counter] = {True: Counter(), False: Counter()}
+        self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {RUN: [], WORD: []}
         self.bodies: dict[bool, list[bytes]] = {True: [], False: []}
         self.size = 0
 
     def add(self, text: bytes, train: bool) -> None:
-        words = text.lower().split()
-        self.words[train].update(words)
-        self.words[train][END] += 1
-        b = body(words)
+        b = body(text.lower().split())
         self.bodies[train].append(b)
         self.size += len(b)
         if self.size > FOLD:
@@ -159,26 +159,20 @@ class Block:
     def fold(self) -> None:
         for train, bodies in self.bodies.items():
             if bodies:
-                codes, n = np.unique(run_codes(bodies)[0], return_counts=True)
-                self.runs.append((codes, n if train else np.zeros_like(n)))
+                runs, n = np.unique(run_codes(bodies)[0], return_counts=True)
+                words, place, _ = word_codes(bodies)
+                for kind, codes, many in ((RUN, runs, n), (WORD, words, np.bincount(place, minlength=len(words)))):
+                    self.held[kind].append((codes, many if train else np.zeros_like(many)))
         self.bodies, self.size = {True: [], False: []}, 0
-        if len(self.runs) > 16:
-            self.gather()
-
-    def gather(self) -> None:
-        if len(self.runs) > 1:
-            self.runs = [merged(*map(list, zip(*self.runs, strict=True)))]
+        for kind, held in self.held.items():
+            if len(held) > 3 and sum(len(codes) for codes, _ in held[1:]) > len(held[0][0]):  # each code is merged a few times
+                self.held[kind] = [merged(*map(list, zip(*held, strict=True)))]
 
     def asked(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
-        if kind == RUN:
-            self.fold()
-            self.gather()
-            return self.runs[0] if self.runs else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        learned, others = self.words[True], self.words[False]
-        codes = np.fromiter(map(word_code, chain(learned, others)), np.uint64, len(learned) + len(others))
-        counts = np.zeros(len(codes), np.int64)
-        counts[: len(learned)] = np.fromiter(learned.values(), np.int64, len(learned))
-        return merged([codes], [counts])
+        self.fold()
+        if not self.held[kind]:
+            return np.zeros(0, np.int64 if kind == RUN else np.uint64), np.zeros(0, np.int64)
+        return merged(*map(list, zip(*self.held[kind], strict=True)))
 
     def owned(self, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Codes, counts and owners, in order of the codes."""
@@ -474,7 +468,6 @@ def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", te
     def found(rows):
         """The scores of a block's pieces, which follow its answers."""
         answers: dict[int, list] = {RUN: [], WORD: []}
-        count: dict[bytes, int] = {}
         known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for r in rows:
             if (bodies := r["bodies"].as_py()) is None:
@@ -484,21 +477,17 @@ def score(docs: DataFrame, train: Column, block: Column, key: str = "doc_id", te
                 for k, value in ((RUN, np.float64), (WORD, np.int64)):
                     known[k] = np.concatenate([unpacked_codes(c) for c, _ in answers[k]]), np.concatenate([unpacked(v, value) for _, v in answers[k]])
                 answers.clear()
-            lines = restored(bodies).split(END)[:-1]
-            lists = [line.split() for line in lines]
-            new = list({END}.union(*lists) - count.keys())
-            codes = np.fromiter(map(word_code, new), np.uint64, len(new))
-            count.update(zip(new, looked_up(codes, *known[WORD]).tolist(), strict=True))
-            sizes = np.fromiter((len(w) + 1 for w in lists), np.int64, len(lists))
-            c = np.fromiter(map(count.__getitem__, chain.from_iterable((*ws, END) for ws in lists)), np.int64, int(sizes.sum()))
+            given = [line + END for line in restored(bodies).split(END)[:-1]]
+            words, place, sizes = word_codes(given)
+            c = looked_up(words, *known[WORD])[place]
             heads = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             n_known = np.add.reduceat((c > 0).astype(np.int64), heads)
             base = np.add.reduceat(np.log10(c + 0.1), heads) - sizes * floor
-            codes, length = run_codes([line + END for line in lines])
+            codes, length = run_codes(given)
             heads = np.concatenate([[0], np.cumsum(length)[:-1]])
             some, where = np.unique(codes, return_inverse=True)
             scores = np.add.reduceat(looked_up(some.view(np.uint64), *known[RUN])[where], heads)
-            made = (sizes, n_known, np.full(len(lines), tokens, np.int64), base, scores, length)
+            made = (sizes, n_known, np.full(len(given), tokens, np.int64), base, scores, length)
             yield pa.RecordBatch.from_arrays([r["keys"].values, *map(pa.array, made)], names)
 
     def run(batches):
